@@ -161,6 +161,11 @@ def op10_source_mixture(spark, sf_dir: str) -> DataFrame:
         F.col("_m_source_size").alias("source_size"),
         F.col("_m_target").alias("target"),
         (F.col("_m_size") * F.col("_m_passes")).cast("long").alias("taken"),
-        F.col("_m_shards").alias("shards"),
         "source",
+        F.col("_m_shards").alias("shards"),
     )
+
+
+def mixture_taken(spark, sf_dir: str) -> DataFrame:
+    """What the mixture takes of each document, without the drawn shards, so that SQL can express it."""
+    return op10_source_mixture(spark, sf_dir).drop("shards")

@@ -16,6 +16,7 @@ QUERIES = {
     "op8_kernel_quality": quality.op8_kernel_quality,
     "op9_reply_chat": chat.op9_reply_chat,
     "op10_source_mixture": mixing.op10_source_mixture,
+    "mixture_taken": mixing.mixture_taken,
 }
 
-ORACLE_SQL = {k: v for k, v in {"op1_interleaved_shards": OP1_SQL, "op2_url_rules": OP2_SQL, "op9_reply_chat": chat.OP9_SQL, "op10_source_mixture": OP10_SQL}.items() if v}
+ORACLE_SQL = {k: v for k, v in {"op1_interleaved_shards": OP1_SQL, "op2_url_rules": OP2_SQL, "op9_reply_chat": chat.OP9_SQL, "mixture_taken": OP10_SQL}.items() if v}
