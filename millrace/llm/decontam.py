@@ -165,6 +165,70 @@ def _windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, start, np.minimum(start + WINDOW, offsets[doc + 1])
 
 
+def _block_sums(vectors: np.ndarray, term: np.ndarray, offsets: np.ndarray, start: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the term vectors over the blocks of ``STRIDE`` words that the windows at ``start`` take up.
+
+    Returns the sums, with a zero block at the end, and the first block of each document.
+    """
+    size = np.diff(offsets)
+    blocks = -(-size // STRIDE)
+    first = np.concatenate([[0], np.cumsum(blocks)])
+    null = len(vectors) - 1
+    padded = np.full(first[-1] * STRIDE, null, np.int32)
+    padded[np.arange(len(term)) + np.repeat(first[:-1] * STRIDE - offsets[:-1], size)] = term
+    padded = padded.reshape(-1, STRIDE)
+    need = np.zeros(first[-1] + WINDOW // STRIDE + 1, bool)
+    lead = first[doc] + (start - offsets[doc]) // STRIDE
+    for k in range(WINDOW // STRIDE):
+        need[lead + k] = True
+    used = np.flatnonzero(need[: first[-1]])
+    sums = np.zeros((first[-1] + 1, vectors.shape[1]), np.float32)
+    for lo in range(0, len(used), 4096):
+        at = used[lo : lo + 4096]
+        sums[at] = np.einsum("ijk->ik", vectors[padded[at]])
+    return sums, first
+
+
+def _window_sums(vectors, term, sums, first, offsets, doc, start, end) -> np.ndarray:
+    """Sums of the term vectors over windows: of whole blocks where a window starts with one, else word by word."""
+    gap = start - offsets[doc]
+    lead = first[doc] + gap // STRIDE
+    out = np.zeros((len(doc), vectors.shape[1]), np.float32)
+    for k in range(WINDOW // STRIDE):
+        out += sums[np.where(lead + k < first[doc + 1], lead + k, len(sums) - 1)]
+    odd = np.flatnonzero(gap % STRIDE)
+    if len(odd):
+        at = start[odd][:, None] + np.arange(WINDOW)
+        inside = at < end[odd][:, None]
+        rows = np.where(inside, term[np.minimum(at, len(term) - 1)], len(vectors) - 1)
+        out[odd] = np.einsum("ijk->ik", vectors[rows])
+    return out
+
+
+def _shared_words(term, terms, lengths, at, passage, lo, hi) -> np.ndarray:
+    """Which pairs (window, passage) can reach the least overlap: those whose region holds enough of the passage's words."""
+    out = np.zeros(len(at), bool)
+    width = 2 * WINDOW
+    order = np.argsort(at, kind="stable")
+    for first in range(0, len(lo), 256):
+        s, e = np.searchsorted(at, [first, first + 256], sorter=order)
+        if s == e:
+            continue
+        n = min(256, len(lo) - first)
+        cell = lo[first : first + n, None] + np.arange(width)
+        inside = cell < hi[first : first + n, None]
+        present = np.zeros((n, terms.max() + 2), bool)
+        row, col = np.nonzero(inside)
+        known = term[cell[row, col]]
+        ok = known < present.shape[1] - 1
+        present[row[ok], known[ok]] = True
+        for k in range(s, e, 200_000):
+            pairs = order[k : min(e, k + 200_000)]
+            found = present[(at[pairs] - first)[:, None], terms[passage[pairs]]]
+            out[pairs] = found.sum(1) >= PARAPHRASE * lengths[passage[pairs]]
+    return out
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, overlap (share of the passage's words in order) for each document and item that it holds.
 
@@ -201,6 +265,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         space, targets, passage, answer, item, marked = shared.value
+        lengths = np.array([len(w) for w in passage])
+        terms = np.full((len(passage), WINDOW), -1, np.int32)
+        for k, w in enumerate(passage):
+            terms[k, : len(w)] = space.index[_slots(w)]
         for batch in batches:
             best: dict[tuple[int, int], tuple[float, float]] = {}
             for ids, offsets, hashes in word_batches(batch["text"]):
@@ -212,21 +280,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 inside = np.concatenate([[0], np.cumsum(square * marked[slot])])
                 doc, start, end = _windows(offsets)
                 rich = np.flatnonzero(inside[end] - inside[start] >= MIN_ENERGY * (whole[end] - whole[start]))
-                term = np.append(space.index[slot], len(space.vectors) - 1)
-                for lo in range(0, len(rich), 1024):
-                    part = rich[lo : lo + 1024]
-                    at = start[part][:, None] + np.arange(WINDOW)
-                    at = np.where(at < end[part][:, None], at, len(slot))
-                    x = space.vectors[term[at]].sum(1)
-                    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+                term = space.index[slot]
+                sums, at_block = _block_sums(space.vectors, term, offsets, start[rich], doc[rich])
+                region_lo = np.maximum(offsets[doc], start - WINDOW // 2)
+                region_hi = np.minimum(offsets[doc + 1], end + WINDOW // 2)
+                for lo in range(0, len(rich), 4096):
+                    part = rich[lo : lo + 4096]
+                    x = _window_sums(space.vectors, term, sums, at_block, offsets, doc[part], start[part], end[part])
+                    x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], 1e-9)
                     for block in range(0, len(targets), 4096):
                         cosine = x @ targets[block : block + 4096].T
-                        for i, j in zip(*np.nonzero(cosine >= MIN_COSINE), strict=True):
+                        at, near_to = np.nonzero(cosine >= MIN_COSINE)
+                        held = _shared_words(term, terms, lengths, at, near_to + block, region_lo[part], region_hi[part])
+                        for i, j in zip(at[held], near_to[held], strict=True):
                             w, p = part[i], block + j
                             key = (ids[doc[w]], int(p))
                             if key in best and best[key][1] >= 1:
                                 continue
-                            a, b = max(offsets[doc[w]], start[w] - WINDOW // 2), min(offsets[doc[w] + 1], end[w] + WINDOW // 2)
+                            a, b = region_lo[w], region_hi[w]
                             region = hashes[a:b]
                             overlap = lcs_length(passage[p], region) / len(passage[p])
                             if overlap < PARAPHRASE:
