@@ -1,4 +1,8 @@
 """All registered queries and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from .queries import feeds, health, stories, texts
+from .queries.registry import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "feeds", "health", "stories", "texts"]
