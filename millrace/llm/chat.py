@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 from .common import materialise, table
 
 TURN, SAY, END = "<|turn|>", "<|say|>", "<|end|>\n"
+#: Paths of up to 2**40 nodes.
+MAX_ROUNDS = 40
 
 
 def escape(col: Column) -> Column:
@@ -45,32 +47,29 @@ def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         .select("tree", "node", "up", F.when(F.col("up").isNull(), 0).otherwise(1).alias("steps"), F.col("score").alias("total"))
     )
     base = materialise(links, "chat-links")
-    rounds = []
-    current = base
-    limit = 40  # 2**40 nodes on a path
-    while len(rounds) < limit:
-        rounds.append(current)
-        open_links = current.where(F.col("up").isNotNull()).limit(1).count()
-        if not open_links:
-            break
-        far = current.select("tree", F.col("node").alias("up"), F.col("up").alias("_up2"), F.col("steps").alias("_s2"), F.col("total").alias("_t2"))
-        current = materialise(
-            current.join(far, ["tree", "up"], "left").select(
-                "tree",
-                "node",
-                F.col("_up2").alias("up"),
-                (F.col("steps") + F.coalesce("_s2", F.lit(0))).alias("steps"),
-                (F.col("total") + F.coalesce("_t2", F.lit(0.0))).alias("total"),
-            ),
-            "chat-links",
+    reaches, done = [], base.where("up is null")
+    reach = base.where("up is not null")
+    while reach.limit(1).count():
+        # only links that haven't reached a root go on; each node is done once
+        reaches.append(reach)
+        far = reach.select("tree", F.col("node").alias("up"), F.col("up").alias("_up2"), F.col("steps").alias("_s2"), F.col("total").alias("_t2"))
+        ended = done.select("tree", F.col("node").alias("up"), F.col("steps").alias("_s3"), F.col("total").alias("_t3"))
+        onward = reach.join(far, ["tree", "up"]).select(
+            "tree", "node", F.col("_up2").alias("up"), (F.col("steps") + F.col("_s2")).alias("steps"), (F.col("total") + F.col("_t2")).alias("total")
         )
-    done = rounds[-1]
+        arrived = reach.join(ended, ["tree", "up"]).select(
+            "tree", "node", F.lit(None).cast(base.schema["up"].dataType).alias("up"), (F.col("steps") + F.col("_s3")).alias("steps"), (F.col("total") + F.col("_t3")).alias("total")
+        )
+        done = done.unionByName(materialise(arrived, "chat-done"))
+        reach = materialise(onward, "chat-links")
+        if len(reaches) == MAX_ROUNDS:
+            break  # what is left runs in cycles
     parents = base.where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node")).distinct()
-    leaves = done.where(F.col("up").isNull()).join(parents, ["tree", "node"], "left_anti")
+    leaves = done.join(parents, ["tree", "node"], "left_anti")
     best = leaves.withColumn("branch", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))).where(F.col("branch") <= branches)
     chosen = best.select("tree", "branch", "node")
-    for reach in reversed(rounds[:-1]):
-        step = chosen.join(reach.where(F.col("up").isNotNull()).select("tree", "node", "up"), ["tree", "node"])
+    for reach in reversed(reaches):
+        step = chosen.join(reach.select("tree", "node", "up"), ["tree", "node"])
         chosen = chosen.unionByName(step.select("tree", "branch", F.col("up").alias("node"))).distinct()
         chosen = materialise(chosen, "chat-paths")
     return chosen.join(done.select("tree", "node", F.col("steps").alias("depth")), ["tree", "node"]).select("tree", "branch", "depth", "node")
