@@ -88,6 +88,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     """doc_id, at, n, first_doc_id of every run that is not the first of its kind."""
     found = materialise(sentence_runs(docs), "sentence-runs")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("copies")).where("copies > 1")
+    first = materialise(first, "repeated-runs")  # read back, so that the join can split a hot run
     return (
         found.join(first, ["h1", "h2"])
         .where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("at") != F.col("first.at")))
