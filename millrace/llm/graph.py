@@ -9,7 +9,8 @@ from .common import materialise
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    """Read back from a table, so that a join with it can split the edges of a hot node."""
+    return materialise(edges.groupBy("u").agg(F.min("v").alias("m")), "graph-least")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
