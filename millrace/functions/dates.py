@@ -50,13 +50,14 @@ def parse_catalogue_date(col: Column) -> Column:
 
 def month_number(name: Column, languages: tuple[str, ...] = ("en", "fr", "es", "tr")) -> Column:
     """1 to 12 from a month's name or its first three letters (English only)."""
-    low = F.lower(strip(name))
-    out = F.lit(None).cast("int")
+    known: dict[str, int] = {}
     for lang in languages:
         for i, month in enumerate(MONTHS[lang], 1):
-            fits = (low == month) | (low == month[:3]) if lang == "en" else low == month
-            out = F.coalesce(out, F.when(fits, F.lit(i)))
-    return out
+            known.setdefault(month, i)
+            if lang == "en":
+                known.setdefault(month[:3], i)
+    pairs = [F.lit(x) for pair in known.items() for x in pair]
+    return F.try_element_at(F.create_map(*pairs), F.lower(strip(F.coalesce(name, F.lit("")))))
 
 
 def parse_written_date(col: Column, languages: tuple[str, ...] = ("en", "fr", "es", "tr")) -> Column:

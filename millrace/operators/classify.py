@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ..schemas import coerce
@@ -85,6 +86,7 @@ def call_in_batches(rows: DataFrame, classify: Callable[[list[dict]], list[dict]
     ``rows``: chunk_id, item_index and whatever the classifier reads; returns its dicts as ``schema``. A chunk that fails for good gives no rows.
     """
     ship(rows.sparkSession)
+    names = StructType.fromDDL(schema).names
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         items = part.sort_values("item_index").to_dict("records")
@@ -97,7 +99,7 @@ def call_in_batches(rows: DataFrame, classify: Callable[[list[dict]], list[dict]
                 except Exception:  # noqa: BLE001 - any failure of the service counts as one try
                     if attempt + 1 < tries:
                         time.sleep(2**attempt)
-        return pd.DataFrame(columns=["chunk_id", "item_index"])
+        return pd.DataFrame(columns=names)
 
     return rows.repartition(concurrency, "chunk_id").groupBy("chunk_id").applyInPandas(run, schema)
 
