@@ -1,7 +1,8 @@
 """Substring deduplication by sliding runs of consecutive sentences.
 
-At every sentence the shortest run of consecutive sentences is hashed that starts there, has
-``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words (or is one sentence of ``ALONE_WORDS`` words).
+At every sentence the shortest run of consecutive sentences is hashed that starts there, and the shortest
+that ends there, with ``MIN_SENTENCES`` sentences and ``MIN_WORDS`` words (or one sentence of
+``ALONE_WORDS`` words); so a repeated passage is covered up to its last sentence.
 Equal hashes are joined globally; the run that comes first by (doc_id, position) stays,
 and sentences that any other run covers are removed.
 """
@@ -30,7 +31,7 @@ def sentence_cuts(text: str) -> np.ndarray:
 
 
 def runs(text: str, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> list[tuple[int, int, int, int]]:
-    """(first sentence, count of sentences, hash, second hash) of the run at every sentence that has one."""
+    """(first sentence, count of sentences, hash, second hash) of the runs that start or end at each sentence."""
     if not text:
         return []
     cuts = sentence_cuts(text)
@@ -60,9 +61,16 @@ def runs(text: str, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WOR
         np.cumsum(mix(words ^ salt) * power[position], out=p[1:])
         sums.append(p)
     keep = has[stop[has] <= n]
-    a, b = first[keep], first[stop[keep]]
+    # backwards: the last sentence at which a run can start that ends with the words of a sentence
+    rank = np.arange(len(has)) - (min_sentences - 1)
+    enough = first[has + 1] - min_words
+    back = np.minimum(np.searchsorted(first, enough, side="right") - 1, has[np.maximum(rank, 0)])
+    back = np.where(single[has], has, np.where((rank >= 0) & (enough >= 0), back, -1))
+    pairs = np.concatenate([keep * (n + 1) + stop[keep], (back * (n + 1) + has + 1)[back >= 0]])
+    keep, until = np.divmod(np.unique(pairs), n + 1)
+    a, b = first[keep], first[until]
     h1, h2 = (mix((p[b] - p[a]) * inverse[a] + (b - a).astype(np.uint64)).view(np.int64) for p in sums)
-    return list(zip(keep.tolist(), (stop[keep] - keep).tolist(), h1.tolist(), h2.tolist(), strict=True))
+    return list(zip(keep.tolist(), (until - keep).tolist(), h1.tolist(), h2.tolist(), strict=True))
 
 
 def sentence_runs(docs: DataFrame) -> DataFrame:
