@@ -47,15 +47,23 @@ def newer_than(rows: DataFrame, state: DataFrame, column: str) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table, empty where there is none yet."""
+    """A state table's newest version, empty where there is none yet."""
+    empty = spark.createDataFrame([], schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        held = spark.read.parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return empty
+    if "version" in held.columns and "version" not in empty.columns:
+        newest = held.agg(F.max(F.col("version").cast("string")).alias("newest"))
+        held = held.join(F.broadcast(newest), F.col("version").cast("string") == F.col("newest"))
+    return held.select(*empty.columns)
 
 
 def write_state(df: DataFrame, path: str, version: str) -> str:
-    """Writes a new version and then its marker; readers take the version that the newest marker names."""
+    """Writes a new version beside the old ones; versions sort as text (a run's time), and readers take the last.
+
+    A version's folder counts only once its files are committed, so a run that dies leaves the old version in force.
+    """
     target = f"{path}/version={version}"
     df.write.mode("overwrite").parquet(target)
     return target

@@ -112,6 +112,16 @@ def test_seen_store(spark):
     assert sorted(r["id"] for r in state.upsert_seen(store, state.processed(batch, now), now).collect()) == ["a", "c", "d"]
 
 
+def test_state_versions(spark, tmp_path):
+    path = str(tmp_path / "seen")
+    assert state.read_state(spark, path, "id string").count() == 0
+    state.write_state(spark.createDataFrame([("a",), ("b",)], "id string"), path, "2026-01-01")
+    state.write_state(spark.createDataFrame([("c",)], "id string"), path, "2026-01-02")
+    assert [r["id"] for r in state.read_state(spark, path, "id string").collect()] == ["c"]
+    marks = str(tmp_path / "sent")
+    assert state.sent_marker(spark, marks, "d1") and not state.sent_marker(spark, marks, "d1") and state.sent_marker(spark, marks, "d2")
+
+
 def test_health_against_a_model(spark):
     rng = random.Random(3)
     log = [(d, f"s{s}", rng.choice([0, 0, 1]), rng.choice([None, 0, 2]) if s % 2 else None) for s in range(8) for d in range(12)]
