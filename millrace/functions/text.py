@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..shipping import ship_active
+
 _STRIP = r"(?U)^\s+|\s+$"
 
 
@@ -42,6 +44,7 @@ def plain_title(title: str | None) -> str:
 
 def normalize_title_exact(col: Column) -> Column:
     """The exact normal form, with full NFKD, as a pandas UDF."""
+    ship_active()
 
     @F.pandas_udf("string")
     def run(titles: pd.Series) -> pd.Series:
@@ -63,6 +66,7 @@ def normalize_title(col: Column) -> Column:
 
 def unescape_html(col: Column) -> Column:
     """Entities become characters, ends stripped; null stays null."""
+    ship_active()
 
     @F.pandas_udf("string")
     def run(texts: pd.Series) -> pd.Series:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..shipping import ship_active
+
 SEARCH_FEED = "https://news.example/rss/search?q=%s&hl=en"
 
 
@@ -25,6 +27,7 @@ def absolutise(href: Column, base: str) -> Column:
 
 def resolve(href: Column, base: Column) -> Column:
     """Full RFC 3986 resolution, as a pandas UDF."""
+    ship_active()
 
     @F.pandas_udf("string")
     def run(h: pd.Series, b: pd.Series) -> pd.Series:

@@ -25,3 +25,10 @@ def ship(spark: SparkSession) -> None:
         for file in sorted(root.rglob("*.py")):
             out.write(file, f"millrace/{file.relative_to(root)}")
     sc.addPyFile(path)
+
+
+def ship_active() -> None:
+    """The same for the active session, for expressions that run Python."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship(session)

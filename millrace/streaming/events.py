@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..shipping import ship
+
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
 
 
@@ -47,6 +49,8 @@ HEALTH_OUT = "source string, streak int, fetch_streak int, last_seen timestamp"
 def health_stream(log: DataFrame) -> DataFrame:
     """Streaming streaks (run_ts, source, passed, raw): the state is four values for each source; null raw leaves it as it is."""
 
+    ship(log.sparkSession)
+
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         streak, fetch, seen = state.get if state.exists else (0, -1, None)
         for run in pd.concat(list(batches)).sort_values("run_ts").itertuples(index=False):
