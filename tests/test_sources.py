@@ -176,3 +176,13 @@ def test_streams(spark, tmp_path):
     assert events.tumbling(df, "10 minutes").agg(F.sum("n")).first()[0] == 100
     assert events.sessions(df, "5 minutes").agg(F.sum("n")).first()[0] == 100
     assert events.sliding(df, "10 minutes", "5 minutes").agg(F.sum("n")).first()[0] == 200
+
+
+def test_health_stream(spark, tmp_path):
+    log = [(datetime(2026, 1, 1 + d), s, p, r) for d, (s, p, r) in enumerate([("a", 1, 0), ("a", 0, None), ("a", 0, 0), ("b", 0, None)])]
+    schema = "run_ts timestamp, source string, passed int, raw int"
+    spark.createDataFrame(log, schema).coalesce(1).write.parquet(str(tmp_path / "log"))
+    stream = events.health_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "log")))
+    events.write_once(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "update").awaitTermination(120)
+    got = {r["source"]: (r["streak"], r["fetch_streak"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"a": (2, 2), "b": (1, None)}
