@@ -1,6 +1,47 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-OP1_SQL = OP2_SQL = None
+OP2_SQL = r"""
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM pages
+), tokened AS (
+  SELECT *, row_number() OVER () AS rid, list_sort(list_distinct(list_filter(list_concat(
+      ['host=' || host, 'tld=' || string_split(host, '.')[-1]],
+      list_transform(string_split(host, '.'), lambda x: 'label=' || x),
+      ['dir=' || regexp_extract(path, '(?s)^/([^/]*)/', 1), 'end=' || regexp_extract(path, '(?s)\.([A-Za-z0-9]{1,8})$', 1),
+       CASE WHEN length(path) > 1 AND ends_with(path, '/') THEN 'slash=yes' END, CASE WHEN contains(url, '#') THEN 'fragment=yes' END],
+      list_transform(string_split(regexp_extract(url, '(?s)^[^?#]*\?([^#]*)', 1), '&'), lambda p: 'query=' || regexp_extract(p, '(?s)^([^=]*)', 1))
+    ), lambda t: t IS NOT NULL AND NOT ends_with(t, '=')))) AS tokens,
+    CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+      WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM parts
+), labelled AS (
+  SELECT row_number() OVER () AS lid, tokens, quality = 0 AS bad FROM tokened JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL
+), tok AS (
+  SELECT lid, bad, unnest(tokens) AS t FROM labelled
+), sets AS (
+  SELECT bad, [t] AS s FROM tok
+  UNION ALL SELECT a.bad, [a.t, b.t] FROM tok a JOIN tok b ON a.lid = b.lid AND a.t < b.t
+  UNION ALL SELECT a.bad, [a.t, b.t, c.t] FROM tok a JOIN tok b ON a.lid = b.lid AND a.t < b.t JOIN tok c ON c.lid = b.lid AND b.t < c.t
+), totals AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count_if(bad) AS DOUBLE) AS b FROM labelled
+), counted AS (
+  SELECT s, CAST(count(*) AS DOUBLE) AS n, CAST(count_if(bad) AS DOUBLE) AS b FROM sets GROUP BY s
+), rules AS (
+  SELECT s, c.b / c.n AS confidence, c.b / t.n AS support, array_to_string(s, ' ') AS mined FROM counted c, totals t
+  WHERE c.b >= ceil(0.002 * t.n) AND c.b > 0 AND c.b / c.n >= 0.35 AND (c.b / c.n) / (t.b / t.n) >= 2.0
+    AND (c.b / c.n + 1.645 * 1.645 / (2 * c.n) - 1.645 * sqrt((c.b / c.n) * (1 - c.b / c.n) / c.n + 1.645 * 1.645 / (4 * c.n * c.n))) / (1 + 1.645 * 1.645 / c.n) >= 0.25
+), best AS (
+  SELECT rid, max({'confidence': confidence, 'support': support, 'mined': mined}) AS r FROM tokened JOIN rules ON list_has_all(tokens, s) WHERE rule IS NULL GROUP BY rid
+)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL OR r IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict, r.mined AS mined_rule
+FROM tokened LEFT JOIN best USING (rid)
+"""
 
 OP10_SQL = r"""
 WITH sized AS (
