@@ -80,3 +80,28 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
   CAST(size * (passes + CASE WHEN upto IS NOT NULL AND k <= upto THEN 1 ELSE 0 END) AS BIGINT) AS taken, source
 FROM sized JOIN plan USING (src) LEFT JOIN cuts USING (src)
 """
+
+OP6_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, text, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS ws FROM documents WHERE text IS NOT NULL
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) = 0 THEN 'text:' || text WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS s
+  FROM worded, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) r(i)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE c * 10 >= 8 * (p.n + q.n - c)
+), reach(x, y) AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), classes AS (
+  SELECT x, min(y) AS least FROM reach GROUP BY x
+), degrees AS (
+  SELECT x, count(*) AS n FROM links GROUP BY x
+), copies AS (
+  SELECT doc_id, count(*) OVER (PARTITION BY CASE WHEN len(ws) = 0 THEN 'text:' || text ELSE array_to_string(ws, ' ') END) - 1 AS n FROM worded
+)
+SELECT d.doc_id, least(d.doc_id, coalesce(k.least, d.doc_id)) AS class_id, coalesce(g.n, 0) AS n_links, coalesce(c.n, 0) AS n_copies
+FROM documents d LEFT JOIN classes k ON k.x = d.doc_id LEFT JOIN degrees g ON g.x = d.doc_id LEFT JOIN copies c ON c.doc_id = d.doc_id
+"""

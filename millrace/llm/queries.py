@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import chat, decontam, jaccard, langid, media, mixing, quality, sharding, spans, urlrules
-from .oracles import OP2_SQL, OP10_SQL
+from .oracles import OP2_SQL, OP6_SQL, OP10_SQL
 
 QUERIES = {
     "op1_interleaved_shards": sharding.op1_interleaved_shards,
@@ -19,4 +19,4 @@ QUERIES = {
     "mixture_taken": mixing.mixture_taken,
 }
 
-ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op9_reply_chat": chat.OP9_SQL, "mixture_taken": OP10_SQL}
+ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op6_bayes_jaccard": OP6_SQL, "op9_reply_chat": chat.OP9_SQL, "mixture_taken": OP10_SQL}
