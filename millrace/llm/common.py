@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,9 +68,19 @@ def utf8_bytes(text: Column | str) -> Column:
     return F.coalesce(F.octet_length(col).cast("long"), F.lit(0).cast("long"))
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, or ``name`` with underscores before it until no column of ``df`` has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
+def own_names(df: DataFrame) -> dict[str, str]:
+    """New names for the caller's columns that are named like the operators' own (``_m_...``)."""
+    return {c: f"_user{c}" for c in df.columns if c.lower().startswith("_m_")}
+
+
+def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Renames such columns of the first argument while the operator runs, so that they come back as they were."""
+
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        names = own_names(df)
+        if not names:
+            return operator(df, *args, **options)
+        return operator(df.withColumnsRenamed(names), *args, **options).withColumnsRenamed({v: k for k, v in names.items()})
+
+    return run

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_ready, table
+from .common import python_ready, shielded, table
 from .spans import sentence_cuts
 from .textkernel import word_batches, word_spans
 
@@ -313,6 +313,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("overlap").alias("overlap"))
 
 
+@shielded
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, columns as they were; rows with a null doc_id stay only if no such row holds one."""
     leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_m_leaked")).distinct()

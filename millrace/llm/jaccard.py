@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, python_ready, table
+from .common import materialise, python_ready, shielded, table
 from .graph import connected_components
 from .textkernel import minhash, shingle_batch, word_batches
 
@@ -243,6 +243,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
+@shielded
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one row of each class, that of the least doc_id; columns as they were. Rows with null texts all stay."""
     rows, classes = near_classes(docs, threshold)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, python_ready, table
+from .common import held_out, python_ready, shielded, table
 from .textkernel import PIECE, codes, fold_table, letter_table, mix
 
 GRAM, HASHES, SLOT_BITS = 4, 3, 19
@@ -170,6 +170,7 @@ def identify(docs: DataFrame) -> DataFrame:
 MIN_SCORE = 0.2
 
 
+@shielded
 def known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is known, columns as they were."""
     judged = identify(docs.withColumnsRenamed({c: f"_k_{c}" for c in docs.columns if c.lower() in ("lang_pred", "lang_score", "held_out")}))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SEED, source_key, table
+from .common import SEED, own_names, shielded, source_key, table
 from .sharding import shuffle_key
 
 WEIGHTS, SHARE, CAP, BLOCKS = (5, 2, 1), 1.5, 2, 256
@@ -80,9 +80,10 @@ def mixture(
 
     Size is the count of words between ASCII white space. Null texts have size 0, null sources make one
     source that comes last, null ids are values like others. Identical rows (id and text) are taken together. A source whose
-    texts are all empty has target 0 and none of its rows is taken. An empty table gives an empty table.
+    texts are all empty has target 0 and none of its rows is taken. An empty table gives an empty table. A column
+    of ``df`` whose name begins with ``_m_`` comes back with ``_user`` before it.
     """
-    spark = df.sparkSession
+    spark, df = df.sparkSession, df.withColumnsRenamed(own_names(df))
     rows = df.withColumn("_m_size", word_count(text)).withColumn("_m_src", source_key(source)).withColumn("_m_key", shuffle_key(df, doc_id, text, seed))
     rows = rows.withColumn("_m_block", F.conv(F.substring("_m_key", 1, 2), 16, 10).cast("int"))
     narrow = rows.select("_m_src", "_m_block", "_m_key", "_m_size")
@@ -140,6 +141,7 @@ def mixture(
     return out.select(*df.columns, "_m_size", "_m_source_size", "_m_target", "_m_passes", "_m_shards", "_m_key")
 
 
+@shielded
 def mixed_rows(df: DataFrame, *, seed: int = SEED, **options) -> DataFrame:
     """The mixture itself: ``df``'s columns, one row for each time a row is taken, with ``mix_shard`` and ``mix_order`` (the shuffle in the shard)."""
     taken = mixture(df, seed=seed, **options)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SEED, source_key, table, utf8_bytes
+from .common import SEED, shielded, source_key, table, utf8_bytes
 
 DIGITS = 3
 LAYOUT_SLICES = 4096
@@ -45,6 +45,7 @@ def _with_fraction(rows: DataFrame) -> DataFrame:
     )
 
 
+@shielded
 def interleave(
     df: DataFrame, n_shards: int, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, shard: str = "shard", slot: str = "slot"
 ) -> DataFrame:

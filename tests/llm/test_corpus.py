@@ -87,7 +87,7 @@ def test_shards(spark, sf_dir, documents):
 
 def test_shards_by_brute_force(spark, odd, nothing):
     out = sharding.interleave(odd, 3).toPandas()
-    assert list(out.columns) == [*[c for c in odd.columns if c != "shard"], "shard", "slot"][: len(out.columns)] or "slot" in out.columns
+    assert list(out.columns) == [c for c in odd.columns if c != "shard"][:5] + ["_m_key", "shard", "slot"]
     assert len(out) == len(ODD) and sorted(out.groupby("shard").size()) == [2, 3, 3]
     again = sharding.interleave(odd.repartition(5), 3).toPandas()
     key = lambda d: sorted(map(repr, d[["doc_id", "text", "shard", "slot"]].fillna("-").values.tolist()))
@@ -295,6 +295,18 @@ def test_jaccard_odd(spark, odd, nothing):
     assert jaccard.near_duplicates(nothing).count() == 0 and jaccard.one_of_each(nothing).count() == 0
 
 
+def test_clashing_names(spark, documents):
+    """Columns named like the operators' own, or like their results, come back as they were."""
+    docs = documents.head(60).assign(_m_key=range(60), _m_gone="g", _m_lang="l", _m_src=1.5, lang_pred="p", digest="d", text_="t")
+    df = spark.createDataFrame(docs)
+    bench = spark.createDataFrame([(1, "no such item anywhere in here at all")], "item_id long, text string")
+    for run in (langid.known_language, jaccard.one_of_each, lambda d: decontam.without_leaks(d, bench), mixing.mixed_rows, lambda d: sharding.interleave(d, 4)):
+        out = run(df).toPandas()
+        assert list(out.columns)[: len(docs.columns)] == list(docs.columns) and len(out)
+        both = out.merge(docs, on="doc_id", suffixes=("", "_was"))
+        assert all((both[c] == both[f"{c}_was"]).all() for c in docs.columns if c != "doc_id")
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(40)]
