@@ -49,7 +49,7 @@ def matrix_long(latest: DataFrame, countries: DataFrame, crops: DataFrame, year:
     ``countries``: ord, name, region; ``crops``: pos, crop. Both are configuration, so the grid is small; facts are aggregated first.
     """
     cells = year_on_year(latest.select(F.col("Country").alias("name"), F.col("Commodity").alias("crop"), "Market_Year", "value"), ["name", "crop"], year)
-    grid = countries.select("ord", "name", "region").withColumn("_all", F.lit(1)).join(crops.withColumn("_all", F.lit(1)), "_all").drop("_all")
+    grid = countries.select("ord", "name", "region").crossJoin(crops)
     full = grid.join(cells, ["name", "crop"], "left")
     return full.withColumn("_n", F.count("value").over(Window.partitionBy("name"))).where("_n > 0").drop("_n", "previous")
 

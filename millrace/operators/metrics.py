@@ -19,7 +19,7 @@ CACHE_WRITE, CACHE_READ, BATCH = 1.25, 0.10, 0.50
 def call_cost(usage: DataFrame, prices: DataFrame) -> DataFrame:
     """``usage`` with the cost of each call; models without a price get the default one. Null counts are 0."""
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
-    joined = usage.join(F.broadcast(prices), "model", "left")
+    joined = usage.join(prices, "model", "left")
     prompt = n("input_tokens") + n("cache_read") + n("cache_write")
     long = F.coalesce(prompt > F.col("long_threshold"), F.lit(False))
     rate_in = F.when(long, F.col("long_input")).otherwise(F.coalesce("input", F.lit(DEFAULT_INPUT)))
