@@ -182,9 +182,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     members = materialise(comps.join(reps.select("digest", "rep", "copies", "n_shingles"), "digest"), "jaccard-members")
     sizes = members.groupBy("comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
+    # only the few components of several blocks are looked up, from a table, so that the join need not deal members by component
+    large = materialise(sizes.select("comp", blocks.alias("blocks")).where("blocks > 1"), "jaccard-large")
     n_rows, weight = members.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     packs = max(1, n_rows // PACK_ROWS, weight // BLOCK_SHINGLES)
-    placed = members.join(sizes.select("comp", blocks.alias("blocks")), "comp").select("rep", F.struct("digest", "comp", "copies", "blocks").alias("m"))
+    placed = members.join(large, "comp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.select("rep", F.struct("digest", "comp", "copies", "blocks").alias("m"))
     wanted = docs.select("doc_id", "text").where("text is not null").join(placed, docs["doc_id"].eqNullSafe(F.col("rep"))).select("text", "m.*")
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
