@@ -2,11 +2,14 @@
 
 Texts with the same words form a class, and one text stands for it. Representatives whose
 signatures agree in one of ``BANDS`` bands share a bucket; buckets are linked as stars, and the
-components of those links hold all candidate pairs. A component is cut into blocks by hash, and each
-pair of blocks is one unit of work: MinHash values are compared ``STEP`` at a time, pairs go
+components of those links hold all candidate pairs. A component is one unit of work, or if it is large, each
+pair of its blocks that have a bucket in common: MinHash values are compared ``STEP`` at a time, pairs go
 whose posterior probability of reaching the threshold falls below ``TOLERANCE`` (uniform prior, binomial
-matches), and the rest are verified on the exact shingle sets. Units put out links by row,
-never pairs, so the rows grow with the input and not with the square of a group.
+matches), and the rest are verified on the exact shingle sets. Units put out links by row, never pairs.
+
+Blocks keep texts of like buckets together, so a component that weak likenesses string out costs in proportion to
+its buckets. Only a group whose texts all share buckets meets all its blocks: its rows go to as many
+units as it has blocks of ``BLOCK_ROWS``.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, python_ready, shielded, table
@@ -70,15 +73,50 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, digest binary, n_shingles long, signature binary")
 
 
+def band_keys() -> Column:
+    """The hashes of the bands of ``signature``."""
+    width = ROWS * 4
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
+
+
 def bucket_stars(reps: DataFrame) -> DataFrame:
     """Edges (u, v) from each representative to the least of every bucket that it shares."""
-    width = ROWS * 4
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * width + 1, F.lit(width))))
-    bands = reps.where("n_shingles > 0").select("digest", F.explode(band).alias("band"))
+    bands = reps.where("n_shingles > 0").select("digest", F.explode(band_keys()).alias("band"))
     heads = bands.groupBy("band").agg(F.min("digest").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
     return bands.join(heads, "band").where("digest <> v").select(F.col("digest").alias("u"), "v")
 
 
+def block_count() -> Column:
+    """How many blocks hold ``n`` rows of ``weight`` shingles."""
+    return F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
+
+
+def cut_large(members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(blocks, pairs) for the components that need several blocks. blocks: digest, block; pairs: block, first, second.
+
+    A text goes where the least text of all its buckets goes, and such places are cut by hash to the size of a block.
+    ``pairs`` has the units of each block: it and every block that has a text in one of the same buckets.
+    """
+    sums = F.count("*").alias("n"), F.sum("n_shingles").alias("weight")
+    large = members.groupBy("comp").agg(*sums).select("comp", block_count().alias("blocks")).where("blocks > 1")
+    large = materialise(large, "jaccard-large")
+    inside = members.join(large, "comp").select("digest", "comp", "blocks", "n_shingles")
+    bands = materialise(inside.join(reps.select("digest", "signature"), "digest").select("digest", F.explode(band_keys()).alias("band")), "jaccard-bands")
+    heads = materialise(bands.groupBy("band").agg(F.min("digest").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n"), "jaccard-heads")
+    homes = bands.join(heads, "band").groupBy("digest").agg(F.min("head").alias("home"))
+    place = F.pmod(F.xxhash64(F.coalesce("home", "digest")), F.col("blocks"))
+    placed = materialise(inside.join(homes, "digest", "left").select("digest", "comp", "n_shingles", place.alias("place")), "jaccard-places")
+    cuts = materialise(placed.groupBy("comp", "place").agg(*sums).select("comp", "place", block_count().alias("cuts")), "jaccard-cuts")
+    block = F.xxhash64("comp", "place", F.pmod(F.xxhash64("digest"), F.col("cuts"))).bitwiseOR(F.lit(1))
+    blocks = materialise(placed.join(cuts, ["comp", "place"]).select("digest", block.alias("block")), "jaccard-blocks")
+    met = bands.join(heads.select("band"), "band").join(blocks, "digest").select("band", "block").distinct()
+    met = materialise(met, "jaccard-met")
+    pairs = met.select("band", F.col("block").alias("first")).join(met.select("band", F.col("block").alias("second")), "band").where("first < second")
+    own = blocks.select(F.col("block").alias("first"), F.col("block").alias("second"))
+    pairs = pairs.select("first", "second").unionByName(own).distinct()
+    return blocks, materialise(pairs.select(F.explode(F.array_distinct(F.array("first", "second"))).alias("block"), "first", "second"), "jaccard-pairs")
+
+
 def _surviving(a: np.ndarray, b: np.ndarray, same: bool, least: list[int]) -> tuple[np.ndarray, np.ndarray]:
     matches = np.zeros((len(a), len(b)), np.uint8)
     for k in range(STEP):
@@ -180,14 +218,12 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     reps = materialise(reps, "jaccard-representatives")
     comps = connected_components(bucket_stars(reps)).withColumnRenamed("node", "digest")
     members = materialise(comps.join(reps.select("digest", "rep", "copies", "n_shingles"), "digest"), "jaccard-members")
-    sizes = members.groupBy("comp").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("weight") / BLOCK_SHINGLES)).cast("int")
-    # only the few components of several blocks are looked up, from a table, so that the join need not deal members by component
-    large = materialise(sizes.select("comp", blocks.alias("blocks")).where("blocks > 1"), "jaccard-large")
+    blocks, pairs = cut_large(members, reps)
     n_rows, weight = members.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     packs = max(1, n_rows // PACK_ROWS, weight // BLOCK_SHINGLES)
-    placed = members.join(large, "comp", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    placed = placed.select("rep", F.struct("digest", "comp", "copies", "blocks").alias("m"))
+    # blocks are odd; the texts of small components get even numbers, each its own, so that no key of the join below is hot
+    block = F.coalesce("block", F.xxhash64("digest").bitwiseAND(F.lit(-2)))
+    placed = members.join(blocks, "digest", "left").select("rep", F.struct("digest", "comp", "copies", block.alias("block")).alias("m"))
     wanted = docs.select("doc_id", "text").where("text is not null").join(placed, docs["doc_id"].eqNullSafe(F.col("rep"))).select("text", "m.*")
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,24 +240,23 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
                         "digest": [digests[i] for i in at],
                         "comp": batch["comp"].iloc[at].array,
                         "copies": batch["copies"].iloc[at].array,
-                        "blocks": batch["blocks"].iloc[at].array,
+                        "block": batch["block"].iloc[at].array,
                         "signature": [sig[k].tobytes() for k in own],
                         "shingles": [np.unique(sh[so[k] : so[k + 1]]).tobytes() for k in own],
                     }
                 )
 
-    full = wanted.mapInPandas(shingles, "digest binary, comp binary, copies long, blocks int, signature binary, shingles binary")
-    block = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    full = full.withColumn("block", block)
-    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.least("block", b).alias("first"), F.greatest("block", b).alias("second")))
-    units = full.withColumn("pair", F.explode(pair)).select("*", "pair.first", "pair.second").drop("pair")
-    unit = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.xxhash64("comp", "first", "second"))
+    full = wanted.mapInPandas(shingles, "digest binary, comp binary, copies long, block long, signature binary, shingles binary")
+    small = F.col("first").isNull()
+    unit = F.when(small, F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.xxhash64("first", "second"))
+    place = [F.when(small, F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in ("block", "first", "second")]
+    units = full.join(pairs, "block", "left").select("digest", "comp", "copies", "signature", "shingles", *place, unit.alias("unit"))
 
     def verify(rows: pd.DataFrame) -> pd.DataFrame:
         parts = [link_rows(part, int(first), int(second), threshold, least) for (_, first, second), part in rows.groupby(["comp", "first", "second"], sort=False)]
         return pd.concat(parts, ignore_index=True)
 
-    links = units.withColumn("unit", unit).groupBy("unit").applyInPandas(verify, "digest binary, links long, root binary")
+    links = units.groupBy("unit").applyInPandas(verify, "digest binary, links long, root binary")
     links = materialise(links, "jaccard-links")
     joined = connected_components(links.select(F.col("digest").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "digest")
     counts = links.groupBy("digest").agg(F.sum("links").alias("links"))

@@ -287,6 +287,35 @@ def test_large_group_in_blocks(spark, monkeypatch):
     assert got == brute_links(rows)
 
 
+def test_strung_out_component(spark, monkeypatch):
+    """Groups that only a weak likeness strings together stay apart in blocks, and lose no link."""
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"w{rng.randrange(9000)}" for _ in range(n)]
+
+    rows, tail = [], words(90)
+    for g in range(60):
+        base = tail + words(30)
+        tail = base[30:]  # three quarters of each group's text are in the next group's
+        for k in range(6):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"x{k}"
+            rows.append((g * 6 + k, " ".join(w)))
+    seen = {}
+
+    def cut(*tables, real=jaccard.cut_large):
+        seen["blocks"], seen["pairs"] = real(*tables)
+        return seen["blocks"], seen["pairs"]
+
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 12)
+    monkeypatch.setattr(jaccard, "cut_large", cut)
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_links(rows)
+    held, n = seen["blocks"].groupBy("block").count().toPandas()["count"], seen["pairs"].select("first", "second").distinct().count()
+    assert held.sum() > 200 and n < len(held) * (len(held) + 1) / 4
+
+
 def test_jaccard_odd(spark, odd, nothing):
     got = {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in jaccard.near_duplicates(odd).collect()}
     assert got[1] == (1, 0, 0) and got[3] == (3, 1, 1) and got[None] == (None, 0, 0) and got[2] == (2, 0, 0)
