@@ -3,9 +3,10 @@
 Benchmark items are cut into passages. Words are hashed to ``SLOTS`` terms; document
 frequencies of the passages' terms are counted over the whole corpus. A randomised SVD of the TF-IDF
 passages, whose products are summed by partition, gives a latent space of ``RANK`` dimensions. Every
-window of every text is projected and compared by cosine with all passages (the stated query set,
-in blocks); candidates are verified by the longest common subsequence of words and, for
-paraphrases, by the item's answer (its last sentence).
+window of every text meets the passages (the stated query set) of which it and its surroundings hold the part
+``PARAPHRASE`` of the words: these pairs are looked up by the passages' rarest words, without loss.
+They are compared by cosine in the latent space, as a window and in runs of the passage's own length, and
+verified by the longest common subsequence of words and, for paraphrases, by the item's answer (its last sentence).
 
 Sizes are bounded: the term table has ``SLOTS`` entries and the basis ``SLOTS`` x ``RANK`` floats
 at most; passages go to the executors as one array, refused over ``MAX_PASSAGES``.
@@ -27,8 +28,10 @@ from .textkernel import word_batches, word_spans
 SLOT_BITS, RANK, OVERSAMPLE, ROUNDS = 16, 96, 16, 2
 SLOTS = 1 << SLOT_BITS
 WINDOW, STRIDE, MAX_PASSAGES = 32, 8, 200_000
-#: A window is a candidate at this cosine; a copy shares this part of a passage's words in order, a paraphrase less but the answer's words too.
-MIN_COSINE, MIN_ENERGY, COPY, PARAPHRASE, ANSWER, MIN_WORDS = 0.5, 0.25, 0.8, 0.6, 0.5, 5
+#: A window, or a run in it as long as the passage, is a candidate at this cosine; a copy shares this part of a passage's words in order, a paraphrase less but the answer's words too.
+MIN_COSINE, COPY, PARAPHRASE, ANSWER, MIN_WORDS = 0.5, 0.8, 0.6, 0.5, 5
+#: Pairs of windows and passages that are looked up at once, but for those of a single window.
+PAIRS = 1 << 21
 
 
 def _slots(words: np.ndarray) -> np.ndarray:
@@ -229,6 +232,48 @@ def _shared_words(term, terms, lengths, at, passage, lo, hi) -> np.ndarray:
     return out
 
 
+def _postings(terms: np.ndarray, lengths: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The passages by their rarest terms, so many of each that ``PARAPHRASE`` of its words can't do without all of them.
+
+    Returns the first place of each term, with the end, and the passages.
+    """
+    weight = np.where(terms >= 0, idf[terms], -1)
+    order = np.argsort(-weight, axis=1, kind="stable")
+    least = np.ceil(PARAPHRASE * lengths - 1e-9).astype(np.int64)
+    passage, nth = np.nonzero(np.arange(terms.shape[1]) < (lengths - least + 1)[:, None])
+    pairs = np.unique(terms[passage, order[passage, nth]].astype(np.int64) * len(terms) + passage)
+    term, passage = np.divmod(pairs, len(terms))
+    return np.searchsorted(term, np.arange(len(idf) + 1)), passage
+
+
+def _candidates(term, first, posted, passages, lo, hi) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (window, passage) whose region holds one of the passage's posted terms, about ``PAIRS`` at a time."""
+    count = np.append(np.diff(first), 0)[term]
+    hot = np.flatnonzero(count)
+    count, lead = count[hot], first[term[hot]]
+    lo, hi = np.searchsorted(hot, lo), np.searchsorted(hot, hi)
+    before = np.concatenate([[0], np.cumsum(count)])
+    total = np.concatenate([[0], np.cumsum(before[hi] - before[lo])])
+    a = 0
+    while a < len(lo):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + PAIRS, side="right")) - 1)
+        size = hi[a:b] - lo[a:b]
+        word = np.repeat(lo[a:b] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        each = count[word]
+        place = np.repeat(lead[word] - np.cumsum(each) + each, each) + np.arange(each.sum())
+        window = np.repeat(np.repeat(np.arange(a, b), size), each)
+        yield np.divmod(np.unique(window * passages + posted[place]), passages)
+        a = b
+
+
+def _run_cosine(vectors: np.ndarray, term: np.ndarray, target: np.ndarray, length: int) -> float:
+    """The largest cosine of a run of ``length`` words with a passage."""
+    sums = np.cumsum(np.vstack([np.zeros((1, vectors.shape[1])), vectors[term]]), axis=0)
+    length = min(length, len(term))
+    runs = sums[length:] - sums[:-length]
+    return float((runs @ target / np.maximum(np.sqrt(np.einsum("ij,ij->i", runs, runs)), 1e-9)).max())
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, cosine, overlap (share of the passage's words in order) for each document and item that it holds.
 
@@ -261,52 +306,51 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     basis = randomised_svd(items, used, idf)
     space = Space(used, idf, float(idf[used].mean()), basis)
     targets = np.stack([space.project(w) for w in words]).astype(np.float32)
-    shared = spark.sparkContext.broadcast((space, targets, words, answers, rows["item_id"].to_numpy(np.int64), marked))
+    shared = spark.sparkContext.broadcast((space, targets, words, answers, used, rows["item_id"].to_numpy(np.int64)))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        space, targets, passage, answer, item, marked = shared.value
+        space, targets, passage, answer, used, item = shared.value
         lengths = np.array([len(w) for w in passage])
         terms = np.full((len(passage), WINDOW), -1, np.int32)
         for k, w in enumerate(passage):
             terms[k, : len(w)] = space.index[_slots(w)]
+        first, posted = _postings(terms, lengths, space.weight[used])
         for batch in batches:
             best: dict[tuple[int, int], tuple[float, float]] = {}
             for ids, offsets, hashes in word_batches(batch["text"]):
                 if not len(hashes):
                     continue
-                slot = _slots(hashes)
-                square = space.weight[slot].astype(np.float64) ** 2
-                whole = np.concatenate([[0], np.cumsum(square)])
-                inside = np.concatenate([[0], np.cumsum(square * marked[slot])])
                 doc, start, end = _windows(offsets)
-                rich = np.flatnonzero(inside[end] - inside[start] >= MIN_ENERGY * (whole[end] - whole[start]))
-                term = space.index[slot]
-                sums, at_block = _block_sums(space.vectors, term, offsets, start[rich], doc[rich])
+                term = space.index[_slots(hashes)]
                 region_lo = np.maximum(offsets[doc], start - WINDOW // 2)
                 region_hi = np.minimum(offsets[doc + 1], end + WINDOW // 2)
-                for lo in range(0, len(rich), 4096):
-                    part = rich[lo : lo + 4096]
-                    x = _window_sums(space.vectors, term, sums, at_block, offsets, doc[part], start[part], end[part])
+                for at, near_to in _candidates(term, first, posted, len(passage), region_lo, region_hi):
+                    low, high = at[:1].sum(), at[-1:].sum() + 1
+                    held = _shared_words(term, terms, lengths, at - low, near_to, region_lo[low:high], region_hi[low:high])
+                    at, near_to = at[held], near_to[held]
+                    if not len(at):
+                        continue
+                    rich, of = np.unique(at, return_inverse=True)
+                    sums, at_block = _block_sums(space.vectors, term, offsets, start[rich], doc[rich])
+                    x = _window_sums(space.vectors, term, sums, at_block, offsets, doc[rich], start[rich], end[rich])
                     x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x))[:, None], 1e-9)
-                    for block in range(0, len(targets), 4096):
-                        cosine = x @ targets[block : block + 4096].T
-                        at, near_to = np.nonzero(cosine >= MIN_COSINE)
-                        held = _shared_words(term, terms, lengths, at, near_to + block, region_lo[part], region_hi[part])
-                        for i, j in zip(at[held], near_to[held], strict=True):
-                            w, p = part[i], block + j
-                            key = (ids[doc[w]], int(p))
-                            if key in best and best[key][1] >= 1:
-                                continue
-                            a, b = region_lo[w], region_hi[w]
-                            region = hashes[a:b]
-                            overlap = lcs_length(passage[p], region) / len(passage[p])
-                            if overlap < PARAPHRASE:
+                    for w, k, p in zip(at.tolist(), of.tolist(), near_to.tolist(), strict=True):
+                        key = (ids[doc[w]], p)
+                        if key in best and best[key][1] >= 1:
+                            continue
+                        a, b = region_lo[w], region_hi[w]
+                        overlap = lcs_length(passage[p], hashes[a:b]) / len(passage[p])
+                        if overlap < PARAPHRASE:
+                            continue
+                        if overlap < COPY:
+                            near = hashes[a : min(offsets[doc[w] + 1], b + WINDOW)]
+                            if np.isin(answer[p], near).mean() < ANSWER:
                                 continue
-                            if overlap < COPY:
-                                near = hashes[a : min(offsets[doc[w] + 1], b + WINDOW)]
-                                if np.isin(answer[p], near).mean() < ANSWER:
-                                    continue
-                            best[key] = max(best.get(key, (0.0, 0.0)), (float(cosine[i, j]), overlap), key=lambda v: v[1])
+                        cosine = float(x[k] @ targets[p])
+                        if cosine < MIN_COSINE:
+                            cosine = _run_cosine(space.vectors, term[a:b], targets[p], len(passage[p]))
+                        if cosine >= MIN_COSINE:
+                            best[key] = max(best.get(key, (0.0, 0.0)), (cosine, overlap), key=lambda v: v[1])
             yield pd.DataFrame([(batch["doc_id"].iloc[d], item[p], c, o) for (d, p), (c, o) in best.items()], columns=["doc_id", "item_id", "cosine", "overlap"])
 
     found = docs.select("doc_id", "text").mapInPandas(search, schema)

@@ -185,6 +185,22 @@ def test_paraphrases_are_found(spark, sf_dir, documents):
     assert len(want & got) >= 0.9 * len(want) and not [d for d, _ in got if d >= 2000]
 
 
+def test_short_item_in_a_third_of_the_documents(spark, sf_dir, documents):
+    bench = pd.read_parquet(f"{sf_dir}/benchmark.parquet")[["item_id", "text"]]
+    item = " ".join(bench.text[0].split()[:15])
+    bench = spark.createDataFrame([(int(i), t) for i, t in zip(bench.item_id, bench.text, strict=True)] + [(-1, item)], "item_id long, text string")
+    rng, rows, want = random.Random(8), [], set()
+    for d, text in zip(documents.doc_id, documents.text, strict=True):
+        words = (text or "").split()
+        if d % 3 == 0 and len(words) >= 60:
+            at = rng.randrange(len(words))
+            text = " ".join([*words[:at], item, *words[at:]])
+            want.add(d)
+        rows.append((int(d), text))
+    got = {r["doc_id"] for r in decontam.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect() if r["item_id"] == -1}
+    assert len(want) > 200 and want <= got
+
+
 def test_lcs():
     rng = np.random.default_rng(1)
     for _ in range(50):
