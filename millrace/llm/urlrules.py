@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from .common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BAD = "label=bad"
+#: Marks the bad URLs among the items; no token of a URL starts like it.
+BAD = "verdict=bad"
 #: A rule holds for at least this share of the labelled URLs, and this share of those it fits is bad.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MAX_ANTECEDENT = 0.002, 0.35, 2.0, 3
 #: Rules seen on few URLs must also have this confidence at the lower end of their Wilson interval.

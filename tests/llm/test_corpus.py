@@ -109,6 +109,15 @@ def test_urls(spark):
     assert urlrules.judge_urls(pages.limit(0), labels.limit(0)).count() == 0
 
 
+def test_host_label_like_the_marker(spark):
+    """Good pages of bad.example.net stay good, and a bad one among them can be mined."""
+    urls = ["http://bad.example.net/a/x"] * 40 + ["http://ill.example.net/b/x"] * 10 + ["http://bad.example.net/c/x"] * 10
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i < 40)) for i in range(60)], "doc_id long, quality int")
+    got = {r["page_id"]: r["verdict"] for r in urlrules.judge_urls(pages, labels, stated=[]).collect()}
+    assert got == {i: "allow" if i < 40 else "block" for i in range(60)}
+
+
 def test_mined_rules_by_brute_force(spark, sf_dir):
     pages, labels = (spark.read.parquet(f"{sf_dir}/../sf0.1/{t}.parquet") for t in ("pages", "labels"))
     host, path = urlrules.url_host(F.col("url")), urlrules.url_path(F.col("url"))
