@@ -21,7 +21,9 @@ from .common import materialise, python_ready, table
 from .textkernel import mix, word_spans
 
 MIN_SENTENCES, MIN_WORDS, ALONE_WORDS = 2, 25, 40
-_END = re.compile(r"(?:[.!?…。！？]+[\"'”’»)\]]*(?=\s|$)|\n)\s*")
+#: Chinese and Japanese write no white space after a sentence.
+_END = re.compile(r"(?:[.!?…]+[\"'”’»)\]]*(?=\s|$)|[。！？][.!?…。！？]*[\"'”’»)\]」』）]*|\n)\s*")
+_UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U000323af]")
 
 
 def sentence_cuts(text: str) -> np.ndarray:
@@ -30,27 +32,37 @@ def sentence_cuts(text: str) -> np.ndarray:
     return np.unique(np.array([0, *cuts, len(text)], np.int64))
 
 
+def word_counts(text: str, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """How many words each run of letters counts as: one, or its letters of scripts that put no space between words."""
+    if not _UNSPACED.search(text):
+        return np.ones(len(start), np.int64)
+    held = np.zeros(len(text) + 1, np.int64)
+    held[[m.end() for m in _UNSPACED.finditer(text)]] = 1
+    held = np.cumsum(held)
+    return np.maximum(held[end] - held[start], 1)
+
+
 def runs(text: str, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> list[tuple[int, int, int, int]]:
     """(first sentence, count of sentences, hash, second hash) of the runs that start or end at each sentence."""
     if not text:
         return []
     cuts = sentence_cuts(text)
-    words, start, _ = word_spans(text)
+    words, start, stop = word_spans(text)
     first = np.searchsorted(start, cuts)
+    count = np.concatenate([[0], np.cumsum(word_counts(text, start, stop))])[first]
     n = len(cuts) - 1
     if n < 1 or not len(words):
         return []
-    lo = first[:-1]
     has = np.flatnonzero(np.diff(first) > 0)  # sentences without words neither start nor count
     order = np.cumsum(np.diff(first) > 0)
-    end = np.searchsorted(first, lo + min_words, side="left")  # first cut with enough words
+    end = np.searchsorted(count, count[:-1] + min_words, side="left")  # first cut with enough words
     kth = np.full(n, n + 1)
     place = order - 1 + min_sentences  # rank of the first sentence after the run
     ok = place <= len(has)
     kth[ok] = np.append(has, n)[np.minimum(place[ok], len(has))]
     kth[ok & (place == len(has))] = n
     stop = np.maximum(end, kth)
-    single = np.diff(first) >= alone_words
+    single = np.diff(count) >= alone_words
     stop = np.where(single, np.arange(n) + 1, stop)
     position = np.arange(len(words), dtype=np.uint64)
     power = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(len(words), np.uint64(0x9E3779B97F4A7C15))]))
@@ -63,8 +75,8 @@ def runs(text: str, min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WOR
     keep = has[stop[has] <= n]
     # backwards: the last sentence at which a run can start that ends with the words of a sentence
     rank = np.arange(len(has)) - (min_sentences - 1)
-    enough = first[has + 1] - min_words
-    back = np.minimum(np.searchsorted(first, enough, side="right") - 1, has[np.maximum(rank, 0)])
+    enough = count[has + 1] - min_words
+    back = np.minimum(np.searchsorted(count, enough, side="right") - 1, has[np.maximum(rank, 0)])
     back = np.where(single[has], has, np.where((rank >= 0) & (enough >= 0), back, -1))
     pairs = np.concatenate([keep * (n + 1) + stop[keep], (back * (n + 1) + has + 1)[back >= 0]])
     keep, until = np.divmod(np.unique(pairs), n + 1)

@@ -414,6 +414,13 @@ def test_planted_passage(spark, odd, nothing):
     assert {r["doc_id"] for r in spans.without_repeats(odd).collect()} <= {6} and spans.without_repeats(nothing).count() == 0
 
 
+def test_passage_without_spaces(spark):
+    passage = "今年小麦产量比去年增加。农民对新的价格感到满意！市场会怎样变化？专家认为出口将继续增长。"
+    rows = [(1, f"这是第一篇文章的开头。{passage}第一篇到此结束。"), (2, f"另一篇完全不同的文字。{passage}其他内容在这里。"), (3, "短句。另一篇短文。")]
+    out = spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["n_removed"], r["removed"], r["text"]) for r in out] == [(2, 4, passage, "另一篇完全不同的文字。其他内容在这里。")]
+
+
 # --- 8
 
 
