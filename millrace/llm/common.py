@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -19,12 +20,13 @@ SEED = 20240131
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (local tests) a temporary folder is made.
+    Where the setting is absent, a local master (tests) gets a temporary folder; a cluster is refused,
+    since its executors would each write to their own disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -68,9 +70,33 @@ def utf8_bytes(text: Column | str) -> Column:
     return F.coalesce(F.octet_length(col).cast("long"), F.lit(0).cast("long"))
 
 
-def own_names(df: DataFrame) -> dict[str, str]:
-    """New names for the caller's columns that are named like the operators' own (``_m_...``)."""
-    return {c: f"_user{c}" for c in df.columns if c.lower().startswith("_m_")}
+def row_hash(text: Column | str) -> Column:
+    """Tells the texts of rows with one id, or none, apart; such rows spread by it. Null texts are alike."""
+    col = F.col(text) if isinstance(text, str) else text
+    return F.xxhash64(F.coalesce(col, F.lit("")), col.isNull())
+
+
+def whole_ids(df: DataFrame) -> DataFrame:
+    """``df`` with ``no_id`` and without null doc_ids: pandas makes floats of a column with nulls, which aren't exact over 2**53."""
+    return df.withColumn("no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
+
+
+def real_ids(df: DataFrame) -> DataFrame:
+    """The way back from ``whole_ids``."""
+    return df.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
+
+
+def shield(df: DataFrame, also: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with new names, free in it, for the caller's columns that are named like the operators' own (``_m_...``) or one of ``also``; and the way back."""
+    taken, back = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.lower().startswith("_m_") or c.lower() in also:
+            new = f"_user_{c}"
+            while new.lower() in taken:
+                new = f"_user{new}"
+            taken.add(new.lower())
+            back[new] = c
+    return (df.withColumnsRenamed({c: new for new, c in back.items()}) if back else df), back
 
 
 def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
@@ -78,9 +104,8 @@ def shielded(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
     @functools.wraps(operator)
     def run(df: DataFrame, *args, **options) -> DataFrame:
-        names = own_names(df)
-        if not names:
-            return operator(df, *args, **options)
-        return operator(df.withColumnsRenamed(names), *args, **options).withColumnsRenamed({v: k for k, v in names.items()})
+        held, back = shield(df)
+        out = operator(held, *args, **options)
+        return out.withColumnsRenamed(back) if back else out
 
     return run

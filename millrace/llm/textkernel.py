@@ -51,17 +51,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(_BASE, -1, 1 << 64)
+def _power_row(n: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
-    for base in (_BASE, inverse):
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
         p = np.full(n, base, np.uint64)
         p[0] = 1
         out.append(np.multiply.accumulate(p))
     return out[0], out[1]
 
 
+@functools.cache
+def _held_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _power_row(2 * PIECE)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse at least; one pair of arrays is kept, longer ones are made for the call."""
+    return _held_powers() if n <= 2 * PIECE else _power_row(n)
+
+
 def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of every word (run of letters and digits, case folded)."""
     f = fold_table()[codes(text)]
@@ -71,8 +79,7 @@ def _word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word[1:-1] = f > 0
     edge = np.flatnonzero(word[1:] != word[:-1])
     start, end = edge[::2], edge[1::2]
-    size = 1 << max(12, int(n).bit_length())
-    power, inverse = _powers(size)
+    power, inverse = powers(n + 1)
     prefix = np.zeros(n + 1, np.uint64)
     np.cumsum(f.astype(np.uint64) * power[:n], out=prefix[1:])
     return mix((prefix[end] - prefix[start]) * inverse[start] + (end - start).astype(np.uint64)), start, end
@@ -129,6 +136,34 @@ def word_batches(texts: Iterable[str | None], size: int = PIECE) -> Iterator[tup
         yield flush()
 
 
+def span_batches(texts: Iterable[str | None], size: int = PIECE) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole documents in batches of about ``size`` characters, with the places of their words.
+
+    Yields (indices of the documents, first character of each in the batch, word hashes, starts, ends).
+    """
+    ids: list[int] = []
+    held: list[str] = []
+    chars = 0
+
+    def flush():
+        bounds = np.cumsum([0] + [len(t) + 1 for t in held])[:-1]
+        return ids, bounds, *_word_hashes("\n".join(held))
+
+    for i, text in enumerate(texts):
+        text = text or ""
+        if ids and chars + len(text) > size:
+            yield flush()
+            ids, held, chars = [], [], 0
+        if len(text) > size:
+            yield [i], np.zeros(1, np.int64), *word_spans(text)
+            continue
+        ids.append(i)
+        held.append(text)
+        chars += len(text) + 1
+    if ids:
+        yield flush()
+
+
 def word_spans(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes with their character spans in one text."""
     at, out = 0, []
