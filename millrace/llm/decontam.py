@@ -9,7 +9,7 @@ They are compared by cosine in the latent space, as a window and in runs of the
 verified by the longest common subsequence of words and, for paraphrases, by the item's answer (its last sentence).
 
 Sizes are bounded: the term table has ``SLOTS`` entries and the basis ``SLOTS`` x ``RANK`` floats
-at most; passages go to the executors as one array, refused over ``MAX_PASSAGES``.
+at most; passages go to the executors ``BLOCK_PASSAGES`` at a time, each block in a search of its own.
 """
 
 from __future__ import annotations
@@ -21,17 +21,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_ready, shielded, table
+from .common import materialise, python_ready, real_ids, row_hash, shielded, table, whole_ids
 from .spans import sentence_cuts
 from .textkernel import word_batches, word_spans
 
 SLOT_BITS, RANK, OVERSAMPLE, ROUNDS = 16, 96, 16, 2
 SLOTS = 1 << SLOT_BITS
-WINDOW, STRIDE, MAX_PASSAGES = 32, 8, 200_000
+WINDOW, STRIDE, BLOCK_PASSAGES = 32, 8, 50_000
 #: A window, or a run in it as long as the passage, is a candidate at this cosine; a copy shares this part of a passage's words in order, a paraphrase less but the answer's words too.
-MIN_COSINE, COPY, PARAPHRASE, ANSWER, MIN_WORDS = 0.5, 0.8, 0.6, 0.5, 5
-#: Pairs of windows and passages that are looked up at once, but for those of a single window.
-PAIRS = 1 << 21
+MIN_COSINE, COPY, PARAPHRASE, ANSWER = 0.5, 0.8, 0.6, 0.5
+#: A passage of fewer words is held only by a text that has it word for word: a few words in order are no sign of it.
+SHORT = 5
+#: Pairs of windows and passages that are looked up at once, but for those of a single window; terms whose sums travel together.
+PAIRS, TERM_BLOCK = 1 << 18, 64
 
 
 def _slots(words: np.ndarray) -> np.ndarray:
@@ -71,6 +73,13 @@ def lcs_length(a: np.ndarray, b: np.ndarray) -> int:
     return len(a) - v.bit_count()
 
 
+def held_whole(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether ``a`` is a run of consecutive words of ``b``."""
+    if len(a) > len(b):
+        return False
+    return bool((np.lib.stride_tricks.sliding_window_view(b, len(a)) == a).all(1).any())
+
+
 def document_frequencies(docs: DataFrame, used: np.ndarray) -> tuple[np.ndarray, int]:
     """How many rows of ``docs`` hold each term marked in ``used``, and the count of rows."""
     shared = python_ready(docs).sparkContext.broadcast(used)
@@ -89,6 +98,7 @@ def document_frequencies(docs: DataFrame, used: np.ndarray) -> tuple[np.ndarray,
         yield pd.DataFrame({"slot": np.append(at, -1), "n": np.append(total[at], rows)})
 
     sums = docs.select("text").mapInPandas(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+    shared.destroy()
     out, rows = np.zeros(SLOTS), 0
     for r in sums:
         if r["slot"] < 0:
@@ -122,7 +132,7 @@ def _row_vector(words: np.ndarray, index: np.ndarray, idf: np.ndarray) -> tuple[
 def randomised_svd(benchmark: DataFrame, used: np.ndarray, idf: np.ndarray, rank: int = RANK, rounds: int = ROUNDS, seed: int = 11) -> np.ndarray:
     """Right singular vectors (terms in use x rank) of the TF-IDF passages of ``benchmark`` (text).
 
-    Each round sends a thin matrix out and sums ``A^T (A Q)`` over the partitions by term.
+    Each round sends a thin matrix out and sums ``A^T (A Q)`` over the partitions by blocks of terms.
     """
     sc = python_ready(benchmark).sparkContext
     n = len(used)
@@ -144,15 +154,16 @@ def randomised_svd(benchmark: DataFrame, used: np.ndarray, idf: np.ndarray, rank
                         at, x = _row_vector(words, index, idf)
                         out[at] += x[:, None] * (x @ q[at])
                         touched[at] = True
-            at = np.flatnonzero(touched)
-            yield pd.DataFrame({"term": at, "v": [out[i].tobytes() for i in at]})
+            blocks = np.unique(np.flatnonzero(touched) // TERM_BLOCK)
+            yield pd.DataFrame({"block": blocks, "v": [out[i * TERM_BLOCK : (i + 1) * TERM_BLOCK].tobytes() for i in blocks]})
 
         def add(rows: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"term": rows["term"].iloc[:1], "v": [np.sum([np.frombuffer(v) for v in rows["v"]], axis=0).tobytes()]})
+            return pd.DataFrame({"block": rows["block"].iloc[:1], "v": [np.sum([np.frombuffer(v) for v in rows["v"]], axis=0).tobytes()]})
 
         z = np.zeros((n, width))
-        for r in benchmark.mapInPandas(run, "term long, v binary").groupBy("term").applyInPandas(add, "term long, v binary").collect():
-            z[r["term"]] = np.frombuffer(r["v"])
+        for r in benchmark.mapInPandas(run, "block long, v binary").groupBy("block").applyInPandas(add, "block long, v binary").collect():
+            z[r["block"] * TERM_BLOCK : (r["block"] + 1) * TERM_BLOCK] = np.frombuffer(r["v"]).reshape(-1, width)
+        shared.destroy()
     values, vectors = np.linalg.eigh(q.T @ z)
     best = np.argsort(-values)[:rank]
     return q @ vectors[:, best]
@@ -274,42 +285,13 @@ def _run_cosine(vectors: np.ndarray, term: np.ndarray, target: np.ndarray, lengt
     return float((runs @ target / np.maximum(np.sqrt(np.einsum("ij,ij->i", runs, runs)), 1e-9)).max())
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, cosine, overlap (share of the passage's words in order) for each document and item that it holds.
-
-    ``docs``: doc_id, text; ``benchmark``: item_id, text. Null and wordless texts hold nothing, and items of fewer than ``MIN_WORDS``
-    words are too short to be held. Rows with one doc_id count as one document, items with one id as one item; a null doc_id is kept.
-    """
-    spark = python_ready(docs)
-    items = benchmark.where("text is not null").select("item_id", "text")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(i, w.tobytes(), answer_words(t).tobytes()) for i, t in zip(batch["item_id"], batch["text"], strict=True) for w in passages(t) if len(w) >= MIN_WORDS]
-            yield pd.DataFrame(rows, columns=["item_id", "words", "answer"])
-
-    rows = items.mapInPandas(cut, "item_id long, words binary, answer binary").dropDuplicates().limit(MAX_PASSAGES + 1).toPandas()
-    if len(rows) > MAX_PASSAGES:
-        raise ValueError(f"more than {MAX_PASSAGES} passages; run the benchmark in parts")
-    schema = "doc_id long, item_id long, cosine double, overlap double"
-    if not len(rows):
-        return spark.createDataFrame([], schema)
-    rows = rows.sort_values(["item_id", "words"], ignore_index=True)
-    words = [np.frombuffer(w, np.uint64) for w in rows["words"]]
-    answers = [np.frombuffer(w, np.uint64) for w in rows["answer"]]
-    marked = np.zeros(SLOTS, bool)
-    marked[_slots(np.concatenate(words))] = True
-    used = np.flatnonzero(marked)
-    df, n_docs = document_frequencies(docs, marked)
-    idf = np.zeros(SLOTS)
-    idf[used] = np.log1p((n_docs + 1) / (df[used] + 1))
-    basis = randomised_svd(items, used, idf)
-    space = Space(used, idf, float(idf[used].mean()), basis)
-    targets = np.stack([space.project(w) for w in words]).astype(np.float32)
-    shared = spark.sparkContext.broadcast((space, targets, words, answers, used, rows["item_id"].to_numpy(np.int64)))
+def _search_block(docs: DataFrame, passage: list[np.ndarray], answer: list[np.ndarray], space: Space, used: np.ndarray) -> DataFrame:
+    """doc_id, row, passage (its number), cosine, overlap of the rows of ``docs`` that hold one of the passages, written down."""
+    targets = np.stack([space.project(w) for w in passage]).astype(np.float32)
+    shared = python_ready(docs).sparkContext.broadcast((space, targets, passage, answer, used))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        space, targets, passage, answer, used, item = shared.value
+        space, targets, passage, answer, used = shared.value
         lengths = np.array([len(w) for w in passage])
         terms = np.full((len(passage), WINDOW), -1, np.int32)
         for k, w in enumerate(passage):
@@ -339,7 +321,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         if key in best and best[key][1] >= 1:
                             continue
                         a, b = region_lo[w], region_hi[w]
-                        overlap = lcs_length(passage[p], hashes[a:b]) / len(passage[p])
+                        if lengths[p] < SHORT:
+                            overlap = float(held_whole(passage[p], hashes[a:b]))
+                        else:
+                            overlap = lcs_length(passage[p], hashes[a:b]) / len(passage[p])
                         if overlap < PARAPHRASE:
                             continue
                         if overlap < COPY:
@@ -351,17 +336,70 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                             cosine = _run_cosine(space.vectors, term[a:b], targets[p], len(passage[p]))
                         if cosine >= MIN_COSINE:
                             best[key] = max(best.get(key, (0.0, 0.0)), (cosine, overlap), key=lambda v: v[1])
-            yield pd.DataFrame([(batch["doc_id"].iloc[d], item[p], c, o) for (d, p), (c, o) in best.items()], columns=["doc_id", "item_id", "cosine", "overlap"])
+            at = [d for d, _ in best]
+            yield batch[["doc_id", "no_id", "row"]].iloc[at].reset_index(drop=True).assign(
+                passage=np.array([p for _, p in best], np.int64), cosine=np.array([c for c, _ in best.values()], float), overlap=np.array([o for _, o in best.values()], float)
+            )
+
+    rows = whole_ids(docs.select("doc_id", row_hash("text").alias("row"), "text"))
+    found = materialise(rows.mapInPandas(search, "doc_id long, no_id boolean, row long, passage long, cosine double, overlap double"), "leaks-found")
+    shared.destroy()
+    return real_ids(found)
+
 
-    found = docs.select("doc_id", "text").mapInPandas(search, schema)
-    return found.groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("overlap").alias("overlap"))
+def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, row, item_id, cosine, overlap: the rows of ``docs``, told apart by the hash of the text, and what they hold."""
+    spark = python_ready(docs)
+    items = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("doc_id"), "text")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(i, n, w.tobytes(), answer_words(t).tobytes()) for i, n, t in zip(batch["doc_id"], batch["no_id"], batch["text"], strict=True) for w in passages(t)]
+            yield pd.DataFrame(rows, columns=["doc_id", "no_id", "words", "answer"])
+
+    pieces = real_ids(whole_ids(items).mapInPandas(cut, "doc_id long, no_id boolean, words binary, answer binary")).withColumnRenamed("doc_id", "item_id").distinct()
+    pieces = materialise(pieces, "leak-passages")
+    schema = "doc_id long, row long, item_id long, cosine double, overlap double"
+    n_pieces = pieces.count()
+    if not n_pieces:
+        return spark.createDataFrame([], schema)
+    slots = F.transform(F.sequence(F.lit(7), F.length("words"), F.lit(8)), lambda i: F.substring("words", i, F.lit(2)))
+    # a word's slot is its highest two bytes, the last ones as numpy writes them
+    marked = np.zeros(SLOTS, bool)
+    for r in pieces.select(F.explode(slots).alias("s")).distinct().collect():
+        marked[int.from_bytes(r["s"], "little")] = True
+    used = np.flatnonzero(marked)
+    df, n_docs = document_frequencies(docs, marked)
+    idf = np.zeros(SLOTS)
+    idf[used] = np.log1p((n_docs + 1) / (df[used] + 1))
+    space = Space(used, idf, float(idf[used].mean()), randomised_svd(items, used, idf))
+    blocks, found = -(-n_pieces // BLOCK_PASSAGES), None
+    for k in range(blocks):
+        part = pieces.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k)
+        held = sorted((bytes(r["words"]), bytes(r["answer"])) for r in part.select("words", "answer").distinct().collect())
+        if not held:
+            continue
+        words, answers = ([np.frombuffer(x[i], np.uint64) for x in held] for i in (0, 1))
+        numbered = spark.createDataFrame([(i, *x) for i, x in enumerate(held)], "passage long, words binary, answer binary")
+        leaks = _search_block(docs, words, answers, space, used).join(numbered.join(part, ["words", "answer"]).select("passage", "item_id"), "passage")
+        found = leaks if found is None else found.unionByName(leaks)
+    return found.select("doc_id", "row", "item_id", "cosine", "overlap")
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, item_id, cosine, overlap (share of the passage's words in order) for each document and item that it holds.
+
+    ``docs``: doc_id, text; ``benchmark``: item_id, text. Null and wordless texts hold nothing; a passage of fewer than ``SHORT`` words is held
+    only word for word. Rows with one doc_id count as one document, items with one id as one item; null ids are ids like others.
+    """
+    return _leaks(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max("cosine").alias("cosine"), F.max("overlap").alias("overlap"))
 
 
 @shielded
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, columns as they were; rows with a null doc_id stay only if no such row holds one."""
-    leaked = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_m_leaked")).distinct()
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(F.col("_m_leaked")), "left_anti")
+    """The rows of ``docs`` whose text holds no benchmark item, columns as they were. Rows with one id, or none, are judged by their own texts."""
+    leaked = _leaks(docs, benchmark).select(F.col("doc_id").alias("_m_leaked"), F.col("row").alias("_m_row")).distinct()
+    return docs.join(leaked, (row_hash(docs["text"]) == F.col("_m_row")) & docs["doc_id"].eqNullSafe(F.col("_m_leaked")), "left_anti")
 
 
 def op4_latent_leaks(spark, sf_dir: str) -> DataFrame:
