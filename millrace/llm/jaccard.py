@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, python_ready, shielded, table
+from .common import materialise, python_ready, real_ids, row_hash, shielded, table, whole_ids
 from .graph import connected_components
 from .textkernel import minhash, shingle_batch, word_batches
 
@@ -52,25 +52,23 @@ def _digest(words: np.ndarray, text: str) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (null for a null text), n_shingles, signature of each row."""
+    """doc_id, row (the hash of the text), digest (null for a null text), n_shingles, signature of each row."""
     python_ready(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, doc_id = batch["text"].tolist(), batch["doc_id"]
+            texts, own = batch["text"].tolist(), batch[["doc_id", "no_id", "row"]]
             for ids, offsets, words in word_batches(texts):
                 so, sh = shingle_batch(offsets, words, WORDS)
                 sig = minhash(so, sh, HASHES)
-                yield pd.DataFrame(
-                    {
-                        "doc_id": doc_id.iloc[ids].array,
-                        "digest": [None if texts[i] is None else _digest(words[offsets[k] : offsets[k + 1]], texts[i]) for k, i in enumerate(ids)],
-                        "n_shingles": np.diff(so).astype(np.int64),
-                        "signature": [s.tobytes() for s in sig],
-                    }
+                yield own.iloc[ids].reset_index(drop=True).assign(
+                    digest=[None if texts[i] is None else _digest(words[offsets[k] : offsets[k + 1]], texts[i]) for k, i in enumerate(ids)],
+                    n_shingles=np.diff(so).astype(np.int64),
+                    signature=[s.tobytes() for s in sig],
                 )
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, digest binary, n_shingles long, signature binary")
+    rows = whole_ids(docs.select("doc_id", row_hash("text").alias("row"), "text"))
+    return real_ids(rows.mapInPandas(run, "doc_id long, no_id boolean, row long, digest binary, n_shingles long, signature binary"))
 
 
 def band_keys() -> Column:
@@ -203,17 +201,18 @@ def link_rows(rows: pd.DataFrame, first: int, second: int, threshold: float, lea
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes). rows: doc_id, digest of each row; classes: digest, class_id, links, copies of each distinct text.
+    """(rows, classes). rows: doc_id, row, digest of each row; classes: digest, class (null, doc_id, row), links, copies of each distinct text.
 
     Two texts are linked if the Jaccard similarity of their sets of ``WORDS``-word shingles (letters and digits,
     case folded) reaches ``threshold``; a text of fewer words is one shingle. Texts without words
-    equal only themselves; a null text has no class. class_id is the least doc_id of all texts that links connect.
+    equal only themselves; a null text has no class. The class is named by the row of the least doc_id of all texts that links connect
+    (null ids come last, rows with one id go by ``row``, the hash of the text).
     """
     python_ready(docs)
     least = min_matches(threshold)
     signed = materialise(signatures(docs), "jaccard-signatures")
     reps = signed.where("digest is not null").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
+        F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
     reps = materialise(reps, "jaccard-representatives")
     comps = connected_components(bucket_stars(reps)).withColumnRenamed("node", "digest")
@@ -224,7 +223,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     # blocks are odd; the texts of small components get even numbers, each its own, so that no key of the join below is hot
     block = F.coalesce("block", F.xxhash64("digest").bitwiseAND(F.lit(-2)))
     placed = members.join(blocks, "digest", "left").select("rep", F.struct("digest", "comp", "copies", block.alias("block")).alias("m"))
-    wanted = docs.select("doc_id", "text").where("text is not null").join(placed, docs["doc_id"].eqNullSafe(F.col("rep"))).select("text", "m.*")
+    texts = docs.select("doc_id", "text", row_hash("text").alias("row")).where("text is not null")
+    wanted = texts.join(placed, (F.col("row") == F.col("rep.row")) & F.col("doc_id").eqNullSafe(F.col("rep.doc_id"))).select("text", "m.*")
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -232,7 +232,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
             for ids, offsets, words in word_batches(texts):
                 so, sh = shingle_batch(offsets, words, WORDS)
                 sig = minhash(so, sh, HASHES)
-                # another row with the same id may have another text
+                # another text of the same id may have the same row hash
                 own = [k for k, i in enumerate(ids) if _digest(words[offsets[k] : offsets[k + 1]], texts[i]) == bytes(digests[i])]
                 at = [ids[k] for k in own]
                 yield pd.DataFrame(
@@ -262,8 +262,8 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFra
     counts = links.groupBy("digest").agg(F.sum("links").alias("links"))
     texts = reps.select("digest", "rep", "copies").join(joined, "digest", "left").join(counts, "digest", "left")
     texts = texts.select("digest", "rep", "copies", F.coalesce("comp", "digest").alias("comp"), F.coalesce("links", F.lit(0)).alias("links"))
-    ids = texts.groupBy("comp").agg(F.min("rep").alias("class_id"))
-    return signed.select("doc_id", "digest"), materialise(texts.join(ids, "comp").select("digest", "class_id", "links", "copies"), "jaccard-classes")
+    ids = texts.groupBy("comp").agg(F.min("rep").alias("class"))
+    return signed.select("doc_id", "row", "digest"), materialise(texts.join(ids, "comp").select("digest", "class", "links", "copies"), "jaccard-classes")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows, classes = near_classes(docs, threshold)
     return rows.join(classes, "digest", "left").select(
         "doc_id",
-        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
         F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.col("copies") - 1, F.lit(0)).cast("long").alias("n_copies"),
     )
@@ -283,37 +283,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 @shielded
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class, that of the least doc_id; columns as they were. Rows with null texts all stay."""
+    """``docs`` with one row of each class, that of the least doc_id; columns as they were. Rows with null texts all stay.
+
+    Of rows that agree in id and text one stays, whichever comes first.
+    """
     rows, classes = near_classes(docs, threshold)
-    judged = rows.join(classes, "digest", "left")
-    stays = F.col("digest").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id"))
-    if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        return _one_row_of_each(docs, judged, stays)
-    gone = judged.where(~stays).select(F.col("doc_id").alias("_m_gone"))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_m_gone")), "left_anti")
-
-
-def _one_row_of_each(docs: DataFrame, judged: DataFrame, stays) -> DataFrame:
-    """For ids that several rows share: rows are told apart by their texts' digests."""
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    text = names[[c.lower() for c in docs.columns].index("text")]
-    doc_id = names[[c.lower() for c in docs.columns].index("doc_id")]
-
-    def digest(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in texts:
-            out = [None] * len(batch)
-            held = batch.tolist()
-            for ids, offsets, words in word_batches(held):
-                for k, i in enumerate(ids):
-                    out[i] = None if held[i] is None else _digest(words[offsets[k] : offsets[k + 1]], held[i])
-            yield pd.Series(out, dtype=object)
-
-    marked = plain.withColumn("_m_digest", F.pandas_udf(digest, "binary")(F.col(text)))
-    keep = judged.where(stays & F.col("digest").isNotNull()).select(F.col("doc_id").alias("_m_id"), F.col("digest").alias("_m_d")).distinct()
-    kept = marked.join(keep, (F.col("_m_digest") == F.col("_m_d")) & F.col(doc_id).eqNullSafe(F.col("_m_id"))).drop("_m_id", "_m_d")
-    kept = kept.dropDuplicates([doc_id, "_m_digest"]).unionByName(marked.where("_m_digest is null"))
-    return kept.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
+    texts = rows.where("digest is not null")
+    gone = texts.join(classes, "digest").where(~(F.col("row").eqNullSafe(F.col("class.row")) & F.col("doc_id").eqNullSafe(F.col("class.doc_id"))))
+    gone = gone.select(F.col("doc_id").alias("_m_gone"), F.col("row").alias("_m_row")).distinct()
+    kept = docs.join(gone, (row_hash(docs["text"]) == F.col("_m_row")) & docs["doc_id"].eqNullSafe(F.col("_m_gone")), "left_anti")
+    if not texts.groupBy("doc_id", "row").count().where("count > 1").limit(1).count():
+        return kept
+    marked = kept.withColumn("_m_row", row_hash("text"))
+    some = marked.where("text is not null").dropDuplicates(["doc_id", "_m_row"])
+    return some.unionByName(marked.where("text is null")).drop("_m_row")
 
 
 def op6_bayes_jaccard(spark, sf_dir: str) -> DataFrame:
