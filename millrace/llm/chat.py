@@ -20,8 +20,6 @@ from pyspark.sql.window import Window
 from .common import materialise, table
 
 TURN, SAY, END = "<|turn|>", "<|say|>", "<|end|>\n"
-#: Paths of up to 2**40 nodes.
-MAX_ROUNDS = 40
 
 
 def escape(col: Column) -> Column:
@@ -37,42 +35,36 @@ def reply_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
 
     ``nodes``: tree, node, parent (null or unknown: a root), score. Returns tree, branch
     (1: the best sum of scores along the path, ties by the leaf's node), depth (0: root) and node.
-    Node ids must be unique within a tree. A null score counts as 0; nodes in a cycle reach no root and give no path.
+    Of rows with one tree and node the one of the least parent and score counts. A null score counts as 0; a null tree is a tree, a null node
+    is none. Nodes in a cycle, their own parent included, and what answers them reach no root and give no path. No rows give no rows.
     """
-    nodes = nodes.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
+    nodes = nodes.where("node is not null").select(F.struct("tree").alias("tree"), "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
+    nodes = materialise(nodes.groupBy("tree", "node").agg(F.min(F.struct("parent", "score")).alias("p")).select("tree", "node", "p.parent", "p.score"), "chat-nodes")
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("known"))
-    links = (
-        nodes.join(known, ["tree", "parent"], "left")
-        .select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), F.lit(0).alias("_z"), "score")
-        .select("tree", "node", "up", F.when(F.col("up").isNull(), 0).otherwise(1).alias("steps"), F.col("score").alias("total"))
-    )
-    base = materialise(links, "chat-links")
-    reaches, done = [], base.where("up is null")
-    reach = base.where("up is not null")
+    links = nodes.join(known, ["tree", "parent"], "left").select("tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score")
+    links = materialise(links.select("tree", "node", "up", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("steps"), F.col("score").alias("total")), "chat-links")
+    done, reach, reaches = links.where("up is null"), links.where("up is not null"), []
     while reach.limit(1).count():
-        # only links that haven't reached a root go on; each node is done once
+        # a link goes on from where it leads to, which has a root by now or a link of the same length
         reaches.append(reach)
-        far = reach.select("tree", F.col("node").alias("up"), F.col("up").alias("_up2"), F.col("steps").alias("_s2"), F.col("total").alias("_t2"))
-        ended = done.select("tree", F.col("node").alias("up"), F.col("steps").alias("_s3"), F.col("total").alias("_t3"))
-        onward = reach.join(far, ["tree", "up"]).select(
-            "tree", "node", F.col("_up2").alias("up"), (F.col("steps") + F.col("_s2")).alias("steps"), (F.col("total") + F.col("_t2")).alias("total")
-        )
-        arrived = reach.join(ended, ["tree", "up"]).select(
-            "tree", "node", F.lit(None).cast(base.schema["up"].dataType).alias("up"), (F.col("steps") + F.col("_s3")).alias("steps"), (F.col("total") + F.col("_t3")).alias("total")
+        onward = done.unionByName(reach).select("tree", F.col("node").alias("up"), F.col("up").alias("_up"), F.col("steps").alias("_steps"), F.col("total").alias("_total"))
+        longer = reach.join(onward, ["tree", "up"]).select(
+            "tree", "node", F.col("_up").alias("up"), (F.col("steps") + F.col("_steps")).alias("steps"), (F.col("total") + F.col("_total")).alias("total")
         )
-        done = done.unionByName(materialise(arrived, "chat-done"))
-        reach = materialise(onward, "chat-links")
-        if len(reaches) == MAX_ROUNDS:
-            break  # what is left runs in cycles
-    parents = base.where(F.col("up").isNotNull()).select("tree", F.col("up").alias("node")).distinct()
+        longer = materialise(longer, "chat-links")
+        arrived, reach = longer.where("up is null"), longer.where("up is not null")
+        if not arrived.limit(1).count():
+            break  # a node twice as deep as the last would have arrived, so the rest runs in cycles
+        done = done.unionByName(arrived)
+    parents = links.where("up is not null").select("tree", F.col("up").alias("node")).distinct()
     leaves = done.join(parents, ["tree", "node"], "left_anti")
     best = leaves.withColumn("branch", F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("total"), "node"))).where(F.col("branch") <= branches)
-    chosen = best.select("tree", "branch", "node")
-    for reach in reversed(reaches):
-        step = chosen.join(reach.select("tree", "node", "up"), ["tree", "node"])
-        chosen = chosen.unionByName(step.select("tree", "branch", F.col("up").alias("node"))).distinct()
-        chosen = materialise(chosen, "chat-paths")
-    return chosen.join(done.select("tree", "node", F.col("steps").alias("depth")), ["tree", "node"]).select("tree", "branch", "depth", "node")
+    chosen = materialise(best.select("tree", "branch", "node", F.col("steps").alias("depth")), "chat-paths")
+    for k, reach in reversed(list(enumerate(reaches))):
+        # every node of a path is met once: its distance from the leaf is one sum of powers of two
+        step = chosen.join(reach.select("tree", "node", "up"), ["tree", "node"]).select("tree", "branch", F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth"))
+        chosen = materialise(chosen.unionByName(step), "chat-paths")
+    return chosen.select("tree.tree", "branch", "depth", "node")
 
 
 def format_conversations(turns: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
