@@ -7,23 +7,28 @@ tree: at each node the left half's quota is one multivariate hypergeometric draw
 node's quotas, so every shard holds a random but exact part. Permuted blocks
 then fill the quotas without overlap, and each shard is shuffled on its own.
 
-Only sums by source and block (``BLOCKS`` to a source) reach the driver, never rows.
+The driver holds one row for each source (its size, target and quotas), as weights are stated by source; blocks and rows stay in Spark.
+Where a source's prefix ends is found digit by digit, so no task orders more than ``EDGE_ROWS`` distinct rows of a source.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SEED, own_names, shielded, source_key, table
+from .common import SEED, materialise, shield, shielded, source_key, table
 from .sharding import shuffle_key
 
-WEIGHTS, SHARE, CAP, BLOCKS = (5, 2, 1), 1.5, 2, 256
-#: Weights are stated for each source, so sources are few; more than this is refused, not cut.
-MAX_SOURCES = 20_000
+WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
+#: Blocks to a source for each output shard, at least; hex digits by which the end of a prefix is narrowed down; rows among which it is then found.
+SHARD_BLOCKS, DIGITS, EDGE_ROWS = 32, 2, 50_000
 BROADCAST_ROWS = 200_000
+#: Sorts after every hex digit, so a source with this bound is taken whole.
+ALL = "g"
 
 
 def word_count(text: str):
@@ -73,72 +78,105 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def sized(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED) -> DataFrame:
+    """``df`` with _m_size, _m_src and _m_key (the place in the permutation)."""
+    return df.withColumn("_m_size", word_count(text)).withColumn("_m_src", source_key(source)).withColumn("_m_key", shuffle_key(df, doc_id, text, seed))
+
+
+def _prefix_ends(narrow: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
+    """(_m_src, _m_upto): rows whose key is this one or less are taken once more.
+
+    ``sources`` has the words to take (``_m_room``) of each source. The sums of the blocks by the next ``DIGITS`` digits of the key
+    show in which block a source's room ends, and only that block goes on.
+    """
+    before = Window.partitionBy("_m_src").orderBy("_m_next")
+    rows, at = narrow.select("_m_src", "_m_key", "_m_size"), sources.select("_m_src", "_m_room", F.lit("").alias("_m_prefix"))
+    ends, digits = [], 0
+    while True:
+        digits += DIGITS
+        rows = rows.join(_small(at, n_sources), "_m_src").where(F.col("_m_key").startswith(F.col("_m_prefix"))).drop("_m_prefix", "_m_room")
+        rows = materialise(rows, "mixture-edge") if digits > DIGITS else rows
+        sums = rows.groupBy("_m_src", F.substring("_m_key", 1, digits).alias("_m_next")).agg(F.sum("_m_size").alias("size"), F.count("*").alias("n"))
+        sums = sums.join(_small(at, n_sources), "_m_src")
+        sums = materialise(sums.withColumn("_m_before", F.sum("size").over(before) - F.col("size")), "mixture-sums")
+        over = sums.where(F.col("_m_before") + F.col("size") > F.col("_m_room"))
+        edge = over.groupBy("_m_src").agg(F.min_by(F.struct(F.col("_m_next").alias("_m_prefix"), (F.col("_m_room") - F.col("_m_before")).alias("_m_room"), "n"), "_m_next").alias("e"))
+        at = materialise(edge.select("_m_src", "e._m_prefix", "e._m_room", "e.n"), "mixture-edges")
+        # a source whose room is never passed is taken whole
+        ends.append(sums.select("_m_src").distinct().join(at.select("_m_src"), "_m_src", "left_anti").select("_m_src", F.lit(ALL).alias("_m_upto")))
+        most = at.agg(F.max("n")).first()[0] or 0
+        at = at.select("_m_src", "_m_room", "_m_prefix")
+        if most <= EDGE_ROWS or digits >= 32:
+            break
+    inside = rows.join(_small(at, n_sources), "_m_src").where(F.col("_m_key").startswith(F.col("_m_prefix")))
+    each = inside.groupBy("_m_src", "_m_room", "_m_key").agg(F.sum("_m_size").alias("size"))
+    each = each.withColumn("_m_before", F.sum("size").over(Window.partitionBy("_m_src").orderBy("_m_key")) - F.col("size"))
+    last = each.where(F.col("_m_before") + F.col("size") / 2 <= F.col("_m_room")).groupBy("_m_src").agg(F.max("_m_key").alias("last"))
+    ends.append(at.join(last, "_m_src", "left").select("_m_src", F.coalesce("last", "_m_prefix").alias("_m_upto")))
+    out = ends[0]
+    for more in ends[1:]:
+        out = out.unionByName(more)
+    return materialise(out, "mixture-ends")
+
+
+def _placed(narrow: DataFrame, weights, share: float, cap: float, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(by source: _m_src, _m_source_size, _m_target, _m_whole, _m_upto; by block: _m_src, _m_block, _m_at, the shard of each pass), marked to be broadcast if small."""
+    spark = narrow.sparkSession
+    digits = max(2, math.ceil(math.log(SHARD_BLOCKS * shards, 16)))
+    blocks = narrow.groupBy("_m_src", F.substring("_m_key", 1, digits).alias("_m_block")).agg(F.sum("_m_size").alias("size"), F.min("_m_key").alias("least"))
+    blocks = materialise(blocks, "mixture-blocks")
+    sizes = {r["_m_src"]: r["size"] for r in blocks.groupBy("_m_src").agg(F.sum("size").alias("size")).collect()}
+    targets = source_targets(sizes, weights, share, cap)
+    plan = []
+    for s in sorted(sizes):
+        passes = int(targets[s] / sizes[s] + 1e-9) if sizes[s] else 0
+        plan.append((s, sizes[s], targets[s], passes, max(0.0, targets[s] - passes * sizes[s]) if sizes[s] else 0.0))
+    sources = spark.createDataFrame(plan, "_m_src string, _m_source_size long, _m_target double, _m_whole int, _m_room double")
+    ends = _prefix_ends(narrow, sources.where("_m_room > 0"), len(plan))
+    by_source = sources.join(ends, "_m_src", "left").select("_m_src", "_m_source_size", "_m_target", "_m_whole", F.coalesce("_m_upto", F.lit("")).alias("_m_upto"))
+    by_source = materialise(by_source, "mixture-sources")
+    takes = blocks.join(_small(by_source, len(plan)), "_m_src").select("_m_src", "_m_block", (F.col("_m_whole") + F.when(F.col("least") <= F.col("_m_upto"), 1).otherwise(0)).alias("takes")).where("takes > 0")
+    takes = materialise(takes, "mixture-takes")
+    quota = {r["_m_src"]: r["n"] for r in takes.groupBy("_m_src").agg(F.sum("takes").alias("n")).collect()}
+    names = sorted(quota)
+    parts = splitting_tree(np.array([quota[s] for s in names], np.int64), shards, np.random.default_rng(seed))
+    until = [(s, x) for s, x in zip(names, np.cumsum(parts, axis=0).T.tolist(), strict=True)]
+    until = spark.createDataFrame(until, "_m_src string, _m_until array<long>")
+    # a source's block takes in a drawn order fill its quotas shard by shard
+    drawn = takes.select("_m_src", "_m_block", F.explode(F.sequence(F.lit(0), F.col("takes").cast("int") - 1)).alias("pass"))
+    dice = F.md5(F.concat_ws("|", F.lit(f"{seed}-draw"), "_m_src", "_m_block", F.col("pass").cast("string")).cast("binary"))
+    drawn = drawn.withColumn("place", F.row_number().over(Window.partitionBy("_m_src").orderBy(dice)) - 1).join(_small(until, len(names)), "_m_src")
+    shard = F.size(F.filter("_m_until", lambda n: n <= F.col("place")))
+    lists = drawn.groupBy("_m_src", "_m_block").agg(F.transform(F.array_sort(F.collect_list(F.struct("pass", shard.alias("shard")))), lambda x: x["shard"]).alias("_m_at"))
+    lists = materialise(lists, "mixture-placed")
+    return _small(by_source, len(plan)), _small(lists, lists.count())
+
+
+def _mixed(rows: DataFrame, narrow: DataFrame, weights, share: float, cap: float, shards: int, seed: int) -> DataFrame:
+    """``rows`` (from ``sized``; ``narrow`` are the same rows, written down) with _m_source_size, _m_target, _m_passes and _m_shards."""
+    by_source, placed = _placed(narrow, weights, share, cap, shards, seed)
+    digits = max(2, math.ceil(math.log(SHARD_BLOCKS * shards, 16)))
+    out = rows.withColumn("_m_block", F.substring("_m_key", 1, digits)).join(by_source, "_m_src").join(placed, ["_m_src", "_m_block"], "left")
+    out = out.withColumn("_m_passes", F.col("_m_whole") + F.when(F.col("_m_key") <= F.col("_m_upto"), 1).otherwise(0))
+    out = out.withColumn("_m_shards", F.slice(F.coalesce("_m_at", F.array().cast("array<int>")), F.lit(1), F.col("_m_passes")))
+    return out.select(*rows.columns, "_m_source_size", "_m_target", "_m_passes", "_m_shards")
+
+
 def mixture(
     df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, share: float = SHARE, cap: float = CAP, shards: int = 8, seed: int = SEED
 ) -> DataFrame:
-    """``df`` with _m_size, _m_source_size, _m_target, _m_passes (times the row is taken) and _m_shards (the shard of each pass).
+    """``df`` with _m_size, _m_key, _m_source_size, _m_target, _m_passes (times the row is taken) and _m_shards (the shard of each pass).
 
     Size is the count of words between ASCII white space. Null texts have size 0, null sources make one
     source that comes last, null ids are values like others. Identical rows (id and text) are taken together. A source whose
     texts are all empty has target 0 and none of its rows is taken. An empty table gives an empty table. A column
-    of ``df`` whose name begins with ``_m_`` comes back with ``_user`` before it.
+    of ``df`` that has one of these names is replaced.
     """
-    spark, df = df.sparkSession, df.withColumnsRenamed(own_names(df))
-    rows = df.withColumn("_m_size", word_count(text)).withColumn("_m_src", source_key(source)).withColumn("_m_key", shuffle_key(df, doc_id, text, seed))
-    rows = rows.withColumn("_m_block", F.conv(F.substring("_m_key", 1, 2), 16, 10).cast("int"))
-    narrow = rows.select("_m_src", "_m_block", "_m_key", "_m_size")
-    found = narrow.groupBy("_m_src", "_m_block").agg(F.sum("_m_size").alias("size")).limit(MAX_SOURCES * BLOCKS + 1).collect()
-    if len(found) > MAX_SOURCES * BLOCKS:
-        raise ValueError(f"more than {MAX_SOURCES} sources to weigh")
-    by_block: dict[str, dict[int, int]] = {}
-    for r in found:
-        by_block.setdefault(r["_m_src"], {})[r["_m_block"]] = r["size"]
-    sizes = {s: sum(b.values()) for s, b in by_block.items()}
-    targets = source_targets(sizes, weights, share, cap)
-    plan, edges = [], []
-    for s, blocks in by_block.items():
-        passes = int(targets[s] / sizes[s] + 1e-9) if sizes[s] else 0
-        rest = max(0.0, targets[s] - passes * sizes[s]) if sizes[s] else 0.0
-        before, edge = 0, BLOCKS
-        for b in sorted(blocks):
-            if before + blocks[b] > rest:
-                edge = b
-                break
-            before += blocks[b]
-        if not rest or edge == BLOCKS:
-            edge, before = (-1, 0) if not rest else (BLOCKS, before)
-        plan.append((s, sizes[s], targets[s], passes, edge))
-        edges.append((s, edge, float(rest - before)))
-    # the boundary block of each source, row by row
-    bounds = spark.createDataFrame(edges, "_m_src string, _m_block int, _m_room double")
-    at_edge = narrow.join(_small(bounds, len(edges)), ["_m_src", "_m_block"]).groupBy("_m_src", "_m_room", "_m_key").agg(F.sum("_m_size").alias("size"))
-    order = Window.partitionBy("_m_src").orderBy("_m_key")
-    at_edge = at_edge.withColumn("_m_before", F.sum("size").over(order) - F.col("size")).where(F.col("_m_before") + F.col("size") / 2 <= F.col("_m_room"))
-    last = {r["_m_src"]: r["last"] for r in at_edge.groupBy("_m_src").agg(F.max("_m_key").alias("last")).collect()}
-    sources, block_rows = [], []
-    names = [p[0] for p in plan]
-    lists: list[list[tuple[int, int]]] = []
-    for s, size, target, passes, edge in plan:
-        upto = last.get(s) or (f"{edge:02x}" if edge < BLOCKS else "g")  # keys up to this one are taken once more
-        sources.append((s, size, target, passes, upto if edge >= 0 else ""))
-        extra = [b for b in by_block[s] if b < edge or (b == edge and s in last)]
-        lists.append([(p, b) for p in range(passes) for b in by_block[s]] + [(passes, b) for b in extra])
-    rng = np.random.default_rng(seed)
-    parts = splitting_tree(np.array([len(x) for x in lists], np.int64), shards, rng)
-    for i, s in enumerate(names):
-        taken = sorted(lists[i])
-        at = np.repeat(np.arange(shards), parts[:, i])
-        shard_of: dict[int, dict[int, int]] = {}
-        for j, k in enumerate(rng.permutation(len(taken))):
-            p, b = taken[k]
-            shard_of.setdefault(b, {})[p] = int(at[j])
-        block_rows += [(s, b, [x.get(p, -1) for p in range(max(x) + 1)]) for b, x in shard_of.items()]
-    by_source = spark.createDataFrame(sources, "_m_src string, _m_source_size long, _m_target double, _m_whole int, _m_upto string")
-    placed = spark.createDataFrame(block_rows, "_m_src string, _m_block int, _m_at array<int>")
-    out = rows.join(_small(by_source, len(sources)), "_m_src").join(_small(placed, len(block_rows)), ["_m_src", "_m_block"], "left")
-    out = out.withColumn("_m_passes", F.col("_m_whole") + F.when(F.col("_m_key") <= F.col("_m_upto"), 1).otherwise(0))
-    out = out.withColumn("_m_shards", F.slice(F.coalesce("_m_at", F.array().cast("array<int>")), F.lit(1), F.col("_m_passes")))
-    return out.select(*df.columns, "_m_size", "_m_source_size", "_m_target", "_m_passes", "_m_shards", "_m_key")
+    df = df.drop("_m_size", "_m_key", "_m_source_size", "_m_target", "_m_passes", "_m_shards")
+    held, back = shield(df)
+    rows = sized(held, doc_id, text, source, seed)
+    out = _mixed(rows, materialise(rows.select("_m_src", "_m_key", "_m_size"), "mixture-rows"), weights, share, cap, shards, seed).drop("_m_src")
+    return out.withColumnsRenamed(back) if back else out
 
 
 @shielded
@@ -149,14 +187,17 @@ def mixed_rows(df: DataFrame, *, seed: int = SEED, **options) -> DataFrame:
     return out.withColumn("mix_order", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_m_pass").cast("string"), F.col("_m_key")).cast("binary"))).select(*df.columns, "mix_shard", "mix_order")
 
 
-def write_mixture(df: DataFrame, path: str, **options) -> None:
-    """One folder of Parquet files for each shard, shuffled within."""
-    mixed_rows(df, **options).repartition(F.col("mix_shard")).sortWithinPartitions("mix_shard", "mix_order").write.partitionBy("mix_shard").parquet(path)
+def write_mixture(df: DataFrame, path: str, files: int = 16, **options) -> None:
+    """One folder for each shard, of Parquet files that hold its rows in the shuffled order: the rows are cut into ranges, about ``files`` of them to a shard."""
+    rows, shards = mixed_rows(df, **options), options.get("shards", 8)
+    rows.repartitionByRange(files * shards, "mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order").write.partitionBy("mix_shard").parquet(path)
 
 
 def op10_source_mixture(spark, sf_dir: str) -> DataFrame:
+    """Texts are read once: what the mixture needs of a row is written down first."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    mixed = mixture(docs)
+    narrow = materialise(sized(docs).drop("text"), "mixture-rows")
+    mixed = _mixed(narrow, narrow, WEIGHTS, SHARE, CAP, 8, SEED)
     return mixed.select(
         "doc_id",
         F.col("_m_size").alias("size"),
