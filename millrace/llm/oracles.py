@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 OP2_SQL = r"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, coalesce(url, '') AS url,
     translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
@@ -24,10 +24,9 @@ WITH parts AS (
   SELECT row_number() OVER () AS lid, tokens, quality = 0 AS bad FROM tokened JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL
 ), tok AS (
   SELECT lid, bad, unnest(tokens) AS t FROM labelled
-), sets AS (
-  SELECT bad, [t] AS s FROM tok
-  UNION ALL SELECT a.bad, [a.t, b.t] FROM tok a JOIN tok b ON a.lid = b.lid AND a.t < b.t
-  UNION ALL SELECT a.bad, [a.t, b.t, c.t] FROM tok a JOIN tok b ON a.lid = b.lid AND a.t < b.t JOIN tok c ON c.lid = b.lid AND b.t < c.t
+), sets(lid, bad, s) AS (
+  SELECT lid, bad, [t] FROM tok
+  UNION ALL SELECT a.lid, a.bad, list_append(a.s, b.t) FROM sets a JOIN tok b ON a.lid = b.lid AND a.s[-1] < b.t
 ), totals AS (
   SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count_if(bad) AS DOUBLE) AS b FROM labelled
 ), counted AS (

@@ -15,13 +15,13 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialise, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Marks the bad URLs among the items; no token of a URL starts like it.
 BAD = "verdict=bad"
 #: A rule holds for at least this share of the labelled URLs, and this share of those it fits is bad.
-MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MAX_ANTECEDENT = 0.002, 0.35, 2.0, 3
+MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.002, 0.35, 2.0
 #: Rules seen on few URLs must also have this confidence at the lower end of their Wilson interval.
 MIN_LOWER, WILSON_Z = 0.25, 1.645
 SALTS = 16
@@ -65,31 +65,33 @@ def stated_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -
 
 
 def mine_rules(
-    labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, max_antecedent: int = MAX_ANTECEDENT
+    labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT, max_antecedent: int | None = None
 ) -> DataFrame:
     """Rules (antecedent, first, confidence, support, lift) from ``tokens`` and ``bad``; ``first`` is the rarest token.
 
-    The count of frequent tokens is at most (mean tokens of a URL) / ``min_support``, whatever the number of rows.
+    The count of frequent tokens is at most (mean tokens of a URL) / ``min_support``, whatever the number of rows. ``max_antecedent`` leaves out
+    rules of more tokens. Items and frequent sets are written down, since mining and every step after it start from them.
     """
     items = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
+    items = materialise(items, "url-items")
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     n = F.lit(float(items.count()))
     fitted, z2 = F.col("support") / F.col("confidence") * n, WILSON_Z**2
     centre = F.col("confidence") + z2 / (2 * fitted)
     spread = WILSON_Z * F.sqrt(F.col("confidence") * (1 - F.col("confidence")) / fitted + z2 / (4 * fitted * fitted))
-    rules = model.associationRules.where((centre - spread) / (1 + z2 / fitted) >= MIN_LOWER).where(
-        (F.col("consequent") == F.array(F.lit(BAD))) & (F.size("antecedent") <= max_antecedent) & (F.col("lift") >= min_lift)
-    ).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support", "lift")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), F.col("freq"))
+    mined = model.associationRules.where((F.col("consequent") == F.array(F.lit(BAD))) & (F.col("lift") >= min_lift))
+    rules = mined.where((centre - spread) / (1 + z2 / fitted) >= MIN_LOWER).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support", "lift")
+    rules = materialise(rules if max_antecedent is None else rules.where(F.size("antecedent") <= max_antecedent), "url-rules")
+    single = items.select(F.explode("items").alias("token")).groupBy("token").agg(F.count("*").alias("freq"))
     named = rules.withColumn("token", F.explode("antecedent")).join(single, "token")
     return named.groupBy("antecedent", "confidence", "support", "lift").agg(F.min_by("token", F.struct("freq", "token")).alias("first"))
 
 
 def best_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """For each distinct token set (``set_id``, ``tokens``) that a rule fits, the most confident rule."""
+    """For each distinct token set (``tokens``) that a rule fits, the most confident rule; of those the one of the most support, then the last by its words."""
     looked = sets.withColumn("first", F.explode("tokens")).join(rules, "first")
     fits = looked.where(F.size(F.array_except("antecedent", "tokens")) == 0)
-    return fits.groupBy("set_id").agg(F.max(F.struct("confidence", "support", F.array_join("antecedent", " ").alias("mined_rule"))).alias("best")).select("set_id", "best.*")
+    return fits.groupBy("tokens").agg(F.max(F.struct("confidence", "support", F.array_join("antecedent", " ").alias("mined_rule"))).alias("best")).select("tokens", "best.*")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, stated: list[tuple[str, str, str]] = STATED) -> DataFrame:
@@ -97,18 +99,19 @@ def judge_urls(pages: DataFrame, labels: DataFrame, stated: list[tuple[str, str,
 
     ``labels`` (doc_id, quality) names the pages that are known to be good (1) or bad (0); null
     qualities teach nothing. A null url has empty host and path and is allowed unless a mined rule
-    fits its (empty) tokens, which none does. Repeated rows are each judged alike; no rows give no rows.
+    fits its (empty) tokens, which none does. Repeated rows are each judged alike; no rows give no rows. A URL counts whole,
+    whatever its length; other columns of ``pages`` are left out.
     """
     url = F.col("url")
     base = pages.select("page_id", "url").withColumn("host", url_host(url)).withColumn("path", url_path(url))
     base = base.withColumn("tokens", url_tokens(url, F.col("host"), F.col("path")))
-    base = base.withColumn("set_id", F.xxhash64("tokens")).withColumn("stated", stated_rule(F.col("host"), F.col("path"), stated))
+    base = base.withColumn("stated", stated_rule(F.col("host"), F.col("path"), stated))
     known = labels.select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad")).where("bad is not null and page_id is not null")
     rules = mine_rules(base.select("page_id", "tokens").join(known, "page_id"))
-    sets = base.where("stated is null").groupBy("set_id").agg(F.max("tokens").alias("tokens"))
-    best = best_rules(sets, rules).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = base.drop("tokens", "url").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    return rows.join(best, ["set_id", "salt"], "left").select(
+    sets = base.where("stated is null").select("tokens").distinct()
+    best = materialise(best_rules(sets, rules), "url-judged").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = base.drop("url").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    return rows.join(best, ["tokens", "salt"], "left").select(
         "page_id",
         "host",
         "path",
