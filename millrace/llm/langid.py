@@ -1,7 +1,7 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
 One Bloom filter for each language, stored side by side: slot ``i`` of the table is a
-64-bit mask with one bit for each language. The masks at an n-gram's hash positions,
+mask with one bit for each language, in as many 64-bit words as the languages need (4 MB a word). The masks at an n-gram's hash positions,
 ANDed, name all languages whose filter has it. A text's popcounts by language are corrected for
 each filter's false-positive rate, ``(hits - n f) / (1 - f)``, and the language with the most wins.
 
@@ -19,40 +19,42 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, python_ready, shielded, table
+from .common import held_out, materialise, python_ready, shield, table
 from .textkernel import PIECE, codes, fold_table, letter_table, mix
 
 GRAM, HASHES, SLOT_BITS = 4, 3, 19
-SAMPLE, MIN_COUNT, MIN_SHARE, MAX_LANGUAGES = 4000, 3, 0.4, 64
+SAMPLE, MIN_COUNT, MIN_SHARE = 4000, 3, 0.4
 _TIMES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
-def gram_hashes(text: str) -> np.ndarray:
-    """Hashes of the character n-grams of letters; a blank stands for each run of other characters."""
-    c = codes(text)
-    f = np.where(letter_table()[c], fold_table()[c], np.uint32(32))
-    keep = np.ones(len(f), bool)
-    keep[1:] = (f[1:] != 32) | (f[:-1] != 32)
-    f = np.concatenate([[32], f[keep], [32]]).astype(np.uint64)
-    if len(f) > 2 and f[1] == 32:
-        f = f[1:]
-    if len(f) > 2 and f[-2] == 32:
-        f = f[:-1]
-    if not (f != 32).any():
-        return np.zeros(0, np.uint64)
-    n = len(f) - GRAM + 1
-    if n < 1:
-        f = np.concatenate([f, np.full(1 - n, 32, np.uint64)])
-        n = 1
-    out = np.zeros(n, np.uint64)
-    for j in range(GRAM):
-        out = out * np.uint64(0x100000001B3) + f[j : j + n]
-    return mix(out)
-
-
-def _text_pieces(text: str) -> Iterator[str]:
-    for at in range(0, len(text), PIECE):
-        yield text[at : at + PIECE]
+def gram_batches(text: str, size: int = PIECE) -> Iterator[np.ndarray]:
+    """Hashes of all character n-grams of letters of a whole text, about ``size`` at a time; a blank stands for each run of other characters.
+
+    What a piece leaves unfinished goes on into the next, so the result doesn't depend on the cut. Nothing comes out of a text without letters.
+    """
+    held, some, whole = np.full(1, 32, np.uint64), False, True
+    for at in range(0, len(text), size):
+        c = codes(text[at : at + size])
+        f = np.where(letter_table()[c], fold_table()[c], np.uint32(32))
+        before = np.concatenate([held[-1:].astype(np.uint32), f[:-1]])
+        f = f[(f != 32) | (before != 32)]
+        some = some or bool((f != 32).any())
+        last = at + size >= len(text)
+        held = np.concatenate([held, f])
+        if not some:
+            continue
+        if last:
+            held = np.concatenate([held, np.full(int(held[-1] != 32), 32, np.uint64)])
+            if whole:
+                held = np.concatenate([held, np.full(max(0, GRAM - len(held)), 32, np.uint64)])
+        n = len(held) - GRAM + 1
+        if n < 1:
+            continue
+        out = np.zeros(n, np.uint64)
+        for j in range(GRAM):
+            out = out * np.uint64(0x100000001B3) + held[j : j + n]
+        held, whole = held[n:], False
+        yield mix(out)
 
 
 def positions(grams: np.ndarray) -> list[np.ndarray]:
@@ -60,11 +62,11 @@ def positions(grams: np.ndarray) -> list[np.ndarray]:
 
 
 class BitSlicedFilters:
-    """``slots``: uint64 masks; ``languages``: the language of each bit."""
+    """``slots``: uint64 masks, a row of words for each slot; ``languages``: the language of each bit."""
 
     def __init__(self, slots: np.ndarray, languages: list[str]):
         self.slots, self.languages = slots, languages
-        fill = np.array([np.count_nonzero(slots & np.uint64(1 << b)) / len(slots) for b in range(len(languages))])
+        fill = np.array([np.count_nonzero(slots[:, b // 64] & np.uint64(1 << b % 64)) / len(slots) for b in range(len(languages))])
         self.false_rate = np.minimum(fill**HASHES, 0.99)
 
     def masks(self, grams: np.ndarray) -> np.ndarray:
@@ -77,12 +79,10 @@ class BitSlicedFilters:
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, share of the n-grams that the best filter has, corrected); ``und`` and 0 without letters."""
         hits, n = np.zeros(len(self.languages)), 0
-        for piece in _text_pieces(text or ""):
-            grams = gram_hashes(piece)
+        for grams in gram_batches(text or ""):
             n += len(grams)
-            if len(grams):
-                m = self.masks(grams)
-                hits += [np.count_nonzero(m & np.uint64(1 << b)) for b in range(len(self.languages))]
+            m = self.masks(grams)
+            hits += [np.count_nonzero(m[:, b // 64] & np.uint64(1 << b % 64)) for b in range(len(self.languages))]
         if not n or not self.languages:
             return "und", 0.0
         clean = np.maximum(0.0, (hits - n * self.false_rate) / (1 - self.false_rate))
@@ -91,53 +91,41 @@ class BitSlicedFilters:
 
 
 def fit(labelled: DataFrame, *, sample: int = SAMPLE) -> BitSlicedFilters:
-    """Filters from ``text``, ``lang`` and ``doc_id``; null texts and languages teach nothing.
-
-    At most ``MAX_LANGUAGES`` languages fit a mask; more are refused.
-    """
-    python_ready(labelled)
+    """Filters from ``text``, ``lang`` and ``doc_id``; null texts and languages teach nothing."""
+    spark = python_ready(labelled)
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return BitSlicedFilters(np.zeros(1 << SLOT_BITS, np.uint64), [])
-    share = F.lit(0.0)
-    bit = F.lit(0)
-    for b, name in enumerate(languages):
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, sample / sizes[name]))).otherwise(share)
-        bit = F.when(F.col("lang") == name, F.lit(b)).otherwise(bit)
+        return BitSlicedFilters(np.zeros((1 << SLOT_BITS, 1), np.uint64), [])
+    shares = spark.createDataFrame([(x, b, min(1.0, sample / sizes[x])) for b, x in enumerate(languages)], "lang string, bit int, share double")
     dice = F.pmod(F.xxhash64(F.lit(17), "doc_id", "text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = rows.where(dice < share).select(bit.cast("int").alias("bit"), "text")
+    chosen = rows.join(F.broadcast(shares), "lang").where(dice < F.col("share")).select("bit", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for b, texts in batch.groupby("bit")["text"]:
-                parts = [gram_hashes(p) for t in texts for p in _text_pieces(t)]
+                parts = [g for t in texts for g in gram_batches(t)]
                 value, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
                 yield pd.DataFrame({"gram": value.view(np.int64), "bit": np.int32(b), "n": n.astype(np.int64)})
 
     grams = chosen.mapInPandas(count, "gram long, bit int, n long").groupBy("gram", "bit").agg(F.sum("n").alias("n"))
-    totals = {r["bit"]: r["n"] for r in grams.groupBy("bit").agg(F.sum("n").alias("n")).collect()}
-    scale = F.lit(0.0)
-    for b, n in totals.items():
-        scale = F.when(F.col("bit") == b, F.col("n") / F.lit(float(n))).otherwise(scale)
-    rated = grams.withColumn("rate", scale)
+    grams = materialise(grams, "language-grams")
+    totals = grams.groupBy("bit").agg(F.sum("n").alias("total"))  # one row for each language
+    rated = grams.join(F.broadcast(totals), "bit").withColumn("rate", F.col("n") / F.col("total"))
     top = rated.groupBy("gram").agg(F.max("rate").alias("most"), F.collect_list(F.struct("bit", "n", "rate")).alias("by"))
     kept = top.withColumn("x", F.explode("by")).where((F.col("x.n") >= MIN_COUNT) & (F.col("x.rate") >= F.col("most") * MIN_SHARE))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            g = batch["gram"].to_numpy(np.int64).view(np.uint64)
-            mask = np.left_shift(np.int64(1), batch["bit"].to_numpy(np.int64))
+            g, bit = batch["gram"].to_numpy(np.int64).view(np.uint64), batch["bit"].to_numpy(np.int64)
             for p in positions(g):
-                yield pd.DataFrame({"slot": p, "mask": mask})
+                yield pd.DataFrame({"slot": p, "word": bit // 64, "mask": np.left_shift(np.int64(1), bit % 64)})
 
-    bits = kept.select("gram", F.col("x.bit").alias("bit")).mapInPandas(place, "slot long, mask long")
-    slots = np.zeros(1 << SLOT_BITS, np.uint64)
-    table_ = bits.groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas()  # at most 2**SLOT_BITS rows
-    slots[table_["slot"].to_numpy(np.int64)] = table_["mask"].to_numpy(np.int64).view(np.uint64)
+    bits = kept.select("gram", F.col("x.bit").alias("bit")).mapInPandas(place, "slot long, word long, mask long")
+    table_ = bits.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toPandas()  # at most 2**SLOT_BITS rows for each word of the masks
+    slots = np.zeros((1 << SLOT_BITS, -(-len(languages) // 64)), np.uint64)
+    slots[table_["slot"].to_numpy(np.int64), table_["word"].to_numpy(np.int64)] = table_["mask"].to_numpy(np.int64).view(np.uint64)
     return BitSlicedFilters(slots, languages)
 
 
@@ -170,12 +158,12 @@ def identify(docs: DataFrame) -> DataFrame:
 MIN_SCORE = 0.2
 
 
-@shielded
 def known_language(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose language is known, columns as they were."""
-    judged = identify(docs.withColumnsRenamed({c: f"_k_{c}" for c in docs.columns if c.lower() in ("lang_pred", "lang_score", "held_out")}))
-    kept = judged.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= min_score))
-    return kept.select(*[F.col(f"_k_{c}").alias(c) if c.lower() in ("lang_pred", "lang_score", "held_out") else F.col(c) for c in docs.columns])
+    held, back = shield(docs, also=("lang_pred", "lang_score", "held_out"))
+    judged = identify(held)
+    kept = judged.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= min_score)).select(*held.columns)
+    return kept.withColumnsRenamed(back) if back else kept
 
 
 def op3_bloom_language(spark, sf_dir: str) -> DataFrame:
