@@ -2,8 +2,8 @@
 
 Statistics of each text are standardised, mapped to cosines that approximate a Gaussian
 kernel, and fitted to the labels by ridge regression. Its normal equations are summed by
-partition, so the driver holds one matrix of a fixed size. Scores of labelled rows are then summed up in ``BINS`` bins
-and calibrated by pooling adjacent violators. All labelled rows take part in every sum.
+partition and again by group of partitions, so the driver holds ``SUM_GROUPS`` matrices of a fixed size. Scores of labelled rows are then summed up
+in ``BINS`` bins and calibrated by pooling adjacent violators. All labelled rows take part in every sum.
 """
 
 from __future__ import annotations
@@ -13,13 +13,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, materialise, python_ready, table
+from .common import held_out, materialise, python_ready, real_ids, table, whole_ids
 from .textkernel import PIECE, codes, fold_table, letter_table, word_batches
 
-FEATURES, GAMMA, RIDGE, BINS, SUM_PARTS = 192, 0.06, 1e-3, 512, 32
+FEATURES, GAMMA, RIDGE, BINS, SUM_GROUPS = 192, 0.06, 1e-3, 512, 16
 STATS = 20
 
 
@@ -67,9 +68,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "stats": [text_statistics(t).tobytes() for t in batch["text"]]})
+            yield batch[["doc_id", "no_id"]].assign(stats=[text_statistics(t).tobytes() for t in batch["text"]])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, stats binary")
+    return real_ids(whole_ids(docs.select("doc_id", "text")).mapInPandas(run, "doc_id long, no_id boolean, stats binary"))
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -108,17 +109,23 @@ def pool_adjacent(value: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([np.full(int(n), v) for v, _, n in blocks]) if blocks else np.zeros(0)
 
 
-def _summed(rows: DataFrame, part, width: int) -> np.ndarray:
-    """Sum over all rows of ``part(stats matrix, labels)``, a vector of ``width`` doubles."""
+def _reduced(rows: DataFrame, part, width: int, add=np.add) -> np.ndarray:
+    """``part(stats matrix, labels)``, a vector of ``width`` doubles, of all rows, put together by ``add``; zeros without rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(width)
+        total, at = None, TaskContext.get().partitionId()
         for batch in batches:
-            total += part(_matrix(batch["stats"]), batch["label"].to_numpy(float))
-        yield pd.DataFrame({"total": [total.tobytes()]})
+            if len(batch):
+                one = part(_matrix(batch["stats"]), batch["label"].to_numpy(float))
+                total = one if total is None else add(total, one)
+        yield pd.DataFrame({"g": [at % SUM_GROUPS], "total": [total.tobytes()]} if total is not None else {"g": [], "total": []})
+
+    def put(found: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"g": found["g"].iloc[:1], "total": [add.reduce([np.frombuffer(t) for t in found["total"]]).tobytes()]})
 
-    parts = rows.select("stats", "label").coalesce(SUM_PARTS).mapInPandas(run, "total binary").collect()
-    return np.sum([np.frombuffer(r["total"]) for r in parts], axis=0) if parts else np.zeros(width)
+    kind = "g int, total binary"
+    parts = rows.select("stats", "label").mapInPandas(run, kind).groupBy("g").applyInPandas(put, kind).collect()
+    return add.reduce([np.frombuffer(r["total"]) for r in parts]) if parts else np.zeros(width)
 
 
 def fit(rows: DataFrame) -> Model:
@@ -127,7 +134,7 @@ def fit(rows: DataFrame) -> Model:
     def moments(x, y):
         return np.concatenate([[len(x)], x.sum(0), (x * x).sum(0)])
 
-    m = _summed(rows, moments, 1 + 2 * STATS)
+    m = _reduced(rows, moments, 1 + 2 * STATS)
     n = max(1.0, m[0])
     mean = m[1 : 1 + STATS] / n
     scale = np.sqrt(np.maximum(m[1 + STATS :] / n - mean**2, 1e-8))
@@ -140,16 +147,22 @@ def fit(rows: DataFrame) -> Model:
         f = model.features(x)
         return np.concatenate([(f.T @ f).ravel(), f.T @ y])
 
-    s = _summed(rows, equations, d * d + d)
+    s = _reduced(rows, equations, d * d + d)
     a = s[: d * d].reshape(d, d)
     model.weight = np.linalg.solve(a + RIDGE * n * np.eye(d) / 10, s[d * d :])
-    lo, hi = -0.5, 1.5
+
+    def extent(x, y):
+        raw = model.raw(x)
+        return np.array([raw.min(), -raw.max()])
+
+    lo, hi = _reduced(rows, extent, 2, np.minimum) * [1, -1]
+    hi = max(hi, lo + 1e-9)
 
     def bins(x, y):
         at = np.clip(((model.raw(x) - lo) / (hi - lo) * BINS).astype(int), 0, BINS - 1)
         return np.concatenate([np.bincount(at, minlength=BINS), np.bincount(at, y, minlength=BINS)])
 
-    b = _summed(rows, bins, 2 * BINS)
+    b = _reduced(rows, bins, 2 * BINS)
     full = np.flatnonzero(b[:BINS])
     model.edge = lo + (full + 0.5) * (hi - lo) / BINS
     model.value = np.clip(pool_adjacent(b[BINS:][full] / b[:BINS][full], b[:BINS][full]), 0, 1)
@@ -164,15 +177,15 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     stats = materialise(with_statistics(docs), "quality-stats")
     known = labels.where("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("double").alias("label"))
-    model = fit(stats.where(~held_out("doc_id")).join(known, "doc_id"))
+    model = fit(materialise(stats.where(~held_out("doc_id")).join(known, "doc_id").select("stats", "label"), "quality-labelled"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield pd.DataFrame({"doc_id": batch["doc_id"], "score": shared.value.score(_matrix(batch["stats"]))})
+                yield batch[["doc_id", "no_id"]].assign(score=shared.value.score(_matrix(batch["stats"])))
 
-    scored = stats.mapInPandas(run, "doc_id long, score double")
+    scored = real_ids(whole_ids(stats).mapInPandas(run, "doc_id long, no_id boolean, score double"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).cast("int").alias("predicted"))
 
 
