@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import python_ready, table
+from .common import python_ready, real_ids, table, whole_ids
 
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH, LEVEL, CHUNK = 64, 3, 1 << 20
@@ -52,6 +52,24 @@ def encode_png(payload: bytes) -> bytes:
     return b"".join([*parts, _chunk(b"IEND", b"")])
 
 
+def _undo_diagonals(part: np.ndarray, above: np.ndarray, kind: int) -> np.ndarray:
+    """Undoes the filters average (3) and Paeth (4): a sample needs those to the left and above, so all samples of a diagonal go at once."""
+    height, width = part.shape
+    held = np.zeros((height + 1, width + 1), np.int32)
+    held[0, 1:] = above
+    for t in range(height + width - 1):
+        y = np.arange(max(0, t - width + 1), min(height, t + 1))
+        x = t - y
+        a, b, c = held[y + 1, x], held[y, x + 1], held[y, x]
+        if kind == 3:
+            guess = (a + b) // 2
+        else:
+            pa, pb, pc = np.abs(b - c), np.abs(a - c), np.abs(a + b - 2 * c)
+            guess = np.where((pa <= pb) & (pa <= pc), a, np.where(pb <= pc, b, c))
+        held[y + 1, x + 1] = (part[y, x] + guess) & 255
+    return held[1:, 1:].astype(np.uint8)
+
+
 def _unfilter(rows: np.ndarray) -> np.ndarray:
     kinds, data = rows[:, 0], rows[:, 1:]
     out = np.empty_like(data)
@@ -67,19 +85,7 @@ def _unfilter(rows: np.ndarray) -> np.ndarray:
             np.cumsum(part, axis=0, dtype=np.uint8, out=out[lo:hi])
             out[lo:hi] += above
         elif kind in (3, 4):
-            for i in range(lo, hi):
-                a = c = 0
-                row = out[i]
-                for j, (x, b) in enumerate(zip(data[i].tolist(), above.tolist(), strict=True)):
-                    if kind == 3:
-                        guess = (a + b) // 2
-                    else:
-                        p = a + b - c
-                        pa, pb, pc = abs(p - a), abs(p - b), abs(p - c)
-                        guess = a if pa <= pb and pa <= pc else b if pb <= pc else c
-                    a, c = (x + guess) & 255, b
-                    row[j] = a
-                above = row
+            out[lo:hi] = _undo_diagonals(part, above, kind)
         else:
             raise ValueError(f"unknown row filter {kind}")
         above = out[hi - 1]
@@ -149,10 +155,12 @@ def to_media(docs: DataFrame, text: str = "text") -> DataFrame:
             for lo in range(0, len(batch), 256):
                 part = batch.iloc[lo : lo + 256]
                 raw = [(t or "").encode("utf-8", "surrogatepass") for t in part[text]]
-                media = [encode_png(pad(r)) for r in raw]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "n_bytes": [len(r) for r in raw], "media": media, "cosine_hash": [cosine_hash(decode_png(m)) for m in media]})
+                padded = [pad(r) for r in raw]
+                yield part[["doc_id", "no_id"]].assign(
+                    n_bytes=[len(r) for r in raw], media=[encode_png(p) for p in padded], cosine_hash=[cosine_hash(np.frombuffer(p, np.uint8).reshape(-1, WIDTH)) for p in padded]
+                )
 
-    return docs.select("doc_id", text).mapInPandas(run, "doc_id long, n_bytes long, media binary, cosine_hash binary")
+    return real_ids(whole_ids(docs.select("doc_id", text)).mapInPandas(run, "doc_id long, no_id boolean, n_bytes long, media binary, cosine_hash binary"))
 
 
 def read_media(media: DataFrame) -> DataFrame:
@@ -162,13 +170,13 @@ def read_media(media: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, n, png in zip(batch["doc_id"], batch["n_bytes"], batch["media"], strict=True):
+            for doc_id, no_id, n, png in zip(batch["doc_id"], batch["no_id"], batch["n_bytes"], batch["media"], strict=True):
                 image = decode_png(png)
                 payload = image.tobytes()
-                out.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest(), cosine_hash(image).hex()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                out.append((doc_id, no_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(png), hashlib.sha256(png).hexdigest(), cosine_hash(image).hex()))
+            yield pd.DataFrame(out, columns=["doc_id", "no_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return media.mapInPandas(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return real_ids(whole_ids(media).mapInPandas(run, "doc_id long, no_id boolean, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"))
 
 
 def op5_png_media(spark, sf_dir: str) -> DataFrame:
