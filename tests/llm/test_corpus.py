@@ -126,7 +126,7 @@ def test_mined_rules_by_brute_force(spark, sf_dir):
 
     n, bad = Counter(), Counter()
     for r in rows:
-        for k in (1, 2, 3):
+        for k in range(1, len(r["tokens"]) + 1):
             for c in combinations(sorted(r["tokens"]), k):
                 n[c] += 1
                 bad[c] += r["bad"]
@@ -159,9 +159,9 @@ def test_language_odd(spark, odd, nothing, documents):
 
 def test_filters_hold_every_gram():
     grams = textkernel.mix(np.arange(1000, dtype=np.uint64))
-    slots = np.zeros(1 << langid.SLOT_BITS, np.uint64)
+    slots = np.zeros((1 << langid.SLOT_BITS, 1), np.uint64)
     for p in langid.positions(grams):
-        slots[p] |= np.uint64(2)
+        slots[p, 0] |= np.uint64(2)
     f = langid.BitSlicedFilters(slots, ["a", "b"])
     assert (f.masks(grams) == 2).all() and np.count_nonzero(f.masks(textkernel.mix(np.arange(5000, 9000, dtype=np.uint64)))) < 5
 
@@ -383,7 +383,7 @@ def brute_repeats(rows):
         cuts = spans.sentence_cuts(t).tolist() if t else [0, 0]
         sent = [plain_words(t[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)] if t else []
         long_enough = lambda part: (sum(map(bool, part)) >= spans.MIN_SENTENCES and sum(map(len, part)) >= spans.MIN_WORDS) or (len(part) == 1 and len(part[0]) >= spans.ALONE_WORDS)
-        own = set()
+        own = set()  # runs that start at a sentence, and runs that end with it
         for s in range(len(sent)):
             if sent[s]:
                 stop = next((e for e in range(s + 1, len(sent) + 1) if long_enough(sent[s:e])), None)
