@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,10 +16,21 @@ MONTHS = {
     "es": ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto", "septiembre", "octubre", "noviembre", "diciembre"],
     "tr": ["ocak", "şubat", "mart", "nisan", "mayıs", "haziran", "temmuz", "ağustos", "eylül", "ekim", "kasım", "aralık"],
 }
+OTHER_SPELLINGS = {"es": {"setiembre": 9}}
+#: Years that a mention of a month may name.
+MENTION_YEARS = (2020, 2035)
+
+
+def _shape(form: str) -> str:
+    """A loose pattern of the texts that a form can fit, so that most parsers aren't tried at all."""
+    out = re.sub(r"'(.)'", lambda m: m[1], form)
+    out = re.sub(r"MMMM?", "~", out)
+    out = re.sub(r"[dMyHms]+", "#", out)
+    return "^" + out.replace(".", r"\.").replace("~", r"\p{L}+").replace("#", r"[0-9]+").replace("XXX", "[^ ]+").replace(" Z", " [-+].*").replace(" z", " [A-Za-z].*") + "$"
 
 
 def _first(texts: list[tuple[Column, str]]) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for t, f in texts])
+    return F.coalesce(*[F.when(t.rlike(_shape(f)), F.try_to_timestamp(t, F.lit(f))) for t, f in texts])
 
 
 def _rfc2822(col: Column) -> Column:
@@ -56,6 +69,7 @@ def month_number(name: Column, languages: tuple[str, ...] = ("en", "fr", "es", "
             known.setdefault(month, i)
             if lang == "en":
                 known.setdefault(month[:3], i)
+        known |= OTHER_SPELLINGS.get(lang, {})
     pairs = [F.lit(x) for pair in known.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), F.lower(strip(F.coalesce(name, F.lit("")))))
 
@@ -80,12 +94,13 @@ def parse_written_date(col: Column, languages: tuple[str, ...] = ("en", "fr", "e
     )
 
 
-def latest_month_mention(col: Column, language: str = "es") -> Column:
-    """The latest ``month year`` that a text mentions, as the first of that month; null without one."""
-    names = "|".join(MONTHS[language])
-    found = F.regexp_extract_all(F.lower(col), F.lit(rf"(?:{names})\s+(?:de\s+)?\d{{4}}"), 0)
-    dates = F.transform(found, lambda t: F.make_date(F.regexp_extract(t, r"(\d{4})", 1).cast("int"), month_number(F.regexp_extract(t, r"^(\S+)", 1), (language,)), F.lit(1)))
-    return F.array_max(dates)
+def latest_month_mention(col: Column, language: str = "es", first_year: int = MENTION_YEARS[0], last_year: int = MENTION_YEARS[1]) -> Column:
+    """The latest ``month year`` that a text mentions, as the first of that month; years out of bounds don't count; null without one."""
+    names = "|".join(MONTHS[language] + list(OTHER_SPELLINGS.get(language, {})))
+    found = F.regexp_extract_all(F.lower(col), F.lit(rf"(?U)\b(?:{names})\b[\s,]+(?:de\s+)?\d{{4}}"), 0)
+    year = lambda t: F.regexp_extract(t, r"(\d{4})$", 1).cast("int")
+    able = F.filter(found, lambda t: year(t).between(first_year, last_year))
+    return F.array_max(F.transform(able, lambda t: F.make_date(year(t), month_number(F.regexp_extract(t, r"^(\p{L}+)", 1), (language,)), F.lit(1))))
 
 
 def path_year(url: Column) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 import html
-import re
 import unicodedata
 
 import pandas as pd
@@ -36,32 +36,44 @@ def dated_id(code: Column, day: Column) -> Column:
     return F.substring(F.sha2(F.concat(F.lower(code), F.lit("|"), F.date_format(day, "yyyy-MM-dd")).cast("binary"), 256), 1, 16)
 
 
-def plain_title(title: str | None) -> str:
-    """NFKD, ASCII only, lower case, letters, digits and single spaces."""
-    t = unicodedata.normalize("NFKD", title or "").encode("ascii", "ignore").decode("ascii").lower()
-    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9 ]", "", t)).strip()
+_KEPT = frozenset("abcdefghijklmnopqrstuvwxyz0123456789 ")
 
 
-def normalize_title_exact(col: Column) -> Column:
-    """The exact normal form, with full NFKD, as a pandas UDF."""
-    ship_active()
+class _Plain(dict):
+    """What becomes of each code point: the letters, digits and spaces of its compatibility decomposition, in lower case."""
 
-    @F.pandas_udf("string")
-    def run(titles: pd.Series) -> pd.Series:
-        return titles.map(plain_title)
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(c for c in unicodedata.normalize("NFKD", chr(code)).lower() if c in _KEPT)
+        return self[code]
 
-    return run(col)
+
+_PLAIN = _Plain()
 
 
-# Accented Latin letters and the ASCII letters they become, position by position.
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-_ASCII = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+def plain_title(title: str | None) -> str:
+    """The normal form of one title; ``normalize_title`` is the same on columns."""
+    return " ".join((title or "").translate(_PLAIN).split())
+
+
+@functools.cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """(characters outside ASCII that become one kept character, those characters, and those that become several)."""
+    seen = [(chr(c), _PLAIN[c]) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    one = [(c, to) for c, to in seen if len(to) == 1]
+    return "".join(c for c, _ in one), "".join(to for _, to in one), {c: to for c, to in seen if len(to) > 1}
 
 
 def normalize_title(col: Column) -> Column:
-    """The normal form for Latin text, within code generation: accents off, lower case, ``[a-z0-9 ]``, single spaces."""
-    t = F.translate(F.lower(F.coalesce(col, F.lit(""))), _ACCENTED, _ASCII)
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^a-z0-9 ]", ""), r" +", " "))
+    """Compatibility decomposition, lower case, ``[a-z0-9 ]``, single spaces; within code generation.
+
+    Characters that become one are translated; the few that become several (ligatures, units) are looked up one by one, only in rows that hold any.
+    """
+    many, ones, several = _folds()
+    text = F.translate(F.coalesce(col, F.lit("")), many, ones)
+    names = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(names, c), c)), "")
+    text = F.when(text.rlike("[" + "".join(several) + "]"), spelled).otherwise(text)
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[^a-z0-9 ]", ""), r" +", " "))
 
 
 def unescape_html(col: Column) -> Column:
@@ -159,11 +171,15 @@ def clean_prefixes(title: Column, prefixes: dict[str, str]) -> Column:
     return out
 
 
+def _among(values: list[str], word: Column) -> Column:
+    return word.isin(values)
+
+
 def guess_language(col: Column, default: str = "en") -> Column:
     """Boundary stand-in: the language with most of its commonest words in the text, else the default."""
     marks = {"en": ["the", "and", "of"], "fr": ["les", "des", "et"], "de": ["der", "die", "und"], "es": ["los", "las", "que"]}
     words = F.split(F.lower(F.coalesce(col, F.lit(""))), r"\W+")
-    hits = {k: F.size(F.filter(words, lambda w, v=v: w.isin(v))) for k, v in marks.items()}
+    hits = {k: F.size(F.filter(words, functools.partial(_among, v))) for k, v in marks.items()}
     best = F.greatest(*hits.values())
     out = F.lit(default)
     for k, n in reversed(hits.items()):

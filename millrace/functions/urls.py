@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship_active
 
-SEARCH_FEED = "https://news.example/rss/search?q=%s&hl=en"
+#: Search feeds are told by their host.
+SEARCH_HOST = "news.google.com"
+SEARCH_FEED = f"https://{SEARCH_HOST}/rss/search?q=%s&hl=en"
 
 
 def search_url(query: Column, template: str = SEARCH_FEED) -> Column:
