@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import time
 from collections.abc import Callable, Iterator
+from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,12 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
-from ..schemas import coerce
+from ..functions.text import strip
+from ..schemas import BRIEF, coerce
 from ..shipping import ship
 
 # Rows to a request.
 CHUNK = {"article": 5, "signal": 8, "publication": 8}
 BODY_CHARS, SUMMARY_CHARS, RAW_CHARS = 1200, 500, 2500
+POLL_SECONDS, TIMEOUT_SECONDS = 15, 20 * 60
 CONTRACTS = {
     "article": "struct<item_index:int,relevant:boolean,category:string,summary:string,tags:array<string>,importance:string,story_key:string,place:string,country_iso:string>",
     "signal": "struct<item_index:int,signal_type:string,summary:string,score:string,angle:string,company_is_actor:boolean,story_key:string>",
@@ -24,14 +28,21 @@ CONTRACTS = {
 }
 
 
-def chunks(rows: DataFrame, size: int, slices: int = 64) -> DataFrame:
-    """``rows`` with chunk_id and item_index, ``size`` rows to a chunk in the order of ``seq``.
+def chunks(rows: DataFrame, size: int, span: int = 320) -> DataFrame:
+    """``rows`` with chunk_id and item_index, ``size`` rows to a chunk in the order of ``seq``; only the last chunk may be short.
 
-    Rows are numbered within ranges of ``seq``, so no task sees them all; each range's last chunk may be short.
+    Rows are numbered within ranges of ``seq`` and the counts of the ranges before are added, so no task sees all rows, however sparse ``seq`` is.
     """
-    part = F.floor(F.col("seq") / (size * slices))
-    n = F.row_number().over(Window.partitionBy(part).orderBy("seq")) - 1
-    return rows.withColumn("_n", n).withColumn("chunk_id", F.format_string("%d-%d", part, F.floor(F.col("_n") / size).cast("long"))).withColumn("item_index", (F.col("_n") % size).cast("int")).drop("_n")
+    part = F.floor(F.col("seq") / span)
+    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_c"))
+    counts = counts.select("_part", F.floor(F.col("_part") / span).alias("_far"), "_c")
+    far = counts.groupBy("_far").agg(F.sum("_c").alias("_n_far"))
+    far = far.select("_far", (F.sum("_n_far").over(Window.orderBy("_far")) - F.col("_n_far")).alias("_before_far"))  # a row for each ``span`` ranges
+    near = F.sum("_c").over(Window.partitionBy("_far").orderBy("_part")) - F.col("_c")
+    offsets = counts.withColumn("_before", near).join(far, "_far").select("_part", (F.col("_before") + F.col("_before_far")).alias("_offset"))
+    n = F.row_number().over(Window.partitionBy("_part").orderBy("seq")) - 1
+    out = rows.withColumn("_part", part).withColumn("_n", n).join(offsets, "_part").withColumn("_n", F.col("_n") + F.col("_offset"))
+    return out.withColumn("chunk_id", F.floor(F.col("_n") / size).cast("string")).withColumn("item_index", (F.col("_n") % size).cast("int")).select(*rows.columns, "chunk_id", "item_index")
 
 
 def apply_results(items: DataFrame, results: DataFrame) -> DataFrame:
@@ -104,6 +115,54 @@ def call_in_batches(rows: DataFrame, classify: Callable[[list[dict]], list[dict]
     return rows.repartition(concurrency, "chunk_id").groupBy("chunk_id").applyInPandas(run, schema)
 
 
+class BatchService(Protocol):
+    """A service that takes many requests at once and is asked for the results later."""
+
+    def submit(self, requests: list[dict]) -> str: ...
+
+    def ended(self, batch: str) -> bool: ...
+
+    def results(self, batch: str) -> list[dict]: ...
+
+    def cancel(self, batch: str) -> None: ...
+
+
+def call_in_bulk(
+    requests: DataFrame, service: BatchService, *, poll_seconds: float = POLL_SECONDS, timeout_seconds: float = TIMEOUT_SECONDS,
+    clock: Callable[[], float] = time.monotonic, wait: Callable[[float], None] = time.sleep,
+) -> tuple[DataFrame, DataFrame]:
+    """(results: custom_id, json, error; the requests that still need the direct way) of one batch of ``requests`` (custom_id, json).
+
+    The batch is cancelled when it hasn't ended in time; then, and when the service fails, all requests are left. Answers with an error and
+    requests without an answer are left too; answers to what wasn't asked are dropped. A run's requests go through the driver, as one call takes them all.
+    """
+    spark, schema = requests.sparkSession, "custom_id string, json string, error string"
+    empty = spark.createDataFrame([], schema)
+    try:
+        batch = service.submit([r.asDict() for r in requests.collect()])
+        deadline = clock() + timeout_seconds
+        while not service.ended(batch):
+            if clock() > deadline:
+                with contextlib.suppress(Exception):
+                    service.cancel(batch)
+                return empty, requests
+            wait(poll_seconds)
+        answers = [(r["custom_id"], r.get("json"), r.get("error")) for r in service.results(batch)]
+    except Exception:  # noqa: BLE001 - any failure of the service leads to the direct way
+        return empty, requests
+    found = spark.createDataFrame(answers, schema).join(requests.select("custom_id"), "custom_id", "left_semi")
+    return found.where("error is null"), retry_set(requests, found)
+
+
+def parse_sections(json: Column) -> Column:
+    """A brief out of an answer: takeaway and the sections that have a label and a text, stripped; null without any content."""
+    raw = F.from_json(json, BRIEF)
+    sections = F.transform(F.coalesce(raw["sections"], F.array().cast("array<struct<label:string,text:string>>")), lambda s: F.struct(strip(s["label"]).alias("label"), strip(s["text"]).alias("text")))
+    sections = F.filter(sections, lambda s: (F.coalesce(s["label"], F.lit("")) != "") & (F.coalesce(s["text"], F.lit("")) != ""))
+    takeaway = F.coalesce(strip(raw["takeaway"]), F.lit(""))
+    return F.when((takeaway != "") | (F.size(sections) > 0), F.struct(takeaway.alias("takeaway"), sections.alias("sections")))
+
+
 def translate_titles(rows: DataFrame, translate: Callable[[list[str]], list[str]], language: str = "original_language") -> DataFrame:
     """Titles that aren't English are translated batch by batch; where that fails they stay."""
     ship(rows.sparkSession)
@@ -121,5 +180,9 @@ def translate_titles(rows: DataFrame, translate: Callable[[list[str]], list[str]
 
 
 def either(first: DataFrame, second: Callable[[], DataFrame]) -> DataFrame:
-    """The first extractor's rows, or the second's where the first has none."""
-    return first if first.limit(1).count() else second()
+    """The first extractor's rows, or the second's where the first has none. The first runs once: its rows are kept until they are read."""
+    held = first.persist()
+    if held.limit(1).count():
+        return held
+    held.unpersist()
+    return second()

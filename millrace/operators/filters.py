@@ -7,14 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import strip
+from ..functions.urls import SEARCH_HOST
+from ..vocabulary import DEFAULT_KEYWORDS
 
 #: Hours that a source looks back unless its configuration says so.
 ARTICLE_HOURS, SEARCH_HOURS, PUBLICATION_HOURS, SIGNAL_DAYS, UNDATED_LIMIT = 48, 336, 168, 7, 25
-#: Search feeds are told by their host.
-SEARCH_HOST = "news.google.com"
 
-# A small default vocabulary; the full one is a parameter or a table.
-DEFAULT_KEYWORDS = ["wheat", "corn", "maize", "soybean", "barley", "rapeseed", "sunflower", "harvest", "crop", "grain", "blé", "maïs", "weizen", "trigo"]
+# Farm-input terms that a press signal may name instead of a crop.
 INPUT_TERMS = [
     "crop protection", "pesticide", "herbicide", "fungicide", "insecticide", "fertilizer", "fertiliser", "seed", "seeds", "biotech",
     "biostimulant", "ag tech", "agtech", "agrochemical", "plant science", "precision ag", "digital farming", "agriculture", "agribusiness", "farm", "farming",
@@ -86,9 +85,9 @@ def undated_policy(df: DataFrame, now: Column, *, limit: int = UNDATED_LIMIT) ->
 
     The limit is counted before any keyword filter.
     """
-    order = Window.partitionBy("source", F.col("published_at").isNull()).orderBy("pos")
-    numbered = df.withColumn("_n", F.row_number().over(order))
-    return numbered.where(F.col("published_at").isNotNull() | (F.col("_n") <= limit)).withColumn("published_at", F.coalesce("published_at", now)).drop("_n")
+    undated = df.where("published_at is null").withColumn("_n", F.row_number().over(Window.partitionBy("source").orderBy("pos"))).where(F.col("_n") <= limit)
+    taken = undated.drop("_n").withColumn("published_at", now.cast(df.schema["published_at"].dataType)).select(*df.columns)
+    return df.where("published_at is not null").unionByName(taken)
 
 
 def signal_recent(published: Column, now: Column, days: int = SIGNAL_DAYS) -> Column:

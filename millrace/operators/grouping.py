@@ -17,28 +17,6 @@ THEMES = {
     "company_news": "Company news",
     "other": "Other",
 }
-CATEGORY_EMOJI = {
-    "crop_production": "🌾",
-    "crop_land_use": "🗺️",
-    "yields": "📈",
-    "agtech": "🚜",
-    "climate_weather": "🌦️",
-    "markets": "💸",
-    "regulation": "⚖️",
-    "company_news": "🏢",
-    "other": "📰",
-}
-SIGNAL_EMOJI = {
-    "market": "💸",
-    "agtech": "🚀",
-    "regulation": "⚖️",
-    "partnership": "🤝",
-    "executive": "👤",
-    "product": "🧪",
-    "financial": "📊",
-    "other": "📰",
-}
-PRIORITY_LABEL = {"high": 0, "medium": 1, "low": 2}
 
 
 def label(col: Column, names: dict[str, str], default: str) -> Column:

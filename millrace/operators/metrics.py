@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# USD for a million tokens by model class; over the threshold of prompt tokens the long rates hold.
+#: An example price list, USD for a million tokens by model; over the threshold of prompt tokens the long rates hold. Callers pass their own as a table.
 PRICES = [
     ("small", 0.10, 0.50, 100_000, 0.50, 2.50),
     ("small-previous", 1.00, 5.00, None, None, None),

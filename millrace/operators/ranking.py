@@ -14,7 +14,6 @@ from ..functions.text import normalize_title, strip
 
 # How many rows the selections show.
 STORIES, STORIES_PER_SOURCE, RADAR, RADAR_SCORE, MOVERS, SOURCE_ROWS, COMPANY_ROWS = 12, 2, 5, 4, 5, 15, 10
-PRIORITY_RANK = {"high": 0, "medium": 1, "low": 2}
 EPOCH = "1970-01-01 00:00:00"
 
 
