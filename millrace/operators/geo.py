@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..shipping import ship
+
+#: Fixed value: seconds between two requests to the geocoding service.
+REQUEST_DELAY = 1.1
 
 # Other spellings of country names.
 ALIASES = {
@@ -47,6 +55,29 @@ def places_to_ask(rows: DataFrame, cache: DataFrame) -> DataFrame:
     return wanted.join(cache.select(place_key(F.col("place_name")).alias("place_name")), "place_name", "left_anti")
 
 
+def ask_places(places: DataFrame, ask: Callable[[str], tuple[float, float] | None], delay: float = REQUEST_DELAY) -> DataFrame:
+    """place_name, latitude, longitude of the places that the service knows; asked one after the other, ``delay`` seconds apart, as its terms want."""
+    ship(places.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = -delay
+        for batch in batches:
+            out = []
+            for name in batch["place_name"]:
+                time.sleep(max(0.0, last + delay - time.monotonic()) if last >= 0 else 0.0)
+                last = time.monotonic()
+                try:
+                    found = ask(name)
+                except Exception:  # noqa: BLE001 - an unanswered place falls to the centroid
+                    found = None
+                if found is not None:
+                    out.append((name, float(found[0]), float(found[1])))
+            yield pd.DataFrame(out, columns=["place_name", "latitude", "longitude"])
+
+    # one caller, or the rate would be that of every task
+    return places.select("place_name").coalesce(1).mapInPandas(run, "place_name string, latitude double, longitude double")
+
+
 def country_flags(rows: DataFrame, flags: DataFrame, name: str = "country") -> DataFrame:
     """``flag`` for a country's name: as it is, by alias, whatever the case; a globe for Global, empty if unknown."""
     clean = strip(F.coalesce(F.col(name), F.lit("")))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import squeeze, word_count
+from ..schemas import BRIEF
 
 MAX_WORDS = 320
 
@@ -54,6 +55,7 @@ def banned_words(text: Column, words: list[str] | None = None) -> Column:
 def hard_issues(text: Column) -> Column:
     """Array of what must not ship: dashes, length, banned words."""
     n = word_count(text)
+    # The messages.
     found = F.array(
         F.when(text.rlike("[—–]"), F.lit("Contains an em/en dash.")),
         F.when(n > MAX_WORDS, F.format_string(f"Too long: %d words (max {MAX_WORDS}).", n)),
@@ -79,7 +81,7 @@ def number_tokens(text: Column) -> Column:
 
 
 def structural(token: Column, text: Column) -> Column:
-    """Quarters, halves, top lists, groups and durations are structure, not figures."""
+    """Quarters, halves, top lists, groups and durations are structure, not figures. The words of the pattern."""
     q = F.concat(F.lit(r"\Q"), token, F.lit(r"\E"))
     pattern = F.concat(F.lit(r"(?iU)([QH]"), q, F.lit(r"\b|\btop[\s-]"), q, F.lit(r"\b|\bG"), q, F.lit(r"\b|"), q, F.lit(r"[\s-](?:week|day|month|year|quarter))"))
     return F.rlike(text, pattern)
@@ -126,7 +128,7 @@ def salvage(briefs: DataFrame) -> DataFrame:
         F.transform("sections", lambda s: F.struct(s["label"].alias("label"), keep_grounded(s["text"], source).alias("text"))), lambda s: s["text"] != ""
     )
     out = briefs.withColumn("sections", sections).withColumn("takeaway", keep_grounded(F.col("takeaway"), source))
-    out = out.withColumn("takeaway", F.when(F.col("takeaway") == "", F.col("sections")[0]["text"]).otherwise(F.col("takeaway")))
+    out = out.withColumn("takeaway", F.when(F.col("takeaway") == "", F.get("sections", 0)["text"]).otherwise(F.col("takeaway")))
     return out.where((F.coalesce("takeaway", F.lit("")) != "") & (F.size("sections") > 0))
 
 
@@ -142,12 +144,40 @@ def source_text(items: DataFrame) -> DataFrame:
     return groups.agg(F.array_join(F.transform(ordered, lambda x: x["b"]), "\n\n").alias("source_text"))
 
 
-def generate_brief(generate: Callable[[str, list[str]], dict], check: Callable[[dict], list[str]], source: str, rounds: int = 3) -> tuple[dict | None, list[str]]:
-    """Asks for a brief until the check finds nothing, ``rounds`` times at most; returns the last one and what's wrong with it."""
-    brief, issues = None, []
+def repaired(briefs: DataFrame) -> DataFrame:
+    """Style mended: dashes, banned words and spacing in every text, then whole sections off the end until the length fits."""
+    sections = F.transform("sections", lambda s: F.struct(s["label"].alias("label"), autofix(s["text"]).alias("text")))
+    out = briefs.withColumn("takeaway", autofix(F.coalesce("takeaway", F.lit("")))).withColumn("sections", sections)
+    return out.withColumn("sections", trim_sections(F.col("takeaway"), F.col("sections")))
+
+
+def unsupported(briefs: DataFrame) -> DataFrame:
+    """Briefs with ``issues``: the figures that their source_text doesn't hold."""
+    return briefs.withColumn("issues", ungrounded(brief_text(F.col("takeaway"), F.col("sections")), F.col("source_text")))
+
+
+def generate_brief(spark: SparkSession, generate: Callable[[str, list[str]], dict | None], source: str, rounds: int = 3) -> tuple[dict | None, str]:
+    """(brief or None, what happened). Style is mended, never a reason to ask again; figures that the source doesn't hold are.
+
+    After ``rounds`` the sentences with such figures go, and what is left is a brief only if every figure in it is supported.
+    A run has one brief, so one row is all that Spark sees.
+    """
+    schema, issues, last = f"{BRIEF}, source_text string", [], None
     for _ in range(rounds):
-        brief = generate(source, issues)
-        issues = check(brief)
+        made = generate(source, issues)
+        if not made or not (made.get("takeaway") or made.get("sections")):
+            return None, "omitted (generation empty)"
+        row = (made.get("takeaway") or "", [(s["label"], s["text"]) for s in made.get("sections") or []], source)
+        last = repaired(spark.createDataFrame([row], schema))
+        found = unsupported(last).first()
+        issues = list(found["issues"])
         if not issues:
-            break
-    return brief, issues
+            return _plain(found), f"included ({len(found['sections'])} sections)"
+    left = unsupported(repaired(salvage(last))).collect()
+    if left and not left[0]["issues"]:
+        return _plain(left[0]), f"included (salvaged, {len(left[0]['sections'])} sections)"
+    return None, f"omitted ({'; '.join(issues)[:120]})"
+
+
+def _plain(row) -> dict:
+    return {"takeaway": row["takeaway"], "sections": [(s["label"], s["text"]) for s in row["sections"]]}

@@ -54,6 +54,20 @@ def matrix_long(latest: DataFrame, countries: DataFrame, crops: DataFrame, year:
     return full.withColumn("_n", F.count("value").over(Window.partitionBy("name"))).where("_n > 0").drop("_n", "previous")
 
 
+def matrices(latest: DataFrame, countries: DataFrame, crops: DataFrame, year: int) -> DataFrame:
+    """All matrices in one pass, long: those of ``crops`` (pos, crop, family), whole (``all``) and by family, for each ``metric`` of ``latest``.
+
+    Columns matrix (metric and family), name, region, ord, crop, pos, value, yoy_pct; a country without any value in a matrix is not in it.
+    """
+    keys = ["metric", "name", "crop"]
+    cells = year_on_year(latest.select("metric", F.col("Country").alias("name"), F.col("Commodity").alias("crop"), "Market_Year", "value"), keys, year).drop("previous")
+    cuts = crops.select("pos", "crop", F.explode(F.array(F.lit("all"), F.col("family"))).alias("cut"))
+    metrics = latest.select("metric").distinct()
+    grid = countries.select("ord", "name", "region").crossJoin(cuts).crossJoin(metrics)  # all of it is configuration
+    full = grid.join(cells, keys, "left").withColumn("matrix", F.concat_ws("_", "metric", "cut"))
+    return full.withColumn("_n", F.count("value").over(Window.partitionBy("matrix", "name"))).where("_n > 0").drop("_n", "metric", "cut")
+
+
 def matrix_wide(long: DataFrame, crops: list[str]) -> DataFrame:
     """One row for each country, a value and a change column for each crop."""
     return long.groupBy("ord", "name", "region").pivot("crop", crops).agg(F.first("value").alias("value"), F.first("yoy_pct").alias("yoy_pct"))
