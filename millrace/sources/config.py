@@ -25,13 +25,19 @@ def read_pages(query: Callable[[str | None], dict]) -> list[dict]:
             return out
 
 
+#: Where a property of each declared type holds its value; texts count by their first part.
+VALUE_PATHS = {
+    "title": ".title[0].plain_text", "rich_text": ".rich_text[0].plain_text", "select": ".select.name", "url": ".url", "email": ".email", "checkbox": ".checkbox", "number": ".number",
+}
+
+
 def property_value(json: Column, name: str) -> Column:
-    """A property as text, by its declared type: text parts joined, choices by name, numbers and boxes as written."""
+    """A property as text, read where its declared type holds it; null where it is missing, empty or of another type."""
     base = f"$.properties['{name}']"
-    get = lambda p: F.get_json_object(json, base + p)
-    return F.coalesce(
-        get(".title[0].plain_text"), get(".rich_text[0].plain_text"), get(".select.name"), get(".url"), get(".email"), get(".checkbox"), get(".number")
-    )
+    kind, out = F.get_json_object(json, base + ".type"), F.lit(None).cast("string")
+    for known, path in VALUE_PATHS.items():
+        out = F.when(kind == known, F.get_json_object(json, base + path)).otherwise(out)
+    return out
 
 
 def property_choices(json: Column, name: str) -> Column:
@@ -43,12 +49,36 @@ def source_rows(pages: DataFrame) -> DataFrame:
     """Sources out of property pages (json); 0 hours and runs mean the default."""
     p = lambda n: property_value(F.col("json"), n)
     return pages.select(
-        p("Name").alias("name"), F.coalesce(p("URL"), F.lit("")).alias("url"), coerce(F.lower(p("Category")), "source_category").alias("category"), coerce(F.lower(p("Type")), "source_type").alias("source_type"),
-        F.coalesce(p("Country"), F.lit("")).alias("country"), F.coalesce(p("Enabled").cast("boolean"), F.lit(False)).alias("enabled"), property_choices(F.col("json"), "Keywords").alias("keywords_filter"),
+        F.coalesce(p("Name"), F.lit("")).alias("name"), F.coalesce(p("URL"), F.lit("")).alias("url"), coerce(F.lower(p("Source Category")), "source_category").alias("category"), coerce(F.lower(p("Type")), "source_type").alias("source_type"),
+        F.coalesce(p("Country"), F.lit("")).alias("country"), F.coalesce(p("Enabled").cast("boolean"), F.lit(False)).alias("enabled"), property_choices(F.col("json"), "Keywords Filter").alias("keywords_filter"),
         F.coalesce(p("Scraper ID"), F.lit("")).alias("scraper_id"), F.coalesce(p("Lookback Hours").try_cast("int"), F.lit(0)).alias("lookback_hours"), F.coalesce(p("Max Silent Days").try_cast("int"), F.lit(0)).alias("max_silent_days"),
     )
 
 
+def recipient_rows(pages: DataFrame) -> DataFrame:
+    p = lambda n: F.coalesce(property_value(F.col("json"), n), F.lit(""))
+    return pages.select(
+        p("Name").alias("name"), p("Email").alias("email"), (p("Active") == "true").alias("active"), coerce(F.lower(p("Group")), "recipient_group").alias("group"),
+        (p("Is Primary") == "true").alias("is_primary"), p("Lead ID").alias("lead_id"),
+    )
+
+
+def company_rows(pages: DataFrame) -> DataFrame:
+    p = lambda n: F.coalesce(property_value(F.col("json"), n), F.lit(""))
+    return pages.select(
+        p("Company Name").alias("name"), coerce(F.lower(p("Type")), "company_type").alias("company_type"), p("Search Keywords").alias("search_keywords"),
+        (p("Enabled") == "true").alias("enabled"), F.coalesce(F.nullif(p("Priority"), F.lit("")), F.lit("medium")).alias("priority"),
+    )
+
+
+def country_rows(pages: DataFrame) -> DataFrame:
+    p = lambda n: F.coalesce(property_value(F.col("json"), n), F.lit(""))
+    return pages.select(
+        p("Country").alias("name"), p("Region").alias("region"), p("Flag Emoji").alias("flag_emoji"), (p("Enabled") == "true").alias("enabled"), (p("Has Scraper") == "true").alias("has_scraper"),
+        property_choices(F.col("json"), "Pan-regional Source").alias("pan_regional_sources"),
+    )
+
+
 def read_snapshot(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The four tables of a YAML snapshot; missing keys become nulls, a missing file empty tables."""
     import yaml
@@ -83,9 +113,12 @@ def by_type(companies: DataFrame, company_type: str) -> DataFrame:
     return companies.where(F.col("enabled") & (F.col("company_type") == company_type))
 
 
-def create_tables(spark: SparkSession, database: str) -> list[str]:
-    """The empty configuration tables, silent days included; running it again changes nothing."""
+def create_tables(spark: SparkSession, database: str, seed: dict[str, list[dict]] | None = None) -> list[str]:
+    """The configuration tables, silent days included; ``seed`` fills those that are empty. Running it again changes nothing."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    rows = from_dicts(spark, seed or {})
     for name, ddl in TABLES.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet")
+        if (seed or {}).get(name) and not spark.table(f"{database}.{name}").limit(1).count():
+            rows[name].write.insertInto(f"{database}.{name}")
     return list(TABLES)

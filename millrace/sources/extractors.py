@@ -7,7 +7,7 @@ to undated rows. One vectorised function runs the rules over a table of pages; t
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
 from urllib.parse import urljoin
@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import MONTHS
+from ..functions.dates import MENTION_YEARS, MONTHS, OTHER_SPELLINGS
 from ..functions.text import stable_id
 from ..shipping import ship
 from .html import Node, parse_html
@@ -42,31 +42,53 @@ class Rule:
     ancestors: int = 0
     page_url: bool = False
     unique: str = ""
+    skip_href: str = ""
+    min_year: int = -1
+    named: str = ""
+    or_title: bool = False
+    prefix: str = ""
+    max_text: int = 0
+    detail: bool = False
+    month_row: str = ""
+    other: str = ""
     strip_title: tuple[tuple[str, str], ...] = field(default=())
     zipped: str = ""
 
 
-# Where each agency's pages hold their rows.
+_GENERIC = "~result|publication|document|entry|item"
+_DATED = "~date|data|time|pubdate,time"
+
+# Where each agency's pages hold their rows, the titles that count, and what titles become. ``other`` names the rule for pages on which the first finds no row.
 RULES: dict[str, Rule] = {
-    "agreste": Rule(rows="h4.titreSearch", date="", language="fr", zipped="~date|info"),
-    "bcr": Rule(rows="a[href]", href=r"\.pdf(\?|$)", hours=24 * 40, language="es", ancestors=3),
+    "agreste": Rule(rows="h4.titreSearch", language="fr", zipped="~date|info", other="agreste_links"),
+    "agreste_links": Rule(rows=_GENERIC, title="a[href]", date="~date|time|info|meta", language="fr", min_title=10),
+    "bcr": Rule(rows="a[href]", href=r"\.pdf(\?|$)", hours=24 * 40, language="es", ancestors=1, unique="url", named="Informe GEA %d/%m/%Y", prefix="BCR GEA: ", month_row="BCR GEA: estimaciones nacionales de producción — %s"),
     "caa": Rule(rows="div.card-info", title="div.text", date="div.date", title_kind="prefix", title_values=("CEREALES.",), language="es"),
     "coceral": Rule(rows="div.antpar1", title="h1", date="div.par1descr", leading=10, page_url=True),
     "conab": Rule(rows="a[href]", href=r"/noticias/", min_title=25, title_kind="any", title_values=("safra", "grãos", "soja", "milho", "trigo", "colheita"), ancestors=3, undated="now", hours=168),
-    "destatis": Rule(rows="div.c-result", title="h3.c-result__heading", date="span.c-result__date", leading=10, strip_title=((r"(?i)^Date:\s*", ""),)),
-    "esmis": Rule(rows="tr", hours=168, unique="day"),
+    "destatis": Rule(rows="div.c-result", title="h3.c-result__heading", date="span.c-result__date", leading=10, strip_title=((r"(?i)^Date:\s*", ""), (r"(?i)^(?:January|February|March|April|May|June|July|August|September|October|November|December)\s+\d{1,2},?\s+\d{4}\s*[.\-|]?\s*", ""))),
+    "esmis": Rule(rows="tr", hours=168, unique="day", page_url=True, max_text=600, named="%(heading)s — %d %b %Y", other="esmis_blocks"),
+    "esmis_blocks": Rule(rows="li,article,div", hours=168, unique="day", page_url=True, max_text=600, leading=400, named="%(heading)s — %d %b %Y"),
     "govua": Rule(rows="div.views-row", title="h2", date="div.node__title-info", leading=10, title_kind="any", title_values=("crops",)),
     "grainsa": Rule(rows="a[href]", href=r"\.(xlsx?|pdf)(\?|$)", min_title=5, ancestors=3, hours=24 * 35),
-    "istat": Rule(rows="article", date="~date|data|time|pubdate,time", title_kind="any", title_values=("agricult", "crop", "cereal", "farm"), hours=72),
-    "jrc": Rule(rows="a.search-entry-title", link="", title_kind="regex", title_values=(r"MARS Bulletin", r"crop monitoring"), hours=168),
+    "istat": Rule(rows="article", title="a[href]", date=_DATED, title_kind="any", title_values=("agricult", "crop", "cereal", "farm"), hours=72, other="istat_links"),
+    "istat_links": Rule(rows="a[href]", href=r"press-release|archivio|comunicato|nota|report|publication", or_title=True, min_title=15, title_kind="any", title_values=("agricult", "crop", "cereal", "farm"), ancestors=1, hours=72),
+    "jrc": Rule(rows="a.search-entry-title", title_kind="regex", title_values=(r"MARS Bulletin", r"crop monitoring"), hours=168, detail=True),
     "ksh": Rule(rows="td.descr", title="div.pub_title", date="div.pub_start"),
-    "mapa": Rule(rows="a[href]", href=r"/dam/.*\.(pdf|xlsx?|csv)$", language="es", hours=168, unique="stem"),
+    "mapa": Rule(rows="a[href]", href=r"/dam/.*\.(pdf|xlsx?|csv)$", skip_href=r"metodolog|glosario|nota[-_]", language="es", min_year=1, unique="report", hours=168, prefix="MAPA: "),
     "statcan": Rule(rows="div.ndm-result-container", title="div.ndm-result-title", date="span.ndm-result-date", title_kind="any", title_values=("crop", "grain", "field", "farm"), unique="url", limit=10),
-    "tuik": Rule(rows="tr[role]", title="div.news-content", date="span.float-right", language="tr", title_kind="prefix", title_values=("Bitkisel Üretim", "Bitkisel Uretim", "Crop Production")),
+    "tuik": Rule(rows="tr[role]", title="div.news-content", date="span.float-right", language="tr", title_kind="prefix", title_values=("Bitkisel Üretim", "Bitkisel Uretim", "Crop Production"), strip_title=((r"^Bitkisel Üretim İstatistikleri[ ,.-]*", "Crop production statistics "), (r"^Bitkisel Üretim[ ,.-]*", "Crop production "))),
     "uk_defra": Rule(rows="li.gem-c-document-list__item", title="div.gem-c-document-list__item-title", date="time", title_kind="prefix", title_values=("Agricultural land use",)),
 }
 
+
+def register(name: str, rule: Rule) -> None:
+    """Adds a rule, or replaces one, before pages are read."""
+    RULES[name] = rule
+
+
 _NUMERIC = re.compile(r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})")
+_FILE = re.compile(r"\.(pdf|xlsx?|csv|zip|txt|xml)(\?|$)")
 _ISO = re.compile(r"(\d{4})[-/](\d{2})[-/](\d{2})")
 
 
@@ -127,55 +149,119 @@ def _best_link(row: Node) -> Node | None:
     return min(links, key=rank, default=None)
 
 
-def extract(name: str, url: str, page: str, now: datetime) -> list[tuple]:
-    """The rows of one page under the rule ``name``: (source, pos, title, url, date, summary, rows before the checks)."""
-    rule, root = RULES[name], parse_html(page)
+def _report_key(href: str, title: str) -> str:
+    """Year and month name of a report, so that its formats are one; else its address without the ending."""
+    stem = re.sub(r"\.(pdf|xlsx?|csv)$", "", href.lower())
+    text = f"{href.rsplit('/', 1)[-1]} {title}".lower()
+    month = next((m for m in MONTHS["es"] if m in text), None)
+    year = re.search(r"20\d\d", href) or re.search(r"20\d\d", title)
+    return f"{year[0]}_{month}" if month and year else stem
+
+
+def _detail_date(page: str, language: str) -> str | None:
+    """The date that a detail page declares: a time, a publication's meta field, or a text classed as a date."""
+    root = parse_html(page)
+    declared = [n.attrs.get("datetime", "") for n in root.select("time")]
+    declared += [n.attrs.get("content", "") for n in root.select("meta") if n.attrs.get("property") == "article:published_time" or n.attrs.get("name") == "publish_date"]
+    declared += [n.text() for n in root.select("~date|published|release") if n.tag in ("p", "span", "div")]
+    return next((d for d in (find_date(x, language) for x in declared) if d), None)
+
+
+def extract(
+    name: str, url: str, page: str, now: datetime, fetch: Callable[[str], str | None] | None = None, *, rules: dict[str, Rule] | None = None, source: str | None = None
+) -> list[tuple]:
+    """The rows of one page under the rule ``name``: (source, pos, title, url, date, summary, rows before the checks).
+
+    ``fetch`` gives the pages of rules that look for the date there; without it such rows count as undated.
+    """
+    rules, root, source = rules or RULES, parse_html(page), source or name
+    rule = rules[name]
     rows = root.select(rule.rows)
+    if not rows and rule.other:
+        return extract(rule.other, url, page, now, fetch, rules=rules, source=source)
+    heading = next((h.text() for h in root.select("h1")), "") or url.rstrip("/").rsplit("/", 1)[-1].replace("-", " ").title()
     dates = [d.text() for d in root.select(rule.zipped)] if rule.zipped else []
     raw, out, seen = len(rows), [], set()
+    oldest = now - timedelta(hours=rule.hours)
     for pos, row in enumerate(rows[: rule.leading] if rule.leading else rows):
+        if rule.max_text and len(row.text()) > rule.max_text:
+            continue
         link = row if row.tag == "a" and "href" in row.attrs else _best_link(row)
-        href = url if rule.page_url else (link.attrs["href"].strip() if link else "")
-        holder = row.first(rule.title) if rule.title else row if row.tag != "tr" or link is None else link
-        if holder is None or not href or href.startswith("javascript:") or (rule.href and not re.search(rule.href, href, re.IGNORECASE)):
+        href = link.attrs["href"].strip() if link else ""
+        if rule.page_url and (not rule.named or not _FILE.search(href.lower())):
+            href = url  # the page itself stands for rows without a file
+        if rule.named:
+            title = row.text() if row.tag == "a" else ""
+        else:
+            holder = row.first(rule.title) if rule.title else row if row.tag != "tr" or link is None else link
+            if holder is None:
+                continue
+            inner = holder.first("a[href]") if rule.title and holder.first("a[href]") is not None else holder
+            title = inner.text()
+        if not href or href.startswith("javascript:") or (rule.href and not re.search(rule.href, f"{href} {title}" if rule.or_title else href, re.IGNORECASE)):
+            continue
+        if rule.skip_href and re.search(rule.skip_href, f"{href} {title}", re.IGNORECASE):
             continue
-        inner = holder.first("a[href]") if rule.title and holder.first("a[href]") is not None else holder
-        title = inner.text()
-        for pattern, new in rule.strip_title:
-            title = re.sub(pattern, new, title)
         if not title and rule.href:
             title = re.sub(r"[-_]+", " ", re.sub(r"\.\w+$", "", href.rsplit("/", 1)[-1])).strip().title()
-        if not title or not _title_fits(rule, title):
+        fits = _title_fits(rule, title)
+        for pattern, new in rule.strip_title:
+            title = re.sub(pattern, new, title).strip()
+        if not rule.named and not (title and fits):
+            continue
+        full = urljoin(url, href)
+        if rule.zipped:
+            date = find_date(dates[pos], rule.language) if pos < len(dates) else None
+        elif rule.detail:
+            date = find_date(m[0], rule.language) if (m := _ISO.search(href)) else _detail_date((fetch(full) if fetch else None) or "", rule.language)
+        else:
+            date = _date_of(rule, row, href)
+        year = int(m[1]) if rule.min_year >= 0 and (m := re.search(r"/(20[1-3]\d)/", full)) else None
+        if year is not None and year < now.year - rule.min_year:
             continue
-        date = (find_date(dates[pos], rule.language) if pos < len(dates) else None) if rule.zipped else _date_of(rule, row, href)
-        if date is None:
+        if date is None and year is None:
             if rule.undated != "now":
                 continue
             date = now.strftime("%Y-%m-%d")
-        if datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=UTC) < now - timedelta(hours=rule.hours):
+        day = datetime.strptime(date, "%Y-%m-%d").replace(tzinfo=UTC) if date else None
+        if day and day < oldest:
             continue
-        full = urljoin(url, href)
-        key = {"url": full, "day": date, "stem": re.sub(r"\.(pdf|xlsx?|csv)$", "", full.lower())}.get(rule.unique)
+        if rule.named and len(title) <= 10:
+            title = day.strftime(rule.named.replace("%(heading)s", heading.replace("%", "%%")))
+        key = {"url": full, "day": date, "report": _report_key(full, title)}.get(rule.unique)
         if key is not None:
             if key in seen:
                 continue
             seen.add(key)
-        out.append((name, pos, title, full, date, title, raw))
+        title = title if not rule.prefix or title.startswith(rule.prefix.split(":")[0]) else rule.prefix + title
+        out.append((source, pos, title, full, date, title, raw))
         if rule.limit and len(out) >= rule.limit:
             break
+    if rule.month_row and (latest := _latest_month(root.text(), rule.language)) and latest >= oldest.replace(day=1, hour=0, minute=0, second=0, microsecond=0):
+        title = rule.month_row % f"{MONTHS[rule.language][latest.month - 1]} {latest.year}"
+        out.append((source, len(rows), title, url, latest.strftime("%Y-%m-%d"), title, raw))
     return out
 
 
-def run_extractors(pages: DataFrame, now: datetime) -> DataFrame:
+def _latest_month(text: str, language: str) -> datetime | None:
+    """The latest month that a page names with a year of ``MENTION_YEARS``."""
+    names = {m: i for i, m in enumerate(MONTHS[language], 1)} | OTHER_SPELLINGS.get(language, {})
+    found = re.findall(rf"\b({'|'.join(names)})\b[\s,]+(?:de\s+)?(\d{{4}})", text.lower())
+    able = [datetime(int(y), names[m], 1, tzinfo=UTC) for m, y in found if MENTION_YEARS[0] <= int(y) <= MENTION_YEARS[1]]
+    return max(able, default=None)
+
+
+def run_extractors(pages: DataFrame, now: datetime, fetch: Callable[[str], str | None] | None = None) -> DataFrame:
     """Rows out of ``pages`` (source, url, html). A source without a rule gives one row with a null title, so that it can be counted."""
     ship(pages.sparkSession)
+    rules = dict(RULES)  # with those registered by now
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in ROW.split(", ")]
         for batch in batches:
             out: list[tuple] = []
             for source, url, page in zip(batch["source"], batch["url"], batch["html"], strict=True):
-                out += extract(source, url, page, now) if source in RULES else [(source, 0, None, url, None, None, 0)]
+                out += extract(source, url, page, now, fetch, rules=rules) if source in rules else [(source, 0, None, url, None, None, 0)]
             yield pd.DataFrame(out, columns=names)
 
     return pages.select("source", "url", "html").mapInPandas(run, ROW)
@@ -189,6 +275,12 @@ def publications(rows: DataFrame, country: Column | None = None) -> DataFrame:
     )
 
 
+def raw_counts(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """How many rows each source's pages held before the checks, and how many came through: what source health records."""
+    found = rows.where("title is not null").groupBy("source").agg(F.count("*").alias("passed"), F.max("raw_rows").alias("raw"))
+    return pages.select("source").distinct().join(found, "source", "left").select("source", F.coalesce("passed", F.lit(0)).alias("passed"), F.coalesce("raw", F.lit(0)).alias("raw"))
+
+
 def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """Every link of every page, by regular expression within code generation: page_id, pos, href."""
     found = F.regexp_extract_all(html, F.lit(r'<a\s+href="([^"]*)"'), 1)

@@ -6,6 +6,11 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
+from pyspark.sql import DataFrame
+
+from ..shipping import ship
+
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 CLOSES = {"li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "p": {"p"}, "option": {"option"}}
 
@@ -90,3 +95,15 @@ def parse_html(page: str | None) -> Node:
     builder.feed(page or "")
     builder.close()
     return builder.root
+
+
+def select_text(pages: DataFrame, selectors: str) -> DataFrame:
+    """page_id, pos, text of every node of ``pages`` (page_id, html) that one of the selectors matches, in document order."""
+    ship(pages.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(i, k, n.text()) for i, page in zip(batch["page_id"], batch["html"], strict=True) for k, n in enumerate(parse_html(page).select(selectors))]
+            yield pd.DataFrame(rows, columns=["page_id", "pos", "text"])
+
+    return pages.select("page_id", "html").mapInPandas(run, "page_id long, pos int, text string")
