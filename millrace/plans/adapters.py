@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +23,8 @@ def now():
 _CATEGORY = "element_at(array('crop_production','crop_land_use','yields','agtech','climate_weather','markets','regulation','company_news','other'), cast(doc_id % 9 as int) + 1)"
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, content: bool = False) -> DataFrame:
+    """Documents as articles; ``content`` adds the whole text."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", F.lit(True).alias("known"))
     d = table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
     return d.select(
@@ -34,6 +39,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("case when doc_id % 3 = 0 then concat('story-', doc_id % 40) else '' end").alias("story_key"),
         F.expr("coalesce(known, false)").alias("classified"),
         F.expr("coalesce(quality = 1, false)").alias("relevant"),
+        *([F.coalesce("text", F.lit("")).alias("content")] if content else []),
     )
 
 
@@ -42,7 +48,7 @@ ARTICLES = f"""articles AS (
     d.source AS source_name, d.lang AS original_language, TIMESTAMP '{NOW}' - to_hours(d.doc_id % 96) AS published_at,
     (['crop_production','crop_land_use','yields','agtech','climate_weather','markets','regulation','company_news','other'])[d.doc_id % 9 + 1] AS category,
     CAST(1 + (d.doc_id * 7) % 5 AS INTEGER) AS importance, CASE WHEN d.doc_id % 3 = 0 THEN 'story-' || (d.doc_id % 40) ELSE '' END AS story_key,
-    l.doc_id IS NOT NULL AS classified, coalesce(l.quality = 1, false) AS relevant
+    l.doc_id IS NOT NULL AS classified, coalesce(l.quality = 1, false) AS relevant, coalesce(d.text, '') AS content
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 # normal form of Latin titles, and the cluster of a story
@@ -143,3 +149,13 @@ def seen_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SEEN = f"seen AS (SELECT 'd' || doc_id AS id, TIMESTAMP '{NOW}' - to_days(CAST(doc_id % 41 AS INTEGER)) AS seen_at FROM documents WHERE doc_id % 5 = 0)"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, which driver and executors share, for queries that write and read back."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = os.path.join(tempfile.gettempdir(), "millrace-scratch")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -11,26 +11,52 @@ from pyspark.sql import functions as F
 from ..operators.grouping import label
 from ..shipping import ship
 
-# The archive's bounds and display names.
+# The archive's bounds and choices.
 TITLE_CHARS, TEXT_CHARS, TAGS = 200, 2000, 25
 CATEGORY_LABELS = {
-    "crop_production": "Crop Protection",
-    "crop_land_use": "Land Use",
-    "yields": "Yields",
-    "agtech": "AgTech",
-    "climate_weather": "Climate",
-    "markets": "Markets",
+    "crop_production": "🛡️ Crop Protection |",
+    "crop_land_use": "🌾 Crop land use |",
+    "yields": "📈 Yields |",
+    "agtech": "🚀 AgTech |",
+    "climate_weather": "🌍 Climate |",
+    "markets": "💸 Market |",
+    "regulation": "⚖️ Regulation |",
+    "company_news": "💸 Market |",
+    "other": "🤷 Misc |",
+}
+SIGNAL_LABELS = {
+    "market": "M&A",
+    "agtech": "Product Launch",
     "regulation": "Regulation",
-    "company_news": "Company News",
+    "partnership": "Partnership",
+    "executive": "Leadership Change",
+    "product": "Product Launch",
+    "financial": "Earnings",
     "other": "Other",
 }
+COMPANY_LABELS = {"client": "Other", "prospect": "Other"}
 
 
 def archive_rows(articles: DataFrame) -> DataFrame:
     """Rows as the archive takes them: bounded texts and tags, day of publication, display names."""
     return articles.select(
         "id", F.substring("title", 1, TITLE_CHARS).alias("title"), "url", F.substring(F.coalesce("summary", F.lit("")), 1, TEXT_CHARS).alias("summary"),
-        label(F.col("category"), CATEGORY_LABELS, "Other").alias("category"), F.slice("tags", 1, TAGS).alias("tags"), F.date_format("published_at", "yyyy-MM-dd").alias("day"),
+        label(F.col("category"), CATEGORY_LABELS, CATEGORY_LABELS["other"]).alias("category"), F.slice("tags", 1, TAGS).alias("tags"), F.date_format("published_at", "yyyy-MM-dd").alias("day"),
+    )
+
+
+def archive_signals(signals: DataFrame) -> DataFrame:
+    """Signals as the archive takes them; it doesn't tell clients from prospects."""
+    return signals.select(
+        "id", F.substring("title", 1, TITLE_CHARS).alias("title"), "url", "company_name", label(F.col("company_type"), COMPANY_LABELS, "Other").alias("company_type"),
+        label(F.col("signal_type"), SIGNAL_LABELS, "Other").alias("signal_type"), F.substring(F.coalesce("summary", F.lit("")), 1, TEXT_CHARS).alias("summary"), F.date_format("published_at", "yyyy-MM-dd").alias("day"),
+    )
+
+
+def archive_publications(publications: DataFrame) -> DataFrame:
+    return publications.select(
+        "id", F.substring("title", 1, TITLE_CHARS).alias("title"), "url", "source_name", "country", F.substring(F.coalesce("summary", F.lit("")), 1, TEXT_CHARS).alias("summary"),
+        F.date_format("published_at", "yyyy-MM-dd").alias("day"),
     )
 
 

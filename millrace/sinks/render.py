@@ -26,11 +26,11 @@ def _link(url: Any, text: Any) -> str:
 
 
 def render_digest(
-    *, title: str, takeaway: str = "", sections: list[tuple[str, str]] | None = None, stories: DataFrame | None = None, radar: DataFrame | None = None, more: int = 0,
+    *, title: str, preheader: str = "", takeaway: str = "", sections: list[tuple[str, str]] | None = None, stories: DataFrame | None = None, radar: DataFrame | None = None, more: int = 0,
     movers: DataFrame | None = None, publications: DataFrame | None = None,
 ) -> str:
     """Brief, stories, account radar, movers, publications, in this order; empty blocks are left out."""
-    parts = [f"<h1>{escape(title)}</h1>"]
+    parts = ([f"<div style='display:none'>{escape(preheader)}</div>"] if preheader else []) + [f"<h1>{escape(title)}</h1>"]
     if takeaway:
         parts.append(f"<p><strong>{escape(takeaway)}</strong></p>")
     parts += [f"<h3>{escape(a)}</h3><p>{escape(b)}</p>" for a, b in sections or []]
