@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .queries import feeds, health, stories, texts
+from .queries import boundaries, extracts, feeds, health, scans, stories, texts
 from .queries.registry import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "feeds", "health", "stories", "texts"]
+__all__ = ["ORACLE_SQL", "QUERIES", "boundaries", "extracts", "feeds", "health", "scans", "stories", "texts"]

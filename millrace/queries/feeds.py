@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
-
 from pyspark.sql import functions as F
 
 from ..functions.text import read_minutes
@@ -27,16 +25,16 @@ def undated_policy(spark, sf_dir):
     return filters.undated_policy(rows, A.now())
 
 
-@query("keyword_prefilter", f"WITH {A.ARTICLES} SELECT seq FROM articles WHERE CASE WHEN seq % 3 = 0 THEN contains(lower(title), 'tion') ELSE contains(lower(title), 'ing') OR contains(lower(title), 'eau') END")
+@query("keyword_prefilter", f"WITH {A.ARTICLES} SELECT seq FROM articles WHERE CASE WHEN seq % 3 = 0 THEN contains(lower(title || ' ' || content), 'tion') ELSE contains(lower(title || ' ' || content), 'ing') OR contains(lower(title || ' ' || content), 'eau') END")
 def keyword_prefilter(spark, sf_dir):
     own = F.when(F.col("seq") % 3 == 0, F.array(F.lit("TION"))).otherwise(F.array().cast("array<string>"))
-    return A.articles(spark, sf_dir).where(filters.article_match(F.col("title"), F.lit(""), own, ["ing", "eau"])).select("seq")
+    return A.articles(spark, sf_dir, content=True).where(filters.article_match(F.col("title"), F.col("content"), own, ["ing", "eau"])).select("seq")
 
 
-@query("keyword_extend", f"WITH {A.ARTICLES} SELECT seq FROM articles WHERE contains(lower(title), 'ing') OR (seq % 3 = 0 AND contains(lower(title), 'tion'))")
+@query("keyword_extend", f"WITH {A.ARTICLES} SELECT seq FROM articles WHERE contains(lower(title || ' ' || content), 'ing') OR (seq % 3 = 0 AND contains(lower(title || ' ' || content), 'tion'))")
 def keyword_extend(spark, sf_dir):
     own = F.when(F.col("seq") % 3 == 0, F.array(F.lit("tion")))
-    return A.articles(spark, sf_dir).where(filters.publication_match(F.col("title"), F.lit(""), own, ["ing"])).select("seq")
+    return A.articles(spark, sf_dir, content=True).where(filters.publication_match(F.col("title"), F.col("content"), own, ["ing"])).select("seq")
 
 
 @query("signal_filter", f"WITH {A.SIGNALS} SELECT seq FROM signals WHERE (seq % 6 = 0 OR published_at >= TIMESTAMP '2024-01-31' - INTERVAL 7 DAY) AND (seq % 2 = 0 OR contains(title, 'click'))")
@@ -53,11 +51,11 @@ _NOISE = "|".join(p.replace("'", "''") for p in filters.NOISE_PATTERNS)
 
 @query(
     "noise_filter",
-    f"WITH t AS (SELECT doc_id, CASE doc_id % 8 {_CASE} END || ' ' || substr(replace(text, chr(10), ' '), 1, 40) AS title FROM documents), m AS (SELECT *, regexp_extract(title, '(?i)({_NOISE})') AS hit FROM t) SELECT doc_id, title, hit <> '' AND NOT (contains(lower(hit), 'hiring') AND regexp_matches(title, '(?i){filters.SENIOR_ROLE}')) AS noise FROM m",
+    f"WITH t AS (SELECT doc_id, CASE doc_id % 8 {_CASE} END || ' ' || replace(text, chr(10), ' ') AS title FROM documents), m AS (SELECT *, regexp_extract(title, '(?i)({_NOISE})') AS hit FROM t) SELECT doc_id, title, hit <> '' AND NOT (contains(lower(hit), 'hiring') AND regexp_matches(title, '(?i){filters.SENIOR_ROLE}')) AS noise FROM m",
 )
 def noise_filter(spark, sf_dir):
     fixed = F.element_at(F.array(*[F.lit(t) for t in _TITLES]), (F.col("doc_id") % 8 + 1).cast("int"))
-    title = F.concat_ws(" ", fixed, F.expr("substring(replace(text, '\\n', ' '), 1, 40)"))
+    title = F.concat_ws(" ", fixed, F.expr("replace(text, '\\n', ' ')"))
     return A.table(spark, sf_dir, "documents").select("doc_id", title.alias("title")).withColumn("noise", filters.is_noise(F.col("title")))
 
 
@@ -100,14 +98,10 @@ def json_props(spark, sf_dir):
     return A.table(spark, sf_dir, "events").select("event_id", F.from_json("props", "struct<k:int>")["k"].alias("k"))
 
 
-@query("archive_rows", f"WITH {A.ARTICLES} SELECT seq AS id, title, url, '' AS summary, CASE category WHEN 'crop_production' THEN 'Crop Protection' WHEN 'crop_land_use' THEN 'Land Use' WHEN 'yields' THEN 'Yields' WHEN 'agtech' THEN 'AgTech' WHEN 'climate_weather' THEN 'Climate' WHEN 'markets' THEN 'Markets' WHEN 'regulation' THEN 'Regulation' WHEN 'company_news' THEN 'Company News' ELSE 'Other' END AS category, original_language AS tags, strftime(published_at, '%Y-%m-%d') AS day FROM articles")
+_CATEGORIES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in archive.CATEGORY_LABELS.items())
+
+
+@query("archive_rows", f"WITH {A.ARTICLES} SELECT seq AS id, title, url, '' AS summary, CASE category {_CATEGORIES} END AS category, original_language AS tags, strftime(published_at, '%Y-%m-%d') AS day FROM articles")
 def archive_rows(spark, sf_dir):
     rows = A.articles(spark, sf_dir).withColumn("id", F.col("seq")).withColumn("summary", F.lit(None).cast("string")).withColumn("tags", F.array("original_language"))
     return archive.archive_rows(rows).withColumn("tags", F.array_join("tags", ","))
-
-
-@query("page_extractor")
-def page_extractor(spark, sf_dir):
-    """Every page as an article listing, through the document tree."""
-    pages = A.table(spark, sf_dir, "pages").select(F.lit("istat").alias("source"), "url", F.concat(F.lit("<article><time datetime='2024-01-30'></time><a href='/x'>Crop news "), F.col("page_id").cast("string"), F.lit("</a></article>"), F.col("html")).alias("html"))
-    return extractors.run_extractors(pages, datetime(2024, 1, 31, tzinfo=UTC))

@@ -191,14 +191,14 @@ def relevance(spark, sf_dir):
     return filters.relevant_articles(A.articles(spark, sf_dir)).select("seq", "category")
 
 
-@query("chunk_assign", f"WITH {A.ARTICLES}, n AS (SELECT seq, seq // 320 AS part, row_number() OVER (PARTITION BY seq // 320 ORDER BY seq) - 1 AS r FROM articles) SELECT seq, part || '-' || (r // 5) AS chunk_id, CAST(r % 5 AS INTEGER) AS item_index FROM n")
+@query("chunk_assign", f"WITH {A.ARTICLES}, n AS (SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS r FROM articles) SELECT seq, CAST(r // 5 AS VARCHAR) AS chunk_id, CAST(r % 5 AS INTEGER) AS item_index FROM n")
 def chunk_assign(spark, sf_dir):
     return classify.chunks(A.articles(spark, sf_dir), 5).select("seq", "chunk_id", "item_index")
 
 
 @query(
     "chunk_result_join",
-    f"WITH {A.ARTICLES}, n AS (SELECT *, seq // 320 AS part, row_number() OVER (PARTITION BY seq // 320 ORDER BY seq) - 1 AS r FROM articles), c AS (SELECT seq, part || '-' || (r // 5) AS chunk_id, CAST(r % 5 AS INTEGER) AS item_index, category FROM n) SELECT seq, chunk_id, item_index, item_index < 4 AS classified, CASE WHEN item_index < 4 THEN CASE WHEN seq % 7 = 0 THEN 'other' ELSE category END END AS category FROM c",
+    f"WITH {A.ARTICLES}, n AS (SELECT *, row_number() OVER (ORDER BY seq) - 1 AS r FROM articles), c AS (SELECT seq, CAST(r // 5 AS VARCHAR) AS chunk_id, CAST(r % 5 AS INTEGER) AS item_index, category FROM n) SELECT seq, chunk_id, item_index, item_index < 4 AS classified, CASE WHEN item_index < 4 THEN CASE WHEN seq % 7 = 0 THEN 'other' ELSE category END END AS category FROM c",
 )
 def chunk_result_join(spark, sf_dir):
     items = classify.chunks(A.articles(spark, sf_dir), 5)

@@ -24,9 +24,15 @@ def title_normalize(spark, sf_dir):
     return A.articles(spark, sf_dir).select("seq", text.normalize_title(F.col("title")).alias("norm"))
 
 
-@query("title_normalize_exact", f"WITH {A.ARTICLES} SELECT seq, {A.NORM.format('title')} AS norm FROM articles")
+_SPELLED = ["Ｗｈｅａｔ up", "ﬁeld report", "Größe № 5", "½ price ⑩", "Prix élevé", "ΑΒΓ only"]
+_BECOMES = ["wheat up", "field report", "groe no 5", "12 price 10", "prix eleve", "only"]
+
+
+@query("title_normalize_exact", "SELECT p_partkey, CASE p_partkey % 6 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(_BECOMES)) + " END || ' ' || lower(p_name) AS norm FROM part")
 def title_normalize_exact(spark, sf_dir):
-    return A.articles(spark, sf_dir).select("seq", text.normalize_title_exact(F.col("title")).alias("norm"))
+    """Full-width letters, ligatures, fractions and letters of other scripts."""
+    title = F.concat_ws(" ", F.element_at(F.array(*[F.lit(t) for t in _SPELLED]), (F.col("p_partkey") % 6 + 1).cast("int")), "p_name")
+    return A.table(spark, sf_dir, "part").select("p_partkey", text.normalize_title(title).alias("norm"))
 
 
 @query("clip_text", f"WITH {A.ARTICLES}, s AS (SELECT seq, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS t FROM articles) SELECT seq, CASE WHEN length(t) <= 40 THEN t ELSE regexp_replace(CASE WHEN contains(substr(t, 1, 40), ' ') THEN regexp_extract(substr(t, 1, 40), '(?s)^(.*) [^ ]*$', 1) ELSE substr(t, 1, 40) END, '[,;:·\\-]+$', '') || '…' END AS clipped FROM s")
@@ -104,7 +110,18 @@ def banned_words(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", words.alias("words")).where("words <> ''")
 
 
-@query("grounding")
+# a figure that stands alone in the source, which has no commas
+_ALONE = "regexp_matches(src, '(^|[^0-9])' || replace({0}, '.', '\\.') || '($|[^0-9])')"
+_MISSING = f"""toks AS (SELECT id, unnest(regexp_extract_all(txt, '\\d[\\d.,]*')) AS tok, generate_subscripts(regexp_extract_all(txt, '\\d[\\d.,]*'), 1) AS pos, txt, src FROM given),
+norms AS (SELECT *, replace(trim(tok, '.,'), ',', '') AS norm FROM toks),
+claims AS (SELECT *, row_number() OVER (PARTITION BY id, norm ORDER BY pos) AS rn FROM norms WHERE length(norm) >= 2 AND NOT regexp_matches(norm, '^(19|20)\\d\\d$')),
+missing AS (SELECT id, tok, pos FROM claims WHERE rn = 1
+  AND NOT regexp_matches(txt, '(?i)([QH]' || replace(tok, '.', '\\.') || '\\b|\\btop[\\s-]' || replace(tok, '.', '\\.') || '\\b|\\bG' || replace(tok, '.', '\\.') || '\\b|' || replace(tok, '.', '\\.') || '[\\s-](?:week|day|month|year|quarter))')
+  AND NOT ({_ALONE.format("norm")} OR (ends_with(norm, '.0') AND {_ALONE.format("left(norm, -2)")})
+    OR (NOT contains(norm, '.') AND regexp_matches(src, '(^|[^0-9])' || norm || '\\.[0-9]'))))"""
+
+
+@query("grounding", f"WITH given AS (SELECT d.doc_id AS id, d.text AS txt, replace(coalesce(n.text, ''), ',', '') AS src FROM documents d JOIN documents n ON n.doc_id = d.doc_id + 1), {_MISSING} SELECT g.id AS doc_id, coalesce(string_agg(tok, '|' ORDER BY pos), '') AS missing FROM given g LEFT JOIN missing m ON g.id = m.id GROUP BY 1")
 def ungrounded(spark, sf_dir):
     """Figures of each document that the next document doesn't hold."""
     docs = _docs(spark, sf_dir).select("doc_id", "text")
@@ -112,18 +129,79 @@ def ungrounded(spark, sf_dir):
     return docs.join(after, "doc_id").select("doc_id", F.array_join(grounding.ungrounded(F.col("text"), F.col("source")), "|").alias("missing"))
 
 
-@query("salvage_sentences")
+_CLAIM = "Output rose {a} percent in {r}. It fell by {b},500 tonnes, as G20 members said! The top 10 held for 12 weeks. Stocks of {c}.0 are left."
+_HELD = "We count {a} percent, {b}500 tonnes and {c} more."
+
+
+def _claims(spark, sf_dir):
+    """A claim and a source for each part: some figures are the source's, some aren't."""
+    k = F.col("p_partkey")
+    fill = lambda t, a, b, c: F.replace(F.replace(F.replace(F.replace(F.lit(t), F.lit("{a}"), a.cast("string")), F.lit("{b}"), b.cast("string")), F.lit("{c}"), c.cast("string")), F.lit("{r}"), F.lit("2024"))
+    claim = fill(_CLAIM, k % 50 + 100, k % 7 + 11, k % 9 + 60)
+    held = fill(_HELD, k % 50 + 100 + (k % 2), k % 7 + 11 + (k % 3), k % 9 + 60 + (k % 5))
+    return A.table(spark, sf_dir, "part").select(k.alias("id"), claim.alias("txt"), held.alias("src"))
+
+
+_KEPT_SQL = """SELECT p_partkey AS id, concat_ws(' ', CASE WHEN k % 2 = 0 THEN 'Output rose ' || (k % 50 + 100) || ' percent in 2024.' END,
+  CASE WHEN k % 3 = 0 THEN 'It fell by ' || (k % 7 + 11) || ',500 tonnes, as G20 members said!' END, 'The top 10 held for 12 weeks.',
+  CASE WHEN k % 5 = 0 THEN 'Stocks of ' || (k % 9 + 60) || '.0 are left.' END) AS kept FROM (SELECT p_partkey, p_partkey AS k FROM part)"""
+
+
+@query("salvage_sentences", _KEPT_SQL)
 def salvage_sentences(spark, sf_dir):
-    """Documents without the sentences whose figures no source has."""
-    return _docs(spark, sf_dir).select("doc_id", grounding.keep_grounded(F.substring("text", 1, 10**9), F.lit("")).alias("kept"))
+    """Claims without the sentences whose figures their source doesn't hold."""
+    return _claims(spark, sf_dir).select("id", grounding.keep_grounded(F.col("txt"), F.col("src")).alias("kept"))
+
+
+@query("salvage_briefs", f"WITH s AS ({_KEPT_SQL}) SELECT id, CASE WHEN id % 2 = 0 THEN 'Up ' || (id % 50 + 100) || ' percent.' ELSE kept END AS takeaway, kept AS first FROM s")
+def salvage_briefs(spark, sf_dir):
+    """Briefs whose takeaway or one of two sections may go; the second section never holds anything supported."""
+    sections = F.array(F.struct(F.lit("a").alias("label"), F.col("txt").alias("text")), F.struct(F.lit("b").alias("label"), F.lit("About 987654 more.").alias("text")))
+    takeaway = F.concat(F.lit("Up "), (F.col("id") % 50 + 100).cast("string"), F.lit(" percent."))
+    briefs = _claims(spark, sf_dir).select("id", takeaway.alias("takeaway"), sections.alias("sections"), F.col("src").alias("source_text"))
+    return grounding.salvage(briefs).where("size(sections) = 1").select("id", "takeaway", F.col("sections")[0]["text"].alias("first"))
+
+
+_FIXED = [("We leverage — the Robust landscape of {n}, – a  pivotal realm.", "We use, the Strong market of {n}, a key area."), ("{n}: optimize, unlock and Delve", "{n}: improve, open up and Look"), ("Plain {n}", "Plain {n}")]
+
+
+@query("autofix_texts", "SELECT p_partkey, replace(CASE p_partkey % 3 " + " ".join(f"WHEN {i} THEN '{t}'" for i, (_, t) in enumerate(_FIXED)) + " END, '{n}', p_name) AS fixed FROM part")
+def autofix_texts(spark, sf_dir):
+    given = F.replace(F.element_at(F.array(*[F.lit(t) for t, _ in _FIXED]), (F.col("p_partkey") % 3 + 1).cast("int")), F.lit("{n}"), F.col("p_name"))
+    return A.table(spark, sf_dir, "part").select("p_partkey", grounding.autofix(given).alias("fixed"))
+
+
+@query("trimmed_sections", "SELECT n_nationkey, least(4, greatest(0, (60 - (n_nationkey % 5 + 1)) // (n_nationkey + 1))) AS n FROM nation")
+def trimmed_sections(spark, sf_dir):
+    """Four sections of as many words as the nation's key plus one, under a takeaway of one to five words: what 60 words hold."""
+    words = lambda n: F.array_join(F.array_repeat(F.lit("w"), n.cast("int")), " ")
+    section = F.struct(F.lit("s").alias("label"), words(F.col("n_nationkey") + 1).alias("text"))
+    kept = grounding.trim_sections(words(F.col("n_nationkey") % 5 + 1), F.array(section, section, section, section), 60)
+    return A.table(spark, sf_dir, "nation").select("n_nationkey", F.size(kept).alias("n"))
+
+
+@query(
+    "source_texts",
+    "WITH i AS (SELECT r_name AS category, n_nationkey AS seq, '- ' || n_name || ': ' || CASE WHEN n_nationkey % 2 = 0 THEN 's' ELSE '' END AS line FROM nation JOIN region ON n_regionkey = r_regionkey), b AS (SELECT category || chr(10) || string_agg(line, chr(10) ORDER BY seq) AS block, count(*) AS n, min(seq) AS s FROM i GROUP BY category) SELECT string_agg(block, chr(10) || chr(10) ORDER BY n DESC, s) AS source_text FROM b",
+)
+def source_texts(spark, sf_dir):
+    n, r = A.table(spark, sf_dir, "nation"), A.table(spark, sf_dir, "region")
+    items = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("r_name").alias("category"), F.col("n_nationkey").alias("seq"), F.col("n_name").alias("title"), F.when(F.col("n_nationkey") % 2 == 0, "s").alias("summary"))
+    return grounding.source_text(items)
+
+
+_ISSUES = [("A — b", "Contains an em/en dash."), ("Crucial and robust", "Banned word: 'robust'.|Banned word: 'crucial'."), ("Fine words", "")]
 
 
-@query("hard_issues", "SELECT doc_id, CASE WHEN w > 320 THEN 'Too long: ' || w || ' words (max 320).' ELSE '' END AS issues FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS w FROM documents)")
+@query("hard_issues", "WITH t AS (SELECT doc_id, CASE doc_id % 3 " + " ".join(f"WHEN {i} THEN '{t}'" for i, (t, _) in enumerate(_ISSUES)) + " END || ' ' || coalesce(regexp_replace(text, '[^0-9\\s]', 'x', 'g'), '') AS t FROM documents), w AS (SELECT doc_id, t, len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '')) AS n FROM t) SELECT doc_id, concat_ws('|', CASE WHEN doc_id % 3 = 0 THEN 'Contains an em/en dash.' END, CASE WHEN n > 320 THEN 'Too long: ' || n || ' words (max 320).' END, CASE WHEN doc_id % 3 = 1 THEN 'Banned word: ''robust''.|Banned word: ''crucial''.' END) AS issues FROM w")
 def hard_issues(spark, sf_dir):
-    return _docs(spark, sf_dir).select("doc_id", F.array_join(grounding.hard_issues(F.col("text")), " ").alias("issues"))
+    """Whole texts, with their letters made equal, after an opening that breaks a rule or none."""
+    opening = F.element_at(F.array(*[F.lit(t) for t, _ in _ISSUES]), (F.col("doc_id") % 3 + 1).cast("int"))
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"[^0-9\s]", "x")
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(grounding.hard_issues(F.concat_ws(" ", opening, body)), "|").alias("issues"))
 
 
-@query("soft_warnings", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'not just' WHEN 1 THEN 'rather than,instead of' ELSE '' END AS tells FROM pages")
+@query("soft_warnings", "WITH t AS (SELECT doc_id, lower(coalesce(text, '') || CASE doc_id % 3 WHEN 0 THEN ' It is Not Just rain' WHEN 1 THEN ' rather than corn instead of rye' ELSE '' END) AS t FROM documents) SELECT doc_id, concat_ws(','" + "".join(f", CASE WHEN contains(t, '{x.replace(chr(39), chr(39) * 2)}') THEN '{x.replace(chr(39), chr(39) * 2)}' END" for x in grounding.TELLS) + ") AS tells FROM t")
 def soft_warnings(spark, sf_dir):
-    t = F.element_at(F.array(F.lit("It is Not Just rain"), F.lit("wheat rather than corn instead of rye"), F.lit("plain")), (F.col("page_id") % 3 + 1).cast("int"))
-    return A.table(spark, sf_dir, "pages").select("page_id", F.array_join(grounding.soft_warnings(t), ",").alias("tells"))
+    ending = F.when(F.col("doc_id") % 3 == 0, " It is Not Just rain").when(F.col("doc_id") % 3 == 1, " rather than corn instead of rye").otherwise("")
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(grounding.soft_warnings(F.concat(F.coalesce("text", F.lit("")), ending)), ",").alias("tells"))
