@@ -17,6 +17,10 @@ from ..shipping import ship
 SEED = 20240131
 
 
+#: Texts go to Python in batches of about so many bytes, so that a worker's memory doesn't depend on the rows' lengths.
+BATCH_BYTES = "4m"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
@@ -44,9 +48,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def python_ready(df: DataFrame) -> SparkSession:
-    """The session of ``df``, with this package on its executors."""
-    ship(df.sparkSession)
-    return df.sparkSession
+    """The session of ``df``, with this package on its executors and, unless the caller chose, batches of ``BATCH_BYTES``."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return spark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15
 
