@@ -58,7 +58,7 @@ def plain_title(title: str | None) -> str:
 @functools.cache
 def _folds() -> tuple[str, str, dict[str, str]]:
     """(characters outside ASCII that become one kept character, those characters, and those that become several)."""
-    seen = [(chr(c), _PLAIN[c]) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    seen = [(chr(c), _PLAIN[c]) for c in range(0x80, 0x110000) if unicodedata.decomposition(chr(c))]
     one = [(c, to) for c, to in seen if len(to) == 1]
     return "".join(c for c, _ in one), "".join(to for _, to in one), {c: to for c, to in seen if len(to) > 1}
 
@@ -70,7 +70,7 @@ def normalize_title(col: Column) -> Column:
     """
     many, ones, several = _folds()
     text = F.translate(F.coalesce(col, F.lit("")), many, ones)
-    names = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    names = F.str_to_map(F.lit(",".join(f"{c}:{to}" for c, to in several.items())), F.lit(","), F.lit(":"))
     spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(names, c), c)), "")
     text = F.when(text.rlike("[" + "".join(several) + "]"), spelled).otherwise(text)
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"[^a-z0-9 ]", ""), r" +", " "))
