@@ -32,7 +32,7 @@ def shuffle_key(df: DataFrame, doc_id: str, text: str, seed: int):
 
 def _with_fraction(rows: DataFrame, n: int) -> DataFrame:
     """Adds ``_m_frac``, the fractional rank in the source, and ``_m_part``, its slice of the layout; needs ``_m_src`` and ``_m_key``."""
-    digits = max(1, math.ceil(math.log(max(1, n / SLICE_ROWS), 16)))
+    digits = max(2, math.ceil(math.log(max(1, n / SLICE_ROWS), 16)))
     rows = rows.withColumn("_m_slice", F.substring("_m_key", 1, digits))
     counts = materialise(rows.groupBy("_m_src", "_m_slice").agg(F.count("*").alias("_m_cnt")), "shard-slices")
     by_source = Window.partitionBy("_m_src")
