@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, jaccard, langid, media, mixing, quality, sharding, spans, urlrules
+from . import chat, decontam, importance, jaccard, langid, media, mixing, quality, sharding, spans, urlrules
 from .oracles import OP2_SQL, OP6_SQL, OP10_SQL
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_kernel_quality": quality.op8_kernel_quality,
     "op9_reply_chat": chat.op9_reply_chat,
     "op10_source_mixture": mixing.op10_source_mixture,
+    "op11_importance_ring": importance.op11_importance_ring,
     "mixture_taken": mixing.mixture_taken,
 }
 
