@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, importance, jaccard, langid, media, mixing, quality, sharding, spans, urlrules
+from . import chat, decontam, importance, jaccard, langid, media, mixing, pieces, quality, sharding, spans, urlrules
 from .oracles import OP2_SQL, OP6_SQL, OP10_SQL
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_reply_chat": chat.op9_reply_chat,
     "op10_source_mixture": mixing.op10_source_mixture,
     "op11_importance_ring": importance.op11_importance_ring,
+    "op12_prefix_pieces": pieces.op12_prefix_pieces,
     "mixture_taken": mixing.mixture_taken,
 }
 

@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import importance
+from millrace.llm import importance, pieces
 from millrace.llm.queries import QUERIES
 
 
@@ -94,3 +94,70 @@ def test_resampling_of_odd_rows(spark):
     none = docs.limit(0)
     assert importance.ranked(importance.scored(none, bench)).count() == 0 and importance.resample(none, bench).count() == 0
     assert importance.ranked(importance.scored(docs, bench.limit(0))).count() == len(rows)
+
+
+# --- 12
+
+
+@pytest.fixture(scope="module")
+def model_path():
+    return pytest.importorskip("public_tokenizers").path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def own(model_path):
+    return pieces.PieceEncoder(pieces.model_bytes(model_path))
+
+
+def test_op12_matches_library(spark, sf_dir, documents, own):
+    def digest(text):
+        ids = own.library.encode(text or "", add_bos=True, add_eos=True)
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(own.library.decode(ids).encode()).hexdigest()
+
+    got = sorted(tuple(r) for r in QUERIES["op12_prefix_pieces"](spark, sf_dir).collect())
+    assert got == sorted((i, *digest(t)) for i, t in zip(documents.doc_id.tolist(), documents.text))
+
+
+def odd_texts(own, seed, n):
+    rng = random.Random(seed)
+    other = ["a", "the", " ", "   ", "\u2581", "日本語", "é", "e\u0301", "🙂", "<s>", "<0x41>", "\x00", "\n", "\t", "ß", "\ud7ff", "\ufffd", "x" * 70]
+    known = list(own.ids)
+    for _ in range(n):
+        text = "".join(rng.choice(known) if rng.random() < 0.5 else rng.choice(other) for _ in range(rng.randrange(30)))
+        yield text.replace(pieces.SPACE, "") if rng.random() < 0.5 else text
+
+
+def test_prefix_table_on_odd_texts(own, monkeypatch):
+    """Against the library, also when words and pairs are forgotten at once and long words use the compact table."""
+    texts = [*odd_texts(own, 3, 3000), "", " ", "\u2581" * 40, "".join(p.strip(pieces.SPACE) for p in list(own.ids)[::9])]
+    want = own.library.encode(texts, add_bos=True, add_eos=True)
+    assert [own.encode(t).tolist() for t in texts] == want
+    for name, value in {"HELD_WORDS": 3, "HELD_PAIRS": 5, "LONG_WORD": 4, "STRETCH": 7}.items():
+        monkeypatch.setattr(pieces, name, value)
+    assert [own.encode(t).tolist() for t in texts] == want
+    monkeypatch.setattr(own, "whole", False)  # as for vocabularies whose pieces hold spaces
+    assert [own.encode(t).tolist() for t in texts[:500]] == want[:500]
+
+
+def test_prefix_table_is_that_of_the_merges(own):
+    """The last token of every prefix, against merging that prefix by the definition."""
+    for text in list(odd_texts(own, 8, 60)):
+        text = text[:40]
+        last = own.last_tokens(text)
+        for i in range(1, len(text) + 1):
+            token = own.merged(text[:i])[-1]
+            assert (own.pieces[last[i]] if last[i] >= 0 else text[i - 1]) == token
+
+
+def test_encoding_of_odd_rows(spark, model_path, own):
+    rows = [(1, "some text", "x"), (1, "some text", "x"), (None, None, "y"), (2, "", None), (3, "long words " * 40_000, "z"), (9007199254740993, "日本", "w"), (None, " ", "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    tokens = pieces.encoded(docs, model_path)
+    got = Counter((r["doc_id"], tuple(r["ids"])) for r in tokens.collect())
+    assert got == Counter((i, tuple(own.library.encode(t or "", add_bos=True, add_eos=True))) for i, t, _ in rows)
+    back = Counter((r["doc_id"], r["text"]) for r in pieces.decoded(tokens, model_path).collect())
+    assert back == Counter((i, t or "") for i, t, _ in rows)
+    assert pieces.digests(docs.limit(0), model_path).count() == 0 and pieces.encoded(docs.limit(0), model_path).count() == 0
+    with pytest.raises(Exception):
+        pieces.model_bytes(__file__)
