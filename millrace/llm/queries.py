@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontam, importance, jaccard, langid, media, mixing, pieces, quality, sharding, spans, urlrules
+from . import chat, decontam, divergence, importance, jaccard, langid, media, mixing, pieces, quality, sharding, spans, urlrules
 from .oracles import OP2_SQL, OP6_SQL, OP10_SQL
 
 QUERIES = {
@@ -18,7 +18,8 @@ QUERIES = {
     "op10_source_mixture": mixing.op10_source_mixture,
     "op11_importance_ring": importance.op11_importance_ring,
     "op12_prefix_pieces": pieces.op12_prefix_pieces,
+    "op13_source_divergence": divergence.op13_source_divergence,
     "mixture_taken": mixing.mixture_taken,
 }
 
-ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op6_bayes_jaccard": OP6_SQL, "op9_reply_chat": chat.OP9_SQL, "mixture_taken": OP10_SQL}
+ORACLE_SQL = {"op2_url_rules": OP2_SQL, "op6_bayes_jaccard": OP6_SQL, "op9_reply_chat": chat.OP9_SQL, "op13_source_divergence": divergence.OP13_SQL, "mixture_taken": OP10_SQL}

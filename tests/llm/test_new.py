@@ -7,11 +7,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from compare import same
 
-from millrace.llm import importance, pieces
+from millrace.llm import divergence, importance, pieces
 from millrace.llm.queries import QUERIES
 
 
@@ -161,3 +162,77 @@ def test_encoding_of_odd_rows(spark, model_path, own):
     assert pieces.digests(docs.limit(0), model_path).count() == 0 and pieces.encoded(docs.limit(0), model_path).count() == 0
     with pytest.raises(Exception):
         pieces.model_bytes(__file__)
+
+
+# --- 13
+
+
+def plain_terms(text):
+    return re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def plain_divergences(rows, least=30, top=50):
+    """(lang, source, part, item, value, rank) in whole numbers of any size; rows are (text, lang, source)."""
+    counts, holders, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for text, lang, source in rows:
+        lang, source, terms = lang or "", source or "", plain_terms(text)
+        groups[lang].add(source)
+        counts[lang, source].update(terms)
+        holders[lang].update(set(terms))
+    out = set()
+    for lang, sources in groups.items():
+        kept = [t for t, n in holders[lang].items() if n >= least]
+        share = lambda c: {t: 1 + 10**9 * (c[t] + 5) // (sum(c[x] for x in kept) + 5 * len(kept)) for t in kept}
+        p = {s: share(counts[lang, s]) for s in sources}
+        q = share(sum((counts[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pair = [(-sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in sources - {s}]
+            term = [(q[t] - p[s][t], t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pair)), ("term", sorted(term)[:top])):
+                out |= {(lang, s, part, item, -value, i + 1) for i, (value, item) in enumerate(found)}
+    return out
+
+
+def test_op13_matches_sql(spark, sf_dir, duck):
+    assert same(QUERIES["op13_source_divergence"](spark, sf_dir), duck, divergence.OP13_SQL) > 1000
+
+
+@pytest.mark.parametrize("entries, pairs", [(1 << 18, 1 << 20), (9, 7)])
+def test_divergence_of_odd_rows(spark, monkeypatch, entries, pairs):
+    """Nulls, sources and languages without terms or without kept ones, ties, repeated and very long rows, one source, clashing names; one block and many."""
+    monkeypatch.setattr(divergence, "BLOCK_ENTRIES", entries)
+    monkeypatch.setattr(divergence, "TASK_PAIRS", pairs)
+    rng = random.Random(11)
+    words = ["alpha", "Beta", "γ", "Δelta", "日本", "e", "E", "zz", "ÄÖ", *(f"w{chr(97 + i)}" for i in range(20))]
+    rows = [(" 1".join(rng.choices(words, k=rng.randrange(20))), rng.choice(["en", "de", None]), rng.choice(["a", "b", "ü", None, ""])) for _ in range(500)]
+    rows += [(None, "en", "empty"), ("", "en", "empty"), ("123 ...", "fr", "x"), ("few", "fr", "y"), ("few", "fr", "y"), ("alone " * 40, "it", "one")]
+    rows += [("alone", "it", "one")] * 40 + [("Long text, with words; " * 50_000, "de", "b")]
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "text string, lang string, source string, term int, count int")
+    got = {tuple(r[c] for c in ("lang", "source", "part", "item", "value", "rank")) for r in divergence.divergences(docs).collect()}
+    assert got == plain_divergences(rows)
+    assert {r for r in got if r[0] == "fr"} == {("fr", "x", "pair", "y", 0, 1), ("fr", "y", "pair", "x", 0, 1)}
+    assert divergence.divergences(docs.limit(0)).count() == 0
+
+
+def test_byte_terms(monkeypatch):
+    """Slices against the pattern, texts that touch, and a hash that throws terms together."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choice(["a", "B", "é", "日本", "7", " ", "-", "\x00", "Z", "{", "@", "`"]) for _ in range(rng.randrange(12))) for _ in range(300)]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    low, starts, ends, doc = divergence.term_slices(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    want = [(i, w) for i, t in enumerate(texts) for w in plain_terms(t)]
+    assert [(d, low[s:e].tobytes().decode()) for s, e, d in zip(starts, ends, doc.tolist())] == want
+    for size in (7, 1 << 16):
+        monkeypatch.setattr(divergence, "COMPARE", size)
+        for digest in (len, lambda v: 0, lambda v: v[0], hash):
+            group, terms = divergence.slice_groups(low, starts, ends, lambda v: digest(bytes(v)) & 0xFFFFFFFF)
+            assert [terms[g].decode() for g in group] == [w for _, w in want] and len({terms[g] for g in group}) == len(set(group.tolist()))
+
+
+def test_shares_are_exact():
+    rng = random.Random(13)
+    for _ in range(300):
+        total, terms = rng.randrange(10 ** rng.randrange(1, 15)), rng.randrange(1, 10 ** rng.randrange(1, 12))
+        count = rng.randrange(total + 1)
+        assert divergence.shares(np.array([count]), total, terms)[0] == 1 + 10**9 * (count + 5) // (total + 5 * terms)
