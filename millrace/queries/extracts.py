@@ -89,10 +89,20 @@ def extract_detail_dates(spark, sf_dir):
 @query("extract_registered", "SELECT 'own' AS source, n_name AS title FROM nation UNION ALL SELECT 'nobody', NULL FROM region")
 def extract_registered(spark, sf_dir):
     """A rule of the caller's own; a source without a rule gives a row without a title."""
-    extractors.register("own", extractors.Rule(rows="b", title="a[href]", undated="now"))
+    rules = extractors.with_rules(own=extractors.Rule(rows="b", title="a[href]", undated="now"))
     own = A.table(spark, sf_dir, "nation").select(F.lit("own").alias("source"), F.lit(URL).alias("url"), F.concat(F.lit("<b><a href='/x'>"), "n_name", F.lit("</a></b>")).alias("html"))
     nobody = A.table(spark, sf_dir, "region").select(F.lit("nobody").alias("source"), F.lit(URL).alias("url"), F.col("r_name").alias("html"))
-    return extractors.run_extractors(own.unionByName(nobody), NOW).select("source", "title")
+    return extractors.run_extractors(own.unionByName(nobody), NOW, rules=rules).select("source", "title")
+
+
+@query("extract_lateral", "SELECT page_id, 0 AS pos, trim(replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '&amp;', '&')) AS title, url, '2026-03-25' AS published FROM pages WHERE regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) <> ''")
+def extract_lateral(spark, sf_dir):
+    """Every page's first heading by a rule of the caller's own, as a lateral join in SQL."""
+    extractors.register_sql(spark)
+    rules = extractors.rules_json({"heading": extractors.Rule(rows="h1", page_url=True, undated="now", limit=1)})
+    A.table(spark, sf_dir, "pages").createOrReplaceTempView("millrace_pages")
+    text = "SELECT p.page_id, r.pos, r.title, r.url, r.published FROM millrace_pages p, LATERAL extract_rows('heading', p.url, p.html, {now}, {rules}) r"
+    return spark.sql(text, now=NOW.isoformat(), rules=rules)
 
 
 @query("extract_counts", "SELECT 'agreste' AS source, count_if(n_nationkey % 2 = 0) AS passed, 1 AS raw FROM nation UNION ALL SELECT 'ksh', 0, 0")

@@ -100,15 +100,29 @@ def signal_scan(spark, sf_dir):
     return feeds.signals(rows, F.to_timestamp(F.lit(A.NOW))).select("company_name", (F.col("query") == "press").alias("press"), "title", "source_name")
 
 
-@query("catalogue_scan", "SELECT 'apro_' || n_nationkey AS code, 'https://data.example/view/APRO_' || n_nationkey || '/default/table' AS url, '2024-01-30' AS day FROM nation WHERE n_nationkey % 3 <> 0 AND n_nationkey % 4 <> 0")
+@query(
+    "catalogue_scan",
+    f"""WITH i AS (SELECT c_custkey AS k, c_nationkey AS n, 'apro_' || c_nationkey || '_' || c_custkey % 10 AS code,
+      CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN DATE '2023-12-01' WHEN 2 THEN NULL ELSE DATE '2024-01-28' + CAST(c_custkey % 3 AS INTEGER) END AS day FROM customer WHERE c_custkey % 7 <> 0)
+    SELECT n, code, 'https://data.example/view/' || upper(code) || '/default/table' AS url, arg_min(strftime(day, '%Y-%m-%d'), k) AS day, arg_min(CASE WHEN k % 3 <> 0 THEN 'd' || k END, k) AS note
+    FROM (SELECT *, coalesce(day >= TIMESTAMP '{A.NOW}' - INTERVAL 48 HOUR, false) AS fresh FROM i) WHERE fresh GROUP BY n, code""",
+)
 def catalogue_scan(spark, sf_dir):
-    """Catalogue feeds in XML: the first row of every wanted code; other codes and old rows go."""
-    k = F.col("n_nationkey").cast("string")
-    day = F.when(F.col("n_nationkey") % 4 == 0, "2023-12-01").otherwise("2024-01-30")
-    item = lambda note: F.concat(F.lit("<item><title>"), F.when(F.col("n_nationkey") % 3 == 0, "tour_").otherwise("APRO_"), k, F.lit(f" - {note}</title><link>https://d.example/x</link><pubDate>"), day, F.lit("</pubDate><description>d</description></item>"))
-    bodies = A.table(spark, sf_dir, "nation").select(F.col("n_name").alias("source"), F.concat(F.lit("<rss><channel>"), item("updated"), item("again"), F.lit("</channel></rss>")).alias("body"))
+    """Catalogue feeds of a nation's customers: items lack dates and notes, repeat or leave empty children, and hold CDATA, attributes and other namespaces; each keeps its own."""
+    k = F.col("c_custkey")
+    key, code = k.cast("string"), F.concat(F.when(k % 7 == 0, "tour_").otherwise("APRO_"), F.col("c_nationkey").cast("string"), F.lit("_"), (k % 10).cast("string"))
+    tag = lambda name, text, attributes="": F.concat(F.lit(f"<{name}{attributes}>"), text, F.lit(f"</{name}>"))
+    title = F.when(k % 4 == 0, tag("title", F.concat(F.lit("<![CDATA["), code, F.lit(" - <b>new</b> & old]]>"))))
+    title = title.when(k % 4 == 1, F.concat(tag("title", F.concat(code, F.lit(" - new"))), F.lit("<title>OTHER_1 - again</title>"))).when(k % 4 == 2, F.concat(F.lit("<dc:title>OTHER_2 - dc</dc:title>"), tag("title", F.concat(code, F.lit(" - new")), " lang='en'")))
+    title = title.otherwise(tag("title", F.concat(code, F.lit(" - new"))))
+    day = F.date_format(F.date_add(F.lit("2024-01-28").cast("date"), (k % 3).cast("int")), "yyyy-MM-dd")
+    date = F.when(k % 5 == 0, "").when(k % 5 == 1, "<pubDate>2023-12-01</pubDate>").when(k % 5 == 2, "<pubDate/>").otherwise(tag("pubDate", day))
+    note = F.when(k % 3 == 0, "").otherwise(F.concat(tag("description", F.concat(F.lit("d"), key)), F.lit("<description>more</description>")))
+    items = A.table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct(k, F.concat(F.lit("<item>"), title, date, note, F.lit("</item>")).alias("xml")))).alias("items"))
+    text = F.array_join(F.transform("items", lambda x: x["xml"]), "")
+    bodies = items.select(F.col("c_nationkey").cast("string").alias("source"), F.concat(F.lit("<rss xmlns:dc='http://p.example/dc'><channel><title>all</title>"), text, F.lit("</channel></rss>")).alias("body"))
     rows = feeds.catalogue_updates(feeds.xml_items(bodies), ["apro_"], F.to_timestamp(F.lit(A.NOW)))
-    return rows.select("code", "url", F.date_format("published_at", "yyyy-MM-dd").alias("day"))
+    return rows.select(F.col("source").cast("int").alias("n"), "code", "url", F.date_format("published_at", "yyyy-MM-dd").alias("day"), F.col("description").alias("note"))
 
 
 @query("catalogue_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_orderkey % 5 < 4 UNION ALL SELECT o_orderkey, NULL FROM orders WHERE o_orderkey % 5 = 4")

@@ -6,15 +6,21 @@ to undated rows. One vectorised function runs the rules over a table of pages; t
 
 from __future__ import annotations
 
+import dataclasses
+import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
+from types import MappingProxyType
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions.dates import MENTION_YEARS, MONTHS, OTHER_SPELLINGS
 from ..functions.text import stable_id
@@ -22,6 +28,7 @@ from ..shipping import ship
 from .html import Node, parse_html
 
 ROW = "source string, pos int, title string, url string, published string, summary string, raw_rows int"
+ROW_TYPE = StructType([StructField(c.split()[0], IntegerType() if c.endswith(" int") else StringType()) for c in ROW.split(", ")])
 
 
 @dataclass(frozen=True)
@@ -59,7 +66,7 @@ _GENERIC = "~result|publication|document|entry|item"
 _DATED = "~date|data|time|pubdate,time"
 
 # Where each agency's pages hold their rows, the titles that count, and what titles become. ``other`` names the rule for pages on which the first finds no row.
-RULES: dict[str, Rule] = {
+RULES: Mapping[str, Rule] = MappingProxyType({
     "agreste": Rule(rows="h4.titreSearch", language="fr", zipped="~date|info", other="agreste_links"),
     "agreste_links": Rule(rows=_GENERIC, title="a[href]", date="~date|time|info|meta", language="fr", min_title=10),
     "bcr": Rule(rows="a[href]", href=r"\.pdf(\?|$)", hours=24 * 40, language="es", ancestors=1, unique="url", named="Informe GEA %d/%m/%Y", prefix="BCR GEA: ", month_row="BCR GEA: estimaciones nacionales de producción — %s"),
@@ -79,12 +86,23 @@ RULES: dict[str, Rule] = {
     "statcan": Rule(rows="div.ndm-result-container", title="div.ndm-result-title", date="span.ndm-result-date", title_kind="any", title_values=("crop", "grain", "field", "farm"), unique="url", limit=10),
     "tuik": Rule(rows="tr[role]", title="div.news-content", date="span.float-right", language="tr", title_kind="prefix", title_values=("Bitkisel Üretim", "Bitkisel Uretim", "Crop Production"), strip_title=((r"^Bitkisel Üretim İstatistikleri[ ,.-]*", "Crop production statistics "), (r"^Bitkisel Üretim[ ,.-]*", "Crop production "))),
     "uk_defra": Rule(rows="li.gem-c-document-list__item", title="div.gem-c-document-list__item-title", date="time", title_kind="prefix", title_values=("Agricultural land use",)),
-}
+})
 
 
-def register(name: str, rule: Rule) -> None:
-    """Adds a rule, or replaces one, before pages are read."""
-    RULES[name] = rule
+def with_rules(base: Mapping[str, Rule] = RULES, **own: Rule) -> dict[str, Rule]:
+    """The rules with some added or replaced: a value for ``run_extractors``; the table itself can't be changed."""
+    return {**base, **own}
+
+
+def rules_json(rules: Mapping[str, Rule]) -> str:
+    """Rules as text, for ``extract_rows`` in SQL."""
+    return json.dumps({name: dataclasses.asdict(rule) for name, rule in rules.items()}, ensure_ascii=False)
+
+
+def rules_of(text: str) -> dict[str, Rule]:
+    """The way back from ``rules_json``; fields that are left out keep their defaults."""
+    fixed = lambda v: tuple(tuple(x) if isinstance(x, list) else x for x in v) if isinstance(v, list) else v
+    return {name: Rule(**{k: fixed(v) for k, v in fields.items()}) for name, fields in json.loads(text).items()}
 
 
 _NUMERIC = re.compile(r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})")
@@ -168,7 +186,7 @@ def _detail_date(page: str, language: str) -> str | None:
 
 
 def extract(
-    name: str, url: str, page: str, now: datetime, fetch: Callable[[str], str | None] | None = None, *, rules: dict[str, Rule] | None = None, source: str | None = None
+    name: str, url: str, page: str, now: datetime, fetch: Callable[[str], str | None] | None = None, *, rules: Mapping[str, Rule] | None = None, source: str | None = None
 ) -> list[tuple]:
     """The rows of one page under the rule ``name``: (source, pos, title, url, date, summary, rows before the checks).
 
@@ -251,10 +269,10 @@ def _latest_month(text: str, language: str) -> datetime | None:
     return max(able, default=None)
 
 
-def run_extractors(pages: DataFrame, now: datetime, fetch: Callable[[str], str | None] | None = None) -> DataFrame:
+def run_extractors(pages: DataFrame, now: datetime, fetch: Callable[[str], str | None] | None = None, rules: Mapping[str, Rule] = RULES) -> DataFrame:
     """Rows out of ``pages`` (source, url, html). A source without a rule gives one row with a null title, so that it can be counted."""
     ship(pages.sparkSession)
-    rules = dict(RULES)  # with those registered by now
+    rules = dict(rules)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in ROW.split(", ")]
@@ -267,6 +285,46 @@ def run_extractors(pages: DataFrame, now: datetime, fetch: Callable[[str], str |
     return pages.select("source", "url", "html").mapInPandas(run, ROW)
 
 
+@dataclass
+class ExtractPlan(AnalyzeResult):
+    """What ``extract_rows`` knows once its query is planned."""
+
+    now: str = ""
+    rules: str | None = None
+
+
+class ExtractRows:
+    """``LATERAL extract_rows(source, url, html, now, rules)``: the rows of one page, as ``run_extractors`` gives them.
+
+    ``now`` is a time in ISO form, ``rules`` the text of ``rules_json`` (left out or null: the built-in rules). Both must be constants: they are read once, when the query is planned.
+    """
+
+    def __init__(self, analyzed: ExtractPlan):
+        self.now, self.rules = datetime.fromisoformat(analyzed.now).replace(tzinfo=UTC), rules_of(analyzed.rules) if analyzed.rules else RULES
+
+    @staticmethod
+    def analyze(source: AnalyzeArgument, url: AnalyzeArgument, html: AnalyzeArgument, now: AnalyzeArgument, rules: AnalyzeArgument | None = None) -> AnalyzeResult:
+        for name, given in (("now", now), ("rules", rules)):
+            if given is not None and not given.isConstantExpression:
+                raise ValueError(f"{name} must be a constant")
+        datetime.fromisoformat(now.value)
+        if rules is not None and rules.value:
+            rules_of(rules.value)
+        return ExtractPlan(schema=ROW_TYPE, now=now.value, rules=rules.value if rules is not None else None)
+
+    def eval(self, source: str, url: str, html: str, now: str, rules: str | None = None):
+        if source in self.rules:
+            yield from extract(source, url, html, self.now, rules=self.rules)
+        else:
+            yield source, 0, None, url, None, None, 0
+
+
+def register_sql(spark: SparkSession) -> None:
+    """Makes ``extract_rows`` known to SQL."""
+    ship(spark)
+    spark.udtf.register("extract_rows", udtf(ExtractRows))
+
+
 def publications(rows: DataFrame, country: Column | None = None) -> DataFrame:
     """Extracted rows as publications: stripped, with id, relevant until judged."""
     return rows.where("title is not null").select(

@@ -41,26 +41,29 @@ def parse_feed(body: str | bytes | None) -> list[tuple[str, str, str, str]]:
     return out
 
 
+def answer(url: str, fetch: Callable[[str], tuple[int, bytes]], retry: Callable[[str], tuple[int, bytes]] | None = None) -> bytes | None:
+    """The body of a feed. A refused, failed or empty answer (search feeds may be empty) is asked once more by ``retry``; None without one."""
+    for call in (fetch, retry):
+        if call is None:
+            continue
+        try:
+            status, body = call(url)
+        except Exception:  # noqa: BLE001 - any network failure leads to the retry
+            continue
+        if status == 200 and (filters.SEARCH_HOST in url or parse_feed(body)):
+            return body
+        if status != 200 and status not in RETRY_STATUSES:
+            return None
+    return None
+
+
 def fetch_feeds(sources: DataFrame, fetch: Callable[[str], tuple[int, bytes]], retry: Callable[[str], tuple[int, bytes]] | None = None, concurrency: int = 16) -> DataFrame:
-    """Entries of every source's feed. A refused, failed or empty answer (search feeds may be empty) is asked once more by ``retry``."""
+    """Entries of every source's feed, in one go; ``streaming.feed_log`` lands bodies and reads them as a stream."""
     ship(sources.sparkSession)
 
-    def one(url: str) -> list[tuple]:
-        for call in (fetch, retry):
-            if call is None:
-                continue
-            try:
-                status, body = call(url)
-            except Exception:  # noqa: BLE001 - any network failure leads to the retry
-                continue
-            entries = parse_feed(body) if status == 200 else []
-            if entries or (status == 200 and filters.SEARCH_HOST in url) or (status != 200 and status not in RETRY_STATUSES):
-                return entries
-        return []
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(n, i, *e) for n, u in zip(batch["name"], batch["url"], strict=True) for i, e in enumerate(one(u))]
+            rows = [(n, i, *e) for n, u in zip(batch["name"], batch["url"], strict=True) for i, e in enumerate(parse_feed(answer(u, fetch, retry)))]
             yield pd.DataFrame(rows, columns=["source", "pos", "title", "link", "content", "published"])
 
     return sources.select("name", "url").repartition(concurrency).mapInPandas(run, FEED_ENTRY)
@@ -136,9 +139,17 @@ def catalogue_updates(items: DataFrame, prefixes: list[str], now: Column, hours:
     return first_seen(rows, F.col("code")).withColumn("url", dataset_url(F.col("code")))
 
 
+#: What an item may hold; all lists, as any child may be there several times or not at all.
+ITEM = "struct<title: array<string>, link: array<string>, pubDate: array<string>, description: array<string>>"
+
+
 def xml_items(feeds: DataFrame, body: str = "body") -> DataFrame:
-    """Items of RSS bodies with Spark's own XML functions: no Python."""
-    n = F.xpath(F.col(body), F.lit("//item/title/text()"))
-    part = lambda p: F.xpath(F.col(body), F.lit(f"//item/{p}/text()"))
-    zipped = F.arrays_zip(n.alias("title"), part("link").alias("link"), part("pubDate").alias("pubDate"), part("description").alias("description"))
-    return feeds.select("source", F.posexplode(zipped).alias("seq", "item")).select("source", "seq", "item.*")
+    """(source, seq, title, link, pubDate, description) of RSS 2.0 and RDF bodies, by Spark's typed XML reader.
+
+    Every item is one struct, so a child that is missing or empty is null in its own item; of repeated children the first counts. Children of other
+    namespaces have other names. CDATA is text, and markup within a child stays in its text. Bodies that are null or no XML give no items.
+    """
+    parsed = F.from_xml(F.col(body), f"channel struct<item: array<{ITEM}>>, item array<{ITEM}>", {"mode": "PERMISSIVE"})
+    items = F.concat(*(F.coalesce(c, F.array().cast(f"array<{ITEM}>")) for c in (parsed["channel"]["item"], parsed["item"])))
+    rows = feeds.select("source", F.posexplode(items).alias("seq", "item"))
+    return rows.select("source", "seq", *(F.nullif(F.get(F.col(f"item.{c}"), F.lit(0)), F.lit("")).alias(c) for c in ("title", "link", "pubDate", "description")))
