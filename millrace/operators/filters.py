@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import strip
 from ..functions.urls import SEARCH_HOST
-from ..vocabulary import DEFAULT_KEYWORDS
+from ..vocabulary import DEFAULT_KEYWORDS, term_pattern
 
 #: Hours that a source looks back unless its configuration says so.
 ARTICLE_HOURS, SEARCH_HOURS, PUBLICATION_HOURS, SIGNAL_DAYS, UNDATED_LIMIT = 48, 336, 168, 7, 25
@@ -46,30 +46,39 @@ def recent(published: Column, now: Column, hours: Column) -> Column:
 
 
 def contains_any(text: Column, words: list[str] | Column) -> Column:
-    """Any of the words as a substring, whatever the case. A literal list becomes one quoted alternation."""
+    """Any of the words as a substring, whatever the case. A literal list becomes one factored pattern."""
     if isinstance(words, Column):
         low = F.lower(text)
         return F.coalesce(F.exists(words, lambda w: low.contains(F.lower(w))), F.lit(False))
-    if not words:
-        return F.lit(False)
-    return F.coalesce(F.lower(text).rlike("|".join(r"\Q" + w.lower() + r"\E" for w in words)), F.lit(False))
+    return contains_terms(text, [f"*{w}*" for w in words])
 
 
-def article_match(title: Column, content: Column, own_words: Column, default: list[str] = DEFAULT_KEYWORDS) -> Column:
+def contains_terms(text: Column, terms: list[str]) -> Column:
+    """Any of the terms, in the vocabulary's notation (word edges, unless a star opens an end), whatever the case."""
+    pattern = term_pattern(terms)
+    return F.coalesce(F.lower(text).rlike(pattern), F.lit(False)) if pattern else F.lit(False)
+
+
+def _default_match(text: Column, words: list[str] | None) -> Column:
+    """The built-in vocabulary with its word edges; a list of the caller's own counts by substrings."""
+    return contains_terms(text, DEFAULT_KEYWORDS) if words is None else contains_any(text, words)
+
+
+def article_match(title: Column, content: Column, own_words: Column, default: list[str] | None = None) -> Column:
     """A source's own keywords replace the defaults."""
     text = F.concat_ws(" ", title, content)
-    return F.when(F.size(F.coalesce(own_words, F.array().cast("array<string>"))) > 0, contains_any(text, own_words)).otherwise(contains_any(text, default))
+    return F.when(F.size(F.coalesce(own_words, F.array().cast("array<string>"))) > 0, contains_any(text, own_words)).otherwise(_default_match(text, default))
 
 
-def publication_match(title: Column, content: Column, own_words: Column, default: list[str] = DEFAULT_KEYWORDS) -> Column:
+def publication_match(title: Column, content: Column, own_words: Column, default: list[str] | None = None) -> Column:
     """A source's own keywords extend the defaults."""
     text = F.concat_ws(" ", title, content)
-    return contains_any(text, default) | contains_any(text, F.coalesce(own_words, F.array().cast("array<string>")))
+    return _default_match(text, default) | contains_any(text, F.coalesce(own_words, F.array().cast("array<string>")))
 
 
-def signal_match(title: Column, query: Column, keywords: list[str] = DEFAULT_KEYWORDS) -> Column:
+def signal_match(title: Column, query: Column, keywords: list[str] | None = None) -> Column:
     """Press queries need a crop or farm-input term in the title; other queries pass."""
-    return (query != "press") | contains_any(title, [*keywords, *INPUT_TERMS])
+    return (query != "press") | _default_match(title, keywords) | contains_any(title, INPUT_TERMS)
 
 
 def is_noise(title: Column) -> Column:

@@ -13,7 +13,7 @@ from ..operators import filters
 from ..plans import adapters as A
 from ..sources import config, feeds, statistics
 from ..sources.html import select_text
-from ..vocabulary import DEFAULT_KEYWORDS
+from ..vocabulary import DEFAULT_KEYWORDS, term_pattern
 from .registry import query
 
 
@@ -75,7 +75,7 @@ def article_scan(spark, sf_dir):
     return rows.select("id", "title", "url", "source_name", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("at"))
 
 
-_DEFAULT = "|".join(w.replace("'", "''") for w in DEFAULT_KEYWORDS)
+_DEFAULT = term_pattern(DEFAULT_KEYWORDS).replace("'", "''")
 
 
 @query(
