@@ -73,31 +73,78 @@ def _norm(token: Column) -> Column:
 
 
 def number_tokens(text: Column) -> Column:
-    """Array of (token, norm): figures that claim something. One-digit numbers, years and doubles are left out, the first spelling stays."""
-    raw = F.transform(F.regexp_extract_all(text, F.lit(r"(\d[\d.,]*)"), 1), lambda t: F.struct(t.alias("token"), _norm(t).alias("norm")))
-    claims = F.filter(raw, lambda x: (F.length(x["norm"]) >= 2) & ~x["norm"].rlike(r"^(19|20)\d\d$"))
-    norms = F.transform(claims, lambda x: x["norm"])
-    return F.filter(claims, lambda x, i: F.array_position(norms, x["norm"]) == i + 1)
+    """Array of (token, norm): figures that claim something. One-digit numbers, years and doubles are left out, the first spelling stays.
+
+    Doubles meet by sorting, so the cost is that of sorting a text's figures.
+    """
+    raw = F.transform(F.regexp_extract_all(text, F.lit(r"(\d[\d.,]*)"), 1), lambda t, i: F.struct(_norm(t).alias("norm"), i.alias("pos"), t.alias("token")))
+    claims = F.array_sort(F.filter(raw, lambda x: (F.length(x["norm"]) >= 2) & ~x["norm"].rlike(r"^(19|20)\d\d$")))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform(claims, lambda x: x["norm"]))
+    first = F.filter(F.arrays_zip(claims.alias("c"), before.alias("b")), lambda x: x["c"].isNotNull() & ~x["c"]["norm"].eqNullSafe(x["b"]))
+    placed = F.array_sort(F.transform(first, lambda x: F.struct(x["c"]["pos"].alias("pos"), x["c"]["token"].alias("token"), x["c"]["norm"].alias("norm"))))
+    return F.transform(placed, lambda x: F.struct(x["token"].alias("token"), x["norm"].alias("norm")))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where it is used for each element of an array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _marked(text: Column) -> Column:
+    """Every run of digits in brackets, so that a part of a longer number is no substring."""
+    return F.regexp_replace(text, r"(\d+)", "<$1>")
+
+
+def source_figures(source: Column) -> Column:
+    """What a source supports: ``forms``, the figures of one run of digits or two with a point between, once more with ``.0``; ``marked``, the text in which longer ones are looked up.
+
+    It is made once for each source, in time that goes with its length; commas are taken out.
+    """
+    plain = F.regexp_replace(F.coalesce(source, F.lit("")), ",", "")
+    runs = F.regexp_extract_all(plain, F.lit(r"(\d+)"), 1)
+    pairs = F.regexp_extract_all(plain, F.lit(r"(?<!\d)(?=(\d+\.\d+))"), 1)  # they overlap: 1.2.3 holds two
+    forms = F.array_distinct(F.concat(runs, pairs))
+    return F.struct(F.concat(forms, F.transform(forms, lambda f: F.concat(f, F.lit(".0")))).alias("forms"), _marked(plain).alias("marked"))
+
+
+def structure(text: Column) -> Column:
+    """Where a text's figures are structure: ``heads``, after Q, H, G or top, with the letter that follows; ``tails``, before a unit of time. The words of the patterns."""
+    heads = F.regexp_extract_all(text, F.lit(r"(?iU)(?:[QH]|\btop[\s-]|\bG)(?=(\d[\d.,]*\w?))"), 1)
+    tails = F.regexp_extract_all(text, F.lit(r"(?iU)(\d[\d.,]*)[\s-](?:week|day|month|year|quarter)"), 1)
+    return F.struct(F.array_distinct(heads).alias("heads"), F.array_distinct(tails).alias("tails"))
 
 
-def structural(token: Column, text: Column) -> Column:
-    """Quarters, halves, top lists, groups and durations are structure, not figures. The words of the pattern."""
-    q = F.concat(F.lit(r"\Q"), token, F.lit(r"\E"))
-    pattern = F.concat(F.lit(r"(?iU)([QH]"), q, F.lit(r"\b|\btop[\s-]"), q, F.lit(r"\b|\bG"), q, F.lit(r"\b|"), q, F.lit(r"[\s-](?:week|day|month|year|quarter))"))
-    return F.rlike(text, pattern)
+def structural(token: Column, held: Column) -> Column:
+    """Quarters, halves, top lists, groups and durations are structure, not figures; ``held`` is the text's ``structure``."""
 
+    def heads(h: Column) -> Column:
+        after = F.substr(h, F.length(token) + 1, F.lit(1))
+        word = ~after.isin("", ".", ",")
+        return h.startswith(token) & F.when(token.rlike(r"\d$"), ~word).otherwise(word)
 
-def grounded(norm: Column, source: Column) -> Column:
-    """The figure stands alone in the source (commas taken out), or without ``.0``, or as the whole part of a decimal."""
-    alone = lambda v: F.rlike(source, F.concat(F.lit(r"(?<!\d)\Q"), v, F.lit(r"\E(?!\d)")))
-    whole = F.concat(F.lit(r"(?<!\d)\Q"), norm, F.lit(r"\E\.\d"))
-    return alone(norm) | (norm.endswith(".0") & alone(F.regexp_replace(norm, r"\.0$", ""))) | (~norm.contains(".") & F.rlike(source, whole))
+    return F.exists(held["heads"], heads) | F.exists(held["tails"], lambda t: t.endswith(token))
+
+
+def _unsupported(claims: Column, figures: Column) -> Column:
+    """The claims whose figure doesn't stand alone in the source, nor without ``.0``, nor as the whole part of a decimal.
+
+    Claims and the source's forms are sorted together; a claim that follows its own form is supported.
+    """
+    forms = F.transform(F.array_distinct(figures["forms"]), lambda f: F.struct(f.alias("norm"), F.lit(-1).alias("pos"), F.lit("").alias("token")))
+    asked = F.transform(claims, lambda x, i: F.struct(x["norm"].alias("norm"), i.alias("pos"), x["token"].alias("token")))
+    both = F.array_sort(F.concat(forms, asked))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform(both, lambda x: x["norm"]))
+    left = F.filter(F.arrays_zip(both.alias("c"), before.alias("b")), lambda x: x["c"].isNotNull() & (x["c"]["pos"] >= 0) & ~x["c"]["norm"].eqNullSafe(x["b"]))
+    # figures of three runs and more are rare, and looked up by themselves
+    alone = lambda norm: norm.rlike(r"\..*\.") & (figures["marked"].contains(_marked(norm)) | (norm.endswith(".0") & figures["marked"].contains(_marked(F.regexp_replace(norm, r"\.0$", "")))))
+    return F.array_sort(F.transform(F.filter(left, lambda x: ~alone(x["c"]["norm"])), lambda x: F.struct(x["c"]["pos"].alias("pos"), x["c"]["token"].alias("token"))))
 
 
-def ungrounded(text: Column, source: Column) -> Column:
-    """Array of the tokens of a text that the source doesn't support."""
-    src = F.regexp_replace(F.coalesce(source, F.lit("")), ",", "")
-    return F.transform(F.filter(number_tokens(text), lambda x: ~structural(x["token"], text) & ~grounded(x["norm"], src)), lambda x: x["token"])
+def ungrounded(text: Column, source: Column | None = None, *, figures: Column | None = None) -> Column:
+    """Array of the tokens of a text that the source doesn't support; ``figures`` is the source's ``source_figures``, made before where several texts share it."""
+    given = F.struct(number_tokens(text).alias("claims"), (source_figures(source) if figures is None else figures).alias("figures"), structure(text).alias("held"))
+    found = _let(given, lambda g: F.struct(_unsupported(g["claims"], g["figures"]).alias("missing"), g["held"].alias("held")))
+    return _let(found, lambda f: F.transform(F.filter(f["missing"], lambda x: ~structural(x["token"], f["held"])), lambda x: x["token"]))
 
 
 def autofix(text: Column) -> Column:
@@ -116,20 +163,22 @@ def trim_sections(takeaway: Column, sections: Column, limit: int = MAX_WORDS) ->
     return F.slice(sections, F.lit(1), F.coalesce(F.array_max(kept), F.lit(0)))
 
 
-def keep_grounded(text: Column, source: Column) -> Column:
-    """The sentences without unsupported figures."""
-    return F.trim(F.array_join(F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: (s != "") & (F.size(ungrounded(s, source)) == 0)), " "))
+def keep_grounded(text: Column, source: Column | None = None, *, figures: Column | None = None) -> Column:
+    """The sentences without figures that the source doesn't support; ``source`` or ``figures`` as in ``ungrounded``."""
+    keep = lambda f: F.array_join(F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: (s != "") & (F.size(ungrounded(s, figures=f)) == 0)), " ")
+    return F.trim(_let(source_figures(source), keep) if figures is None else keep(figures))
 
 
 def salvage(briefs: DataFrame) -> DataFrame:
     """Briefs (takeaway, sections, source_text) without unsupported sentences; what has no takeaway or no section then goes."""
-    source = F.col("source_text")
+    briefs = briefs.withColumn("_figures", source_figures(F.col("source_text")))
+    figures = F.col("_figures")
     sections = F.filter(
-        F.transform("sections", lambda s: F.struct(s["label"].alias("label"), keep_grounded(s["text"], source).alias("text"))), lambda s: s["text"] != ""
+        F.transform("sections", lambda s: F.struct(s["label"].alias("label"), keep_grounded(s["text"], figures=figures).alias("text"))), lambda s: s["text"] != ""
     )
-    out = briefs.withColumn("sections", sections).withColumn("takeaway", keep_grounded(F.col("takeaway"), source))
+    out = briefs.withColumn("sections", sections).withColumn("takeaway", keep_grounded(F.col("takeaway"), figures=figures))
     out = out.withColumn("takeaway", F.when(F.col("takeaway") == "", F.get("sections", 0)["text"]).otherwise(F.col("takeaway")))
-    return out.where((F.coalesce("takeaway", F.lit("")) != "") & (F.size("sections") > 0))
+    return out.where((F.coalesce("takeaway", F.lit("")) != "") & (F.size("sections") > 0)).drop("_figures")
 
 
 def source_text(items: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 """Selections: the known cases, and random inputs against a small Python model."""
 
 import random
+import re
+import time
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -161,3 +163,49 @@ def test_grounding(spark):
     assert got == [c for *_, c in cases]
     fixed = spark.createDataFrame([("A robust plan — Leverage it",)], "t string").select(grounding.autofix(F.col("t"))).first()[0]
     assert fixed == "A strong plan, Use it"
+
+
+def plain_ungrounded(text, source):
+    """Every figure by its own patterns."""
+    src, out, seen = source.replace(",", ""), [], set()
+    for token in re.findall(r"\d[\d.,]*", text):
+        norm = token.strip(".,").replace(",", "")
+        if len(norm) < 2 or re.fullmatch(r"(19|20)\d\d", norm) or norm in seen:
+            continue
+        seen.add(norm)
+        q, alone = re.escape(token), lambda v: re.search(rf"(?<!\d){re.escape(v)}(?!\d)", src)
+        structure = re.search(rf"(?i)([QH]{q}\b|\btop[\s-]{q}\b|\bG{q}\b|{q}[\s-](?:week|day|month|year|quarter))", text)
+        if not (structure or alone(norm) or (norm.endswith(".0") and alone(norm[:-2])) or ("." not in norm and re.search(rf"(?<!\d){re.escape(norm)}\.\d", src))):
+            out.append(token)
+    return out
+
+
+def test_figures_against_their_own_patterns(spark):
+    """Figures with points, commas and endings, in and out of structure, over random texts and sources."""
+    rng = random.Random(21)
+    piece = lambda: rng.choice(["12", "1", "2024", "12.5", "12.0", "1,200", "1.2.3", "1.2.3.4", "3.", "7,", "..", " ", " ", "Q", "H", "top ", "top-", "G", " G", " weeks", "-day", "x", "é", "year ", "00", "99", ". "])
+    rows = [(i, "".join(piece() for _ in range(rng.randrange(14))), "".join(piece() for _ in range(rng.randrange(10)))) for i in range(1500)]
+    df = spark.createDataFrame(rows, "i int, t string, s string")
+    both = df.select("i", grounding.ungrounded(F.col("t"), F.col("s")).alias("a"), grounding.ungrounded(F.col("t"), figures=grounding.source_figures(F.col("s"))).alias("b"))
+    got = {r["i"]: (r["a"], r["b"]) for r in both.collect()}
+    assert got == {i: (w, w) for i, t, s in rows for w in [plain_ungrounded(t, s)]}
+    assert sum(bool(a) for a, _ in got.values()) > 300
+
+
+def test_cost_of_figures_is_linear(spark):
+    """Eight times the figures take no more than about eight times as long."""
+
+    def took(n):
+        text = " ".join(str(10**7 + 37 * i) for i in range(n))
+        df = spark.range(4, numPartitions=1).select(F.lit(text).alias("t"), F.concat(F.lit(text), F.col("id").cast("string")).alias("s")).persist()
+        df.count()
+        best = 1e9
+        for _ in range(3):
+            began = time.perf_counter()
+            df.select(F.size(grounding.ungrounded(F.concat("t", F.lit(" 123456789")), F.col("s"))).alias("n")).agg(F.sum("n")).collect()
+            best = min(best, time.perf_counter() - began)
+        df.unpersist()
+        return best
+
+    few, many = took(2000), took(16000)
+    assert many < 16 * few + 1
