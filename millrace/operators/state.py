@@ -14,6 +14,12 @@ def only_new(batch: DataFrame, seen: DataFrame) -> DataFrame:
     return batch.join(seen.select("id"), "id", "left_anti")
 
 
+def marked(batch: DataFrame, seen: DataFrame) -> DataFrame:
+    """``batch`` with ``known``: whether the store holds the row's id; one join for the new rows and for the counts of both."""
+    ids = seen.select("id").distinct().withColumn("known", F.lit(True))
+    return batch.join(ids, "id", "left").withColumn("known", F.coalesce("known", F.lit(False))).select(*batch.columns, "known")
+
+
 def split_new(batch: DataFrame, seen: DataFrame, *, distinct_within_batch: bool = False) -> tuple[DataFrame, DataFrame]:
     """(new rows, one row with the counts of new and duplicate rows)."""
     fresh = only_new(batch, seen)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -155,7 +156,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder beside the checkpoints, which driver and executors share, for queries that write and read back."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = os.path.join(tempfile.gettempdir(), "millrace-scratch")
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

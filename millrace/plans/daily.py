@@ -6,12 +6,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import preheader, subject_hook, unescape_html
-from ..operators import filters, geo, grounding, grouping, health, metrics, ranking, state
+from ..operators import filters, geo, grounding, grouping, health, ranking, state
 from ..sinks import archive, render, report
+from .adapters import scratch
 
 Judge = Callable[[DataFrame, str], DataFrame]
 
@@ -70,23 +71,43 @@ class Daily:
     sent: bool = False
     report: str = ""
     errors: list[str] = field(default_factory=list)
-    cached: list[DataFrame] = field(default_factory=list)
 
     def close(self) -> None:
-        for df in self.cached:
-            df.unpersist()
+        """Nothing is held: the judged rows lie in the shared folder, for its own clean-up."""
 
 
-def _judged(rows: DataFrame, seen: DataFrame, judge: Judge, kind: str) -> DataFrame:
-    """New rows only, entities in titles resolved, with what the expensive judge says; computed once."""
-    return judge(state.only_new(rows.withColumn("title", unescape_html(F.col("title"))), seen), kind).persist()
+@dataclass
+class Judged:
+    """A stream's new rows with their verdicts, written down, and its counters, which were observed on the way."""
+
+    rows: DataFrame
+    known: Observation
+    verdicts: Observation
+
+    def counters(self) -> dict[str, int]:
+        return {**self.known.get, **self.verdicts.get}
+
+
+def judged(rows: DataFrame, seen: DataFrame, judge: Judge, kind: str, relevant: Column) -> Judged:
+    """New rows only, entities in titles resolved, with what the expensive judge says.
+
+    One job joins, judges, counts and writes to the shared folder, so nothing is asked or read again for a counter, or when an executor is lost.
+    """
+    spark, known, verdicts, path = rows.sparkSession, Observation(), Observation(), scratch(rows.sparkSession, f"judged-{kind}")
+    marked = state.marked(rows.withColumn("title", unescape_html(F.col("title"))), seen)
+    marked = marked.observe(known, F.count("*").alias("fetched"), F.count_if("known").alias("duplicate"))
+    said, fits = F.col("classified"), F.coalesce(relevant, F.lit(False))
+    found = judge(marked.where(~F.col("known")).drop("known"), kind)
+    found = found.observe(verdicts, F.count_if(~said).alias("unclassified"), F.count_if(said & ~fits).alias("rejected"), F.count_if(said & fits).alias("accepted"))
+    found.write.parquet(path)
+    return Judged(spark.read.schema(found.schema).parquet(path), known, verdicts)
 
 
-def _counted(kind: str, rows: DataFrame, judged: DataFrame, seen: DataFrame, relevant: Column) -> DataFrame:
-    known = rows.select("id").join(seen.select("id").distinct(), "id", "left_semi")
-    marks = known.select(F.lit(True).alias("duplicate"), F.lit(False).alias("classified"), F.lit(False).alias("relevant"))
-    own = judged.select(F.lit(False).alias("duplicate"), "classified", F.coalesce(relevant, F.lit(False)).alias("relevant"))
-    return metrics.run_counters(marks.unionByName(own)).select(F.lit(kind).alias("stream"), "*")
+def counter_rows(spark: SparkSession, streams: dict[str, Judged]) -> DataFrame:
+    """(stream, fetched, duplicate, unclassified, rejected, accepted): a row for each stream, without a job."""
+    names = ("fetched", "duplicate", "unclassified", "rejected", "accepted")
+    held = [(kind, *(int(found.counters()[n]) for n in names)) for kind, found in streams.items()]
+    return spark.createDataFrame(held, ", ".join(["stream string", *(f"{n} long" for n in names)]))
 
 
 def run_daily(
@@ -100,7 +121,9 @@ def run_daily(
     """
     spark, at = inputs.articles.sparkSession, F.lit(now)
     done: list[str] = []
-    articles, publications, signals = (_judged(rows, inputs.seen, services.judge, kind) for kind, rows in (("article", inputs.articles), ("publication", inputs.publications), ("signal", inputs.signals)))
+    relevant = {"article": F.col("relevant"), "publication": F.col("relevant"), "signal": F.col("signal_type").isNotNull()}
+    found = {kind: judged(rows, inputs.seen, services.judge, kind, relevant[kind]) for kind, rows in (("article", inputs.articles), ("publication", inputs.publications), ("signal", inputs.signals))}
+    articles, publications, signals = (x.rows for x in found.values())
     accepted = filters.relevant_articles(articles)
     official = filters.relevant_publications(publications)
     heard = ranking.distinct_titles(filters.relevant_signals(signals))
@@ -129,9 +152,7 @@ def run_daily(
             status = f"omitted (error: {type(e).__name__})"
             done.append(f"brief: {e}")
 
-    counters = _counted("article", inputs.articles, articles, inputs.seen, F.col("relevant"))
-    counters = counters.unionByName(_counted("publication", inputs.publications, publications, inputs.seen, F.col("relevant")))
-    counters = counters.unionByName(_counted("signal", inputs.signals, signals, inputs.seen, F.col("signal_type").isNotNull()))
+    counters = counter_rows(spark, found)
     seen = inputs.seen
     if not dry_run:
         entries = [state.processed(x, at) for x in (articles, publications, signals)]
@@ -145,7 +166,7 @@ def run_daily(
         limits = inputs.sources.where("enabled").select(F.col("name").alias("source"), health.silence_limit(F.col("max_silent_days"), F.col("category")).alias("limit"))
         flagged = health.health_status(health.prune_unknown(health.health(log), limits), limits)
 
-    out = Daily(accepted, official, heard, clients, prospects, stories, radar, more, movers, seen, counters, flagged, brief, status, places=places, errors=done, cached=[articles, publications, signals])
+    out = Daily(accepted, official, heard, clients, prospects, stories, radar, more, movers, seen, counters, flagged, brief, status, places=places, errors=done)
     lead = [r["title"] for r in stories.limit(4).collect()]
     words = spark.createDataFrame([((brief or {}).get("takeaway") or "", lead)], "takeaway string, titles array<string>")
     line = words.select(

@@ -285,7 +285,25 @@ def property_values(spark, sf_dir):
     k, name = F.col("n_nationkey"), F.lit('{"properties":{"P":{"type":')
     json = F.when(k % 4 == 0, F.concat(name, F.lit('"rich_text","rich_text":[{"plain_text":"'), "n_name", F.lit('"},{"plain_text":"x"}]' + other)))
     json = json.when(k % 4 == 1, F.concat(name, F.lit('"number","number":'), k.cast("string"), F.lit(other))).when(k % 4 == 2, F.concat(name, F.lit('"checkbox","checkbox":true' + other)))
-    return A.table(spark, sf_dir, "nation").select("n_nationkey", config.property_value(json.otherwise(F.concat(name, F.lit('"formula"' + other))), "P").alias("value"))
+    return A.table(spark, sf_dir, "nation").select("n_nationkey", config.property_value(F.try_parse_json(json.otherwise(F.concat(name, F.lit('"formula"' + other)))), "P").alias("value"))
+
+
+@query("property_states", "SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'held' WHEN 1 THEN 'empty' WHEN 2 THEN 'empty' WHEN 3 THEN 'missing' WHEN 4 THEN 'held' END AS state FROM supplier")
+def property_states(spark, sf_dir):
+    """A property with a value, with null, with an empty list, not there, false; and a page that is no JSON."""
+    k = F.col("s_suppkey")
+    held = lambda kind, value: F.concat(F.lit('{"properties":{"P":{"type":"' + kind + '","' + kind + '":'), value, F.lit("}}}"))
+    forms = [held("select", F.concat(F.lit('{"name":"'), "s_name", F.lit('"}'))), held("number", F.lit("null")), held("rich_text", F.lit("[]")), F.concat(F.lit('{"properties":{"Q":{"type":"number","number":'), k.cast("string"), F.lit("}}}")), held("checkbox", F.lit("false")), F.lit("{broken")]
+    page = F.element_at(F.array(*forms), (k % 6 + 1).cast("int"))
+    return config.parsed_pages(A.table(spark, sf_dir, "supplier").select("s_suppkey", page.alias("json"))).select("s_suppkey", config.property_state(F.col("page"), "P").alias("state"))
+
+
+@query("config_schema", "SELECT 'OBJECT<properties: OBJECT<Name: OBJECT<title: ARRAY<OBJECT<more: STRING, plain_text: STRING>>, type: STRING>, Rank: OBJECT<number: BIGINT, type: STRING>>>' AS schema, (SELECT count(*) FROM supplier) AS n")
+def config_schema(spark, sf_dir):
+    """What all pages have in common, some of which lack a property."""
+    page = _page(("Name", "title", F.col("s_name")), ("Rank", "number", F.when(F.col("s_suppkey") % 2 == 0, F.col("s_suppkey"))))
+    pages = A.table(spark, sf_dir, "supplier").select(page)
+    return config.page_schema(pages).crossJoin(pages.agg(F.count("*").alias("n")))
 
 
 @query("config_views", "SELECT 'active' AS view, count_if(c_acctbal > 0) AS n FROM customer UNION ALL SELECT 'client', count_if(c_acctbal > 0 AND c_custkey % 2 = 0) FROM customer UNION ALL SELECT 'prospect', count_if(c_acctbal > 0 AND c_custkey % 2 = 1) FROM customer")

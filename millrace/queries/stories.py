@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import flag_emoji
 from ..operators import classify, filters, grouping, matrix, ranking, state
 from ..plans import adapters as A
+from ..plans import daily
 from .registry import query
 
 _RANKED = f"""clustered AS (SELECT *, {A.CLUSTER} AS cluster FROM articles),
@@ -75,6 +76,16 @@ def new_counts(spark, sf_dir):
     return state.split_new(_ids(spark, sf_dir), A.seen_store(spark, sf_dir))[1]
 
 
+@query(
+    "stream_counters",
+    f"WITH {A.ARTICLES}, {A.SEEN}, m AS (SELECT *, 'd' || seq IN (SELECT id FROM seen) AS known FROM articles) SELECT 'article' AS stream, count(*) AS fetched, count_if(known) AS duplicate, count_if(NOT known AND NOT classified) AS unclassified, count_if(NOT known AND classified AND NOT relevant) AS rejected, count_if(NOT known AND classified AND relevant) AS accepted FROM m",
+)
+def stream_counters(spark, sf_dir):
+    """The counters of a stream, observed while its new rows are judged and written."""
+    found = daily.judged(_ids(spark, sf_dir), A.seen_store(spark, sf_dir), lambda rows, kind: rows, "article", F.col("relevant"))
+    return daily.counter_rows(spark, {"article": found})
+
+
 @query(
     "seen_upsert_ttl",
     f"WITH {A.ARTICLES}, {A.SEEN} SELECT id, max(seen_at) AS seen_at FROM (SELECT * FROM seen UNION ALL SELECT 'd' || seq, TIMESTAMP '{A.NOW}' FROM articles WHERE classified) GROUP BY id HAVING max(seen_at) > TIMESTAMP '{A.NOW}' - INTERVAL 30 DAY",

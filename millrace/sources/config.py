@@ -31,51 +31,76 @@ VALUE_PATHS = {
 }
 
 
-def property_value(json: Column, name: str) -> Column:
-    """A property as text, read where its declared type holds it; null where it is missing, empty or of another type."""
-    base = f"$.properties['{name}']"
-    kind, out = F.get_json_object(json, base + ".type"), F.lit(None).cast("string")
+def parsed_pages(pages: DataFrame, json: str = "json") -> DataFrame:
+    """``pages`` with their JSON text as a variant, ``page``: each text is parsed once, whatever is read from it. Text that is no JSON gives null."""
+    return pages.withColumn("page", F.try_parse_json(json))
+
+
+def _base(name: str) -> str:
+    return f"$.properties['{name}']"
+
+
+def property_value(page: Column, name: str) -> Column:
+    """A property of a page (a variant) as text, read where its declared type holds it; null where it is missing, empty or of another type."""
+    kind, out = F.try_variant_get(page, _base(name) + ".type", "string"), F.lit(None).cast("string")
     for known, path in VALUE_PATHS.items():
-        out = F.when(kind == known, F.get_json_object(json, base + path)).otherwise(out)
+        out = F.when(kind == known, F.try_variant_get(page, _base(name) + path, "string")).otherwise(out)
     return out
 
 
-def property_choices(json: Column, name: str) -> Column:
-    parsed = F.from_json(F.get_json_object(json, f"$.properties['{name}'].multi_select"), "array<struct<name:string>>")
-    return F.coalesce(F.transform(parsed, lambda x: x["name"]), F.array().cast("array<string>"))
+def property_choices(page: Column, name: str) -> Column:
+    chosen = F.try_variant_get(page, _base(name) + ".multi_select", "array<struct<name:string>>")
+    return F.coalesce(F.transform(chosen, lambda x: x["name"]), F.array().cast("array<string>"))
+
+
+def property_state(page: Column, name: str) -> Column:
+    """``missing`` where a page has no such property, ``empty`` where it is there without a value (null, or a list without parts), else ``held``; null where the page is no JSON."""
+    kind = F.try_variant_get(page, _base(name) + ".type", "string")
+    value, parts = F.lit(None).cast("variant"), F.lit(None).cast("array<variant>")
+    for known in [*VALUE_PATHS, "multi_select"]:
+        value = F.when(kind == known, F.try_variant_get(page, f"{_base(name)}.{known}", "variant")).otherwise(value)
+        if known in ("title", "rich_text", "multi_select"):
+            parts = F.when(kind == known, F.try_variant_get(page, f"{_base(name)}.{known}", "array<variant>")).otherwise(parts)
+    none = value.isNull() | F.is_variant_null(value) | (F.coalesce(F.size(parts), F.lit(1)) == 0)
+    return F.when(page.isNull(), None).when(F.try_variant_get(page, _base(name), "variant").isNull(), "missing").when(none, "empty").otherwise("held")
+
+
+def page_schema(pages: DataFrame) -> DataFrame:
+    """One row: the schema that all pages have in common, to see a table's properties change."""
+    return parsed_pages(pages).agg(F.schema_of_variant_agg("page").alias("schema"))
 
 
 def source_rows(pages: DataFrame) -> DataFrame:
     """Sources out of property pages (json); 0 hours and runs mean the default."""
-    p = lambda n: property_value(F.col("json"), n)
-    return pages.select(
+    p = lambda n: property_value(F.col("page"), n)
+    return parsed_pages(pages).select(
         F.coalesce(p("Name"), F.lit("")).alias("name"), F.coalesce(p("URL"), F.lit("")).alias("url"), coerce(F.lower(p("Source Category")), "source_category").alias("category"), coerce(F.lower(p("Type")), "source_type").alias("source_type"),
-        F.coalesce(p("Country"), F.lit("")).alias("country"), F.coalesce(p("Enabled").cast("boolean"), F.lit(False)).alias("enabled"), property_choices(F.col("json"), "Keywords Filter").alias("keywords_filter"),
+        F.coalesce(p("Country"), F.lit("")).alias("country"), F.coalesce(p("Enabled").cast("boolean"), F.lit(False)).alias("enabled"), property_choices(F.col("page"), "Keywords Filter").alias("keywords_filter"),
         F.coalesce(p("Scraper ID"), F.lit("")).alias("scraper_id"), F.coalesce(p("Lookback Hours").try_cast("int"), F.lit(0)).alias("lookback_hours"), F.coalesce(p("Max Silent Days").try_cast("int"), F.lit(0)).alias("max_silent_days"),
     )
 
 
 def recipient_rows(pages: DataFrame) -> DataFrame:
-    p = lambda n: F.coalesce(property_value(F.col("json"), n), F.lit(""))
-    return pages.select(
+    p = lambda n: F.coalesce(property_value(F.col("page"), n), F.lit(""))
+    return parsed_pages(pages).select(
         p("Name").alias("name"), p("Email").alias("email"), (p("Active") == "true").alias("active"), coerce(F.lower(p("Group")), "recipient_group").alias("group"),
         (p("Is Primary") == "true").alias("is_primary"), p("Lead ID").alias("lead_id"),
     )
 
 
 def company_rows(pages: DataFrame) -> DataFrame:
-    p = lambda n: F.coalesce(property_value(F.col("json"), n), F.lit(""))
-    return pages.select(
+    p = lambda n: F.coalesce(property_value(F.col("page"), n), F.lit(""))
+    return parsed_pages(pages).select(
         p("Company Name").alias("name"), coerce(F.lower(p("Type")), "company_type").alias("company_type"), p("Search Keywords").alias("search_keywords"),
         (p("Enabled") == "true").alias("enabled"), F.coalesce(F.nullif(p("Priority"), F.lit("")), F.lit("medium")).alias("priority"),
     )
 
 
 def country_rows(pages: DataFrame) -> DataFrame:
-    p = lambda n: F.coalesce(property_value(F.col("json"), n), F.lit(""))
-    return pages.select(
+    p = lambda n: F.coalesce(property_value(F.col("page"), n), F.lit(""))
+    return parsed_pages(pages).select(
         p("Country").alias("name"), p("Region").alias("region"), p("Flag Emoji").alias("flag_emoji"), (p("Enabled") == "true").alias("enabled"), (p("Has Scraper") == "true").alias("has_scraper"),
-        property_choices(F.col("json"), "Pan-regional Source").alias("pan_regional_sources"),
+        property_choices(F.col("page"), "Pan-regional Source").alias("pan_regional_sources"),
     )
 
 

@@ -182,3 +182,21 @@ def test_lateral_extract_equals_frame_form(spark):
     assert sorted(map(str, spark.sql(text).collect())) == frame and len(frame) == 7
     with pytest.raises(Exception, match="must be a constant"):
         spark.sql(text.replace("'2026-03-25T00:00:00'", "p.url")).collect()
+
+
+# --- configuration as variants
+
+
+def test_a_page_is_parsed_once(spark):
+    """Whatever is read from it; values of every type, bad JSON, missing and null pages."""
+    from millrace.sources import config
+
+    page = {"properties": {"Name": {"type": "title", "title": [{"plain_text": "N"}, {"plain_text": "more"}]}, "Lookback Hours": {"type": "number", "number": 24}, "Enabled": {"type": "checkbox", "checkbox": True}, "URL": {"type": "url", "url": None}, "Keywords Filter": {"type": "multi_select", "multi_select": [{"name": "a"}, {"name": "b"}]}}}
+    df = spark.createDataFrame([(json.dumps(page),), ("{broken",), (None,), ("[]",)], "json string")
+    rows = config.source_rows(df)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.count("ParseJson") + plan.count("parseJson") <= 2 and plan.count("get_json_object") == 0
+    got = [tuple(r[c] for c in ("name", "url", "enabled", "keywords_filter", "lookback_hours")) for r in rows.collect()]
+    assert got == [("N", "", True, ["a", "b"], 24)] + [("", "", False, [], 0)] * 3
+    states = config.parsed_pages(df).select(*(config.property_state(F.col("page"), n).alias(n) for n in ("Name", "URL", "None"))).collect()
+    assert [tuple(r) for r in states] == [("held", "empty", "missing"), (None,) * 3, (None,) * 3, ("missing",) * 3]

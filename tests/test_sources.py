@@ -211,6 +211,28 @@ def test_daily_run_that_only_looks(spark, sf_dir):
     run.close()
 
 
+def test_counters_take_no_job(spark):
+    """They come with the one job that writes a stream, also where the judge uses its rows twice; ids that the store holds twice, doubles and null ids count as they are."""
+    rows = [("a", "t &amp; u"), ("a", "x"), ("b", "x"), (None, "x"), ("c", "x"), ("d", "x")]
+    batch = spark.createDataFrame(rows, "id string, title string")
+    seen = spark.createDataFrame([("b", 1), ("b", 2), (None, 3), ("z", 4)], "id string, seen_at int")
+
+    def judge(df, kind):
+        assert kind == "k"
+        told = df.where("id is not null").groupBy("id").agg((F.col("id") == "c").alias("relevant"))
+        return df.join(told, "id", "left").withColumn("classified", F.coalesce(F.col("id") != "d", F.lit(True)))
+
+    found = daily.judged(batch, seen, judge, "k", F.col("relevant"))
+    spark.sparkContext.setJobGroup("counters", "none")
+    counters = daily.counter_rows(spark, {"k": found, "again": found})
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("counters")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [tuple(r) for r in counters.collect()] == [(k, 6, 1, 1, 3, 1) for k in ("k", "again")]
+    assert sorted((r["id"] or "-", r["title"]) for r in found.rows.collect()) == [("-", "x"), ("a", "t & u"), ("a", "x"), ("c", "x"), ("d", "x")]
+    empty = daily.judged(batch.limit(0), seen, judge, "k", F.col("relevant"))
+    assert [tuple(r)[1:] for r in daily.counter_rows(spark, {"k": empty}).collect()] == [(0,) * 5] and empty.rows.count() == 0
+
+
 def test_streams(spark, tmp_path):
     rows = [(i, datetime(2024, 1, 1, 0, i % 50), i % 3, "a" if i % 2 else "b", float(i), "{}") for i in range(100)]
     df = spark.createDataFrame(rows, events.EVENTS)
