@@ -8,7 +8,8 @@ node's quotas, so every shard holds a random but exact part. Permuted blocks
 then fill the quotas without overlap, and each shard is shuffled on its own.
 
 The driver holds one row for each source (its size, target and quotas), as weights are stated by source; blocks and rows stay in Spark.
-Where a source's prefix ends is found digit by digit, so no task orders more than ``EDGE_ROWS`` distinct rows of a source.
+Where a source's prefix ends is found digit by digit, so no task orders more than ``EDGE_ROWS`` distinct rows of a source. Rows that agree in id and text are numbered
+where the prefix ends among them.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ WEIGHTS, SHARE, CAP = (5, 2, 1), 1.5, 2
 #: Blocks to a source for each output shard, at least; hex digits by which the end of a prefix is narrowed down; rows among which it is then found.
 SHARD_BLOCKS, DIGITS, EDGE_ROWS = 32, 2, 50_000
 BROADCAST_ROWS = 200_000
+#: numpy's limit on the items of one hypergeometric draw.
+DRAW_ITEMS = 10**9
 #: Sorts after every hex digit, so a source with this bound is taken whole.
 ALL = "g"
 
@@ -56,6 +59,25 @@ def source_targets(sizes: dict[str, int], weights=WEIGHTS, share: float = SHARE,
     return out
 
 
+def _drawn(rng: np.random.Generator, colours: np.ndarray, n: int) -> np.ndarray:
+    """``n`` draws without replacement, by colour: one multivariate hypergeometric draw.
+
+    numpy takes fewer than 10^9 items. More are split into two groups of colours first, whose shares come from the normal
+    distribution of the same mean and variance: at such counts it differs from the exact one by less than a draw shows.
+    """
+    total = int(colours.sum())
+    if total < DRAW_ITEMS:
+        return rng.multivariate_hypergeometric(colours, n, method="marginals")
+    if len(colours) == 1:
+        return np.array([n], np.int64)
+    half = len(colours) // 2
+    a = int(colours[:half].sum())
+    share = a / total
+    mean, deviation = n * share, math.sqrt(max(0.0, n * share * (1 - share) * ((total - n) / max(1, total - 1))))
+    k = min(max(round(rng.normal(mean, deviation)), n - (total - a), 0), a, n)
+    return np.concatenate([_drawn(rng, colours[:half], k), _drawn(rng, colours[half:], n - k)])
+
+
 def splitting_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
     """(shards, sources) block counts whose column sums are ``quotas`` and whose row sums differ by one at most."""
     out = np.zeros((shards, len(quotas)), np.int64)
@@ -65,7 +87,7 @@ def splitting_tree(quotas: np.ndarray, shards: int, rng: np.random.Generator) ->
             out[lo] = q
             return
         mid = (lo + hi) // 2
-        left = rng.multivariate_hypergeometric(q, int(cut[mid] - cut[lo]), method="marginals") if len(q) else q
+        left = _drawn(rng, q, int(cut[mid] - cut[lo])) if len(q) else q
         split(lo, mid, left, cut)
         split(mid, hi, q - left, cut)
 
@@ -84,9 +106,9 @@ def sized(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
 
 
 def _prefix_ends(narrow: DataFrame, sources: DataFrame, n_sources: int) -> DataFrame:
-    """(_m_src, _m_upto): rows whose key is this one or less are taken once more.
+    """(_m_src, _m_upto, _m_some): rows whose key is less are taken once more, and so are those with this key: all, or, where it isn't null, ``_m_some`` of them.
 
-    ``sources`` has the words to take (``_m_room``) of each source. The sums of the blocks by the next ``DIGITS`` digits of the key
+    Only rows that agree in id and text share a key. ``sources`` has the words to take (``_m_room``) of each source. The sums of the blocks by the next ``DIGITS`` digits of the key
     show in which block a source's room ends, and only that block goes on.
     """
     before = Window.partitionBy("_m_src").orderBy("_m_next")
@@ -96,23 +118,26 @@ def _prefix_ends(narrow: DataFrame, sources: DataFrame, n_sources: int) -> DataF
         digits += DIGITS
         rows = rows.join(_small(at, n_sources), "_m_src").where(F.col("_m_key").startswith(F.col("_m_prefix"))).drop("_m_prefix", "_m_room")
         rows = materialise(rows, "mixture-edge") if digits > DIGITS else rows
-        sums = rows.groupBy("_m_src", F.substring("_m_key", 1, digits).alias("_m_next")).agg(F.sum("_m_size").alias("size"), F.count("*").alias("n"))
+        sums = rows.groupBy("_m_src", F.substring("_m_key", 1, digits).alias("_m_next")).agg(F.sum("_m_size").alias("size"), F.count("*").alias("n"), (F.min("_m_key") < F.max("_m_key")).alias("several"))
         sums = sums.join(_small(at, n_sources), "_m_src")
         sums = materialise(sums.withColumn("_m_before", F.sum("size").over(before) - F.col("size")), "mixture-sums")
         over = sums.where(F.col("_m_before") + F.col("size") > F.col("_m_room"))
-        edge = over.groupBy("_m_src").agg(F.min_by(F.struct(F.col("_m_next").alias("_m_prefix"), (F.col("_m_room") - F.col("_m_before")).alias("_m_room"), "n"), "_m_next").alias("e"))
-        at = materialise(edge.select("_m_src", "e._m_prefix", "e._m_room", "e.n"), "mixture-edges")
+        edge = over.groupBy("_m_src").agg(F.min_by(F.struct(F.col("_m_next").alias("_m_prefix"), (F.col("_m_room") - F.col("_m_before")).alias("_m_room"), "n", "several"), "_m_next").alias("e"))
+        at = materialise(edge.select("_m_src", "e._m_prefix", "e._m_room", "e.n", "e.several"), "mixture-edges")
         # a source whose room is never passed is taken whole
-        ends.append(sums.select("_m_src").distinct().join(at.select("_m_src"), "_m_src", "left_anti").select("_m_src", F.lit(ALL).alias("_m_upto")))
-        most = at.agg(F.max("n")).first()[0] or 0
+        ends.append(sums.select("_m_src").distinct().join(at.select("_m_src"), "_m_src", "left_anti").select("_m_src", F.lit(ALL).alias("_m_upto"), F.lit(None).cast("long").alias("_m_some")))
+        most = at.where("several").agg(F.max("n")).first()[0] or 0
         at = at.select("_m_src", "_m_room", "_m_prefix")
         if most <= EDGE_ROWS or digits >= 32:
             break
     inside = rows.join(_small(at, n_sources), "_m_src").where(F.col("_m_key").startswith(F.col("_m_prefix")))
-    each = inside.groupBy("_m_src", "_m_room", "_m_key").agg(F.sum("_m_size").alias("size"))
+    each = inside.groupBy("_m_src", "_m_room", "_m_key").agg(F.sum("_m_size").alias("size"), F.count("*").alias("n"), F.max("_m_size").alias("one"))
     each = each.withColumn("_m_before", F.sum("size").over(Window.partitionBy("_m_src").orderBy("_m_key")) - F.col("size"))
-    last = each.where(F.col("_m_before") + F.col("size") / 2 <= F.col("_m_room")).groupBy("_m_src").agg(F.max("_m_key").alias("last"))
-    ends.append(at.join(last, "_m_src", "left").select("_m_src", F.coalesce("last", "_m_prefix").alias("_m_upto")))
+    # a row is taken if half of it at least is within the room
+    fits = F.when(F.col("one") > 0, F.floor((F.col("_m_room") - F.col("_m_before")) / F.col("one") + 0.5)).otherwise(F.col("n"))
+    each = each.where(F.col("_m_before") + F.col("one") / 2 <= F.col("_m_room")).withColumn("some", F.when(fits < F.col("n"), F.greatest(fits, F.lit(1))).cast("long"))
+    last = each.groupBy("_m_src").agg(F.max(F.struct("_m_key", "some")).alias("last"))
+    ends.append(at.join(last, "_m_src", "left").select("_m_src", F.coalesce("last._m_key", "_m_prefix").alias("_m_upto"), F.col("last.some").alias("_m_some")))
     out = ends[0]
     for more in ends[1:]:
         out = out.unionByName(more)
@@ -120,7 +145,7 @@ def _prefix_ends(narrow: DataFrame, sources: DataFrame, n_sources: int) -> DataF
 
 
 def _placed(narrow: DataFrame, weights, share: float, cap: float, shards: int, seed: int) -> tuple[DataFrame, DataFrame]:
-    """(by source: _m_src, _m_source_size, _m_target, _m_whole, _m_upto; by block: _m_src, _m_block, _m_at, the shard of each pass), marked to be broadcast if small."""
+    """(by source: _m_src, _m_source_size, _m_target, _m_whole, _m_upto, _m_some; by block: _m_src, _m_block, _m_at, the shard of each pass), marked to be broadcast if small."""
     spark = narrow.sparkSession
     digits = max(2, math.ceil(math.log(SHARD_BLOCKS * shards, 16)))
     blocks = narrow.groupBy("_m_src", F.substring("_m_key", 1, digits).alias("_m_block")).agg(F.sum("_m_size").alias("size"), F.min("_m_key").alias("least"))
@@ -133,7 +158,7 @@ def _placed(narrow: DataFrame, weights, share: float, cap: float, shards: int, s
         plan.append((s, sizes[s], targets[s], passes, max(0.0, targets[s] - passes * sizes[s]) if sizes[s] else 0.0))
     sources = spark.createDataFrame(plan, "_m_src string, _m_source_size long, _m_target double, _m_whole int, _m_room double")
     ends = _prefix_ends(narrow, sources.where("_m_room > 0"), len(plan))
-    by_source = sources.join(ends, "_m_src", "left").select("_m_src", "_m_source_size", "_m_target", "_m_whole", F.coalesce("_m_upto", F.lit("")).alias("_m_upto"))
+    by_source = sources.join(ends, "_m_src", "left").select("_m_src", "_m_source_size", "_m_target", "_m_whole", F.coalesce("_m_upto", F.lit("")).alias("_m_upto"), "_m_some")
     by_source = materialise(by_source, "mixture-sources")
     takes = blocks.join(_small(by_source, len(plan)), "_m_src").select("_m_src", "_m_block", (F.col("_m_whole") + F.when(F.col("least") <= F.col("_m_upto"), 1).otherwise(0)).alias("takes")).where("takes > 0")
     takes = materialise(takes, "mixture-takes")
@@ -157,18 +182,35 @@ def _mixed(rows: DataFrame, narrow: DataFrame, weights, share: float, cap: float
     by_source, placed = _placed(narrow, weights, share, cap, shards, seed)
     digits = max(2, math.ceil(math.log(SHARD_BLOCKS * shards, 16)))
     out = rows.withColumn("_m_block", F.substring("_m_key", 1, digits)).join(by_source, "_m_src").join(placed, ["_m_src", "_m_block"], "left")
-    out = out.withColumn("_m_passes", F.col("_m_whole") + F.when(F.col("_m_key") <= F.col("_m_upto"), 1).otherwise(0))
+    out = out.withColumn("_m_once", (F.col("_m_key") <= F.col("_m_upto")).cast("int"))
+    if by_source.where("_m_some is not null").limit(1).count():
+        cut = F.coalesce((F.col("_m_key") == F.col("_m_upto")) & F.col("_m_some").isNotNull(), F.lit(False))
+        out = out.where(~cut).unionByName(_some_of_equal(out.where(cut)))
+    out = out.withColumn("_m_passes", F.col("_m_whole") + F.col("_m_once"))
     out = out.withColumn("_m_shards", F.slice(F.coalesce("_m_at", F.array().cast("array<int>")), F.lit(1), F.col("_m_passes")))
     return out.select(*rows.columns, "_m_source_size", "_m_target", "_m_passes", "_m_shards")
 
 
+def _some_of_equal(rows: DataFrame) -> DataFrame:
+    """``rows``, which agree in id and text within each source, with ``_m_once`` 1 for ``_m_some`` of them and 0 for the others.
+
+    They are written down with a number of their own; each is counted within the task that wrote it, and the tasks' counts are summed up, so no task holds all of them.
+    """
+    held = materialise(rows.withColumn("_m_id", F.monotonically_increasing_id()), "mixture-equal").withColumn("_m_part", F.shiftright("_m_id", 33))
+    counts = held.groupBy("_m_src", "_m_part").agg(F.count("*").alias("_m_n"))
+    before = counts.select("_m_src", "_m_part", (F.sum("_m_n").over(Window.partitionBy("_m_src").orderBy("_m_part")) - F.col("_m_n")).alias("_m_before"))
+    nth = F.row_number().over(Window.partitionBy("_m_src", "_m_part").orderBy("_m_id"))
+    numbered = held.withColumn("_m_nth", nth).join(before, ["_m_src", "_m_part"])
+    return numbered.withColumn("_m_once", (F.col("_m_before") + F.col("_m_nth") <= F.col("_m_some")).cast("int")).select(*rows.columns)
+
+
 def mixture(
     df: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights=WEIGHTS, share: float = SHARE, cap: float = CAP, shards: int = 8, seed: int = SEED
 ) -> DataFrame:
     """``df`` with _m_size, _m_key, _m_source_size, _m_target, _m_passes (times the row is taken) and _m_shards (the shard of each pass).
 
     Size is the count of words between ASCII white space. Null texts have size 0, null sources make one
-    source that comes last, null ids are values like others. Identical rows (id and text) are taken together. A source whose
+    source that comes last, null ids are values like others. Of identical rows (id and text) as many are taken as the target has room for. A source whose
     texts are all empty has target 0 and none of its rows is taken. An empty table gives an empty table. A column
     of ``df`` that has one of these names is replaced.
     """

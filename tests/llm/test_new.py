@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 from compare import same
 
-from millrace.llm import divergence, importance, pieces
+from millrace.llm import divergence, importance, mixing, pieces
 from millrace.llm.queries import QUERIES
 
 
@@ -236,3 +236,45 @@ def test_shares_are_exact():
         total, terms = rng.randrange(10 ** rng.randrange(1, 15)), rng.randrange(1, 10 ** rng.randrange(1, 12))
         count = rng.randrange(total + 1)
         assert divergence.shares(np.array([count]), total, terms)[0] == 1 + 10**9 * (count + 5) // (total + 5 * terms)
+
+
+# --- 10: equal rows, many sources
+
+
+def plain_taken(sizes_by_source, targets):
+    """Words that are taken of each source whose rows are all alike: whole passes, and rows that fit by half at least."""
+    out = {}
+    for s, (size, n) in sizes_by_source.items():
+        passes = int(targets[s] / (size * n) + 1e-9)
+        out[s] = size * n * passes + size * min(n, max(0, math.floor((targets[s] - passes * size * n) / size + 0.5)))
+    return out
+
+
+def test_equal_rows_are_cut_between(spark):
+    """Sources of rows that agree in id and text come as near their targets as one row allows, alone and among others; empty texts take no room."""
+    rows = [(None, "one two three four", "a", i) for i in range(1000)] + [(7, "five words are in here", "b", i) for i in range(333)] + [(i, f"text {i} " * (i % 9), "c", i) for i in range(400)] + [(None, "", None, i) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(7)
+    out = mixing.mixture(docs).collect()
+    assert len(out) == len(rows) and {r["extra"] for r in out} == set(range(1000))
+    taken, target, one = Counter(), {}, Counter()
+    for r in out:
+        taken[r["source"]] += r["_m_size"] * r["_m_passes"]
+        target[r["source"]] = r["_m_target"]
+        one[r["source"]] = max(one[r["source"]], r["_m_size"])
+        assert len(r["_m_shards"]) == r["_m_passes"] <= 2
+    assert all(abs(taken[s] - target[s]) <= one[s] for s in ("a", "b", "c")), (taken, target)
+    want = plain_taken({"a": (4, 1000), "b": (5, 333)}, target)
+    assert {s: taken[s] for s in want} == want
+    again = Counter((r["source"], r["doc_id"], r["_m_passes"]) for r in mixing.mixture(docs.repartition(3)).collect())
+    assert again == Counter((r["source"], r["doc_id"], r["_m_passes"]) for r in out)
+
+
+@pytest.mark.parametrize("items", [10**9, 50])
+def test_splits_of_any_size(monkeypatch, items):
+    """More blocks than numpy draws from at once, by a lowered limit and by four million sources' worth of them."""
+    monkeypatch.setattr(mixing, "DRAW_ITEMS", items)
+    rng = np.random.default_rng(3)
+    quotas = rng.integers(0, 40, 300) if items == 50 else np.full(3, 600_000_000)
+    parts = mixing.splitting_tree(quotas, 8, np.random.default_rng(1))
+    assert (parts.sum(0) == quotas).all() and (parts >= 0).all() and np.ptp(parts.sum(1)) <= 1
+    assert (np.abs(parts - quotas / 8) < 8 * np.sqrt(quotas / 8 + 1)).all()
