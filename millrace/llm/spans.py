@@ -85,13 +85,13 @@ def batch_runs(texts: Iterable[str | None], min_sentences: int = MIN_SENTENCES,
         yield np.array(ids)[of], a - lead[of], b - a, *found
 
 
-def sentence_runs(docs: DataFrame) -> DataFrame:
-    """doc_id, row (the hash of the text), at, n, h1, h2 of every run of every text."""
+def sentence_runs(docs: DataFrame, **bounds: int) -> DataFrame:
+    """doc_id, row (the hash of the text), at, n, h1, h2 of every run of every text; ``bounds`` as in ``batch_runs``."""
     python_ready(docs)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for of, at, n, h1, h2 in batch_runs(batch["text"].tolist()):
+            for of, at, n, h1, h2 in batch_runs(batch["text"].tolist(), **bounds):
                 rows = batch[["doc_id", "no_id", "row"]].iloc[of].reset_index(drop=True)
                 yield rows.assign(at=at.astype(np.int32), n=n.astype(np.int32), h1=h1, h2=h2)
 
@@ -99,12 +99,12 @@ def sentence_runs(docs: DataFrame) -> DataFrame:
     return real_ids(rows.mapInPandas(run, "doc_id long, no_id boolean, row long, at int, n int, h1 long, h2 long"))
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, **bounds: int) -> DataFrame:
     """doc_id, row, at, n, first_doc_id of every run that is not the first of its kind.
 
     Counts by hash come first, so that only runs that occur again are sent with their places.
     """
-    found = materialise(sentence_runs(docs), "sentence-runs")
+    found = materialise(sentence_runs(docs, **bounds), "sentence-runs")
     again = found.groupBy("h1", "h2").agg(F.count("*").alias("copies")).where("copies > 1").select("h1", "h2")
     shared = materialise(found.join(materialise(again, "repeated-hashes"), ["h1", "h2"]), "shared-runs")
     place = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row", "at")
@@ -112,16 +112,19 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return shared.join(first, ["h1", "h2"]).where(place != F.col("first")).select("doc_id", "row", "at", "n", F.col("first.doc_id").alias("first_doc_id"))
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, **bounds: int) -> DataFrame:
     """The rows that lose sentences: doc_id, n_sentences, n_removed, first_doc_ids, text (what stays), removed (what goes).
 
+    ``bounds`` are ``min_sentences``, ``min_words`` and ``alone_words``. With ``min_words=1`` every run of ``min_sentences`` sentences counts, however short; the default leaves
+    turns of phrase alone, of which any large corpus repeats some by chance.
+
     The first of equal runs is that of the least doc_id (null ids come last), then by a hash of the text, then by position. Rows that
     agree in id and text are one document: a run that only they hold stays in all of them, else each loses it. Rows with one id, or none, and
     different texts are judged apart; first_doc_ids leaves out null ids. Null and empty texts lose nothing and aren't in the result. Sentences compare by
     their words (letters and digits, case folded). Extra columns are left out. An empty table gives an empty table.
     """
     python_ready(docs)
-    covered = repeated_runs(docs).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
+    covered = repeated_runs(docs, **bounds).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
         F.sort_array(F.collect_set(F.struct("at", "n"))).alias("covered"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids")
     )
     texts = docs.select("doc_id", "text", row_hash("text").alias("row"))

@@ -52,12 +52,23 @@ def test_short_passage_inside_sentences(spark):
     """A passage whose first and last sentences run on into their hosts still goes by its whole sentences."""
     inner = "the harvest was early this year. prices rose in every market we follow, and stocks fell."
     rows = [(1, f"Some words before {inner} And after."), (2, f"Other ones, that run on into. {inner} No more of it.")]
-    out = spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), ).collect()
-    assert [r["doc_id"] for r in out] in ([], [2])
+    # one whole sentence of seven words in all lies between the ends that differ: no run
+    assert spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), min_words=1).count() == 0
     rows = [(i, f"{x} words that lead into one two three. four five six seven eight nine ten eleven. twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen. and so on {x}") for i, x in enumerate("pq")]
     assert [(r["doc_id"], r["n_removed"]) for r in spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [(1, 2)]
 
 
+@pytest.mark.parametrize("words", [6, 9, 15, 21])
+def test_short_repeats_without_a_floor(spark, words):
+    """Three whole sentences of so many words in all: found when no words are asked for, and by default from 16 words on."""
+    own = lambda x: " ".join(f"{x}{i}." for i in range(12))
+    passage = " ".join(f"p{i}{'.' if i % (words // 3) == words // 3 - 1 else ''}" for i in range(words))
+    docs = spark.createDataFrame([(1, f"{own('a')} {passage} {own('b')}"), (2, f"{own('c')} {passage} {own('d')}"), (3, own("e"))], "doc_id long, text string")
+    got = lambda **bounds: [(r["doc_id"], r["n_removed"], r["removed"].strip()) for r in spans.without_repeats(docs, **bounds).collect()]
+    assert got(min_words=1) == [(2, 3, passage)]
+    assert got() == ([(2, 3, passage)] if words >= spans.MIN_WORDS else [])
+
+
 def test_one_of_each_by_row(spark):
     t = " ".join(f"w{i}" for i in range(40))
     rows = [(1, t, "x"), (1, "something quite different from all others", "y"), (None, t + " z", "n"), (None, t, "n"), (1, t, "x"), (2, None, "a"), (2, None, "a")]
