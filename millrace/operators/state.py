@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-TTL_DAYS = 30
+TTL_DAYS, KEPT_VERSIONS = 30, 5
 
 
 def only_new(batch: DataFrame, seen: DataFrame) -> DataFrame:
@@ -52,33 +54,54 @@ def newer_than(rows: DataFrame, state: DataFrame, column: str) -> DataFrame:
     return rows.join(F.broadcast(last), F.col("_last").isNull() | (F.col(column) > F.col("_last"))).drop("_last")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(Hadoop's file system of ``path``, a maker of its paths), so that any store that Spark reads will do."""
+    jvm = spark._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a state table's committed versions, oldest first: by version, as text, then by the time of the commit."""
+    fs, make = _hadoop(spark, path)
+    if not fs.exists(make(path)):
+        return []
+    found = []
+    for folder in fs.listStatus(make(path)):
+        name, done = folder.getPath().getName(), make(folder.getPath(), "_SUCCESS")
+        if name.startswith("version=") and fs.exists(done):
+            found.append((name.removeprefix("version=").partition("~")[0], fs.getFileStatus(done).getModificationTime(), name))
+    return [name for *_, name in sorted(found)]
+
+
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table's newest version, empty where there is none yet."""
+    """A state table's newest version, empty where there is none yet. Only that version's folder is read."""
     empty = spark.createDataFrame([], schema)
-    try:
-        held = spark.read.parquet(path)
-    except AnalysisException:
-        return empty
-    if "version" in held.columns and "version" not in empty.columns:
-        newest = held.agg(F.max(F.col("version").cast("string")).alias("newest"))
-        held = held.join(F.broadcast(newest), F.col("version").cast("string") == F.col("newest"))
-    return held.select(*empty.columns)
+    held = versions(spark, path)
+    return spark.read.schema(empty.schema).parquet(f"{path}/{held[-1]}") if held else empty
 
 
-def write_state(df: DataFrame, path: str, version: str) -> str:
-    """Writes a new version beside the old ones; versions sort as text (a run's time), and readers take the last.
+def write_state(df: DataFrame, path: str, version: str, keep: int = KEPT_VERSIONS) -> str:
+    """Writes a new version beside the old ones and removes all but the last ``keep``; versions sort as text (a run's time), and readers take the last.
 
-    A version's folder counts only once its files are committed, so a run that dies leaves the old version in force.
+    A version counts only once its files are committed, so a run that dies leaves the old version in force. Runs that write one version
+    at the same time don't touch each other: each has a folder of its own, and the later commit is read.
     """
-    target = f"{path}/version={version}"
-    df.write.mode("overwrite").parquet(target)
+    target = f"{path}/version={version}~{uuid.uuid4().hex[:12]}"
+    df.write.parquet(target)
+    fs, make = _hadoop(df.sparkSession, path)
+    for old in versions(df.sparkSession, path)[: -max(1, keep)]:
+        fs.delete(make(f"{path}/{old}"), True)
     return target
 
 
 def sent_marker(spark: SparkSession, path: str, day: str) -> bool:
-    """True the first time that a day is marked."""
-    marks = read_state(spark, path, "day string")
-    if marks.where(F.col("day") == day).limit(1).count():
-        return False
-    spark.createDataFrame([(day,)], "day string").write.mode("append").parquet(path)
-    return True
+    """True the first time that a day is marked: the one that makes the day's file, which can be made once, sends."""
+    fs, make = _hadoop(spark, path)
+    try:
+        fs.create(make(f"{path}/sent={day}"), False).close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception.getClass().getName()) or fs.exists(make(f"{path}/sent={day}")):
+            return False
+        raise

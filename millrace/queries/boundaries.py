@@ -12,22 +12,27 @@ from .registry import query
 # --- state
 
 
-@query("state_versions", "SELECT n_name AS id, n_nationkey + 100 AS v FROM nation WHERE n_nationkey < 20")
+@query("state_versions", "SELECT n_name AS id, n_nationkey + 100 AS v, 2 AS held FROM nation WHERE n_nationkey < 20")
 def state_versions(spark, sf_dir):
-    """Two versions written, the newer read; a state that isn't there is empty."""
+    """Four versions written, one of them twice, two kept, the newest read; a state that isn't there is empty."""
     path, rows = A.scratch(spark, "state"), A.table(spark, sf_dir, "nation").select(F.col("n_name").alias("id"), F.col("n_nationkey").alias("v"))
     schema = "id string, v int"
     first = state.read_state(spark, path, schema).unionByName(rows)
-    state.write_state(first, path, "2024-01-30T10")
-    state.write_state(rows.where("v < 20").withColumn("v", F.col("v") + 100), path, "2024-01-31T10")
-    return state.read_state(spark, path, schema)
+    for hour in ("08", "09", "10"):
+        state.write_state(first, path, f"2024-01-30T{hour}", keep=2)
+    state.write_state(rows.where("v < 5"), path, "2024-01-31T10", keep=2)
+    state.write_state(rows.where("v < 20").withColumn("v", F.col("v") + 100), path, "2024-01-31T10", keep=2)
+    return state.read_state(spark, path, schema).withColumn("held", F.lit(len(state.versions(spark, path))))
 
 
-@query("sent_markers", "SELECT * FROM (VALUES ('2024-01-30', true), ('2024-01-30 again', false), ('2024-01-31', true)) v(day, first)")
+@query("sent_markers", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS runs, 1 AS first FROM events WHERE event_type = 'purchase' OR event_id % 500 = 0 GROUP BY 1")
 def sent_markers(spark, sf_dir):
-    path = A.scratch(spark, "sent")
-    asked = [(d, state.sent_marker(spark, path, d[:10])) for d in ("2024-01-30", "2024-01-30 again", "2024-01-31")]
-    return spark.createDataFrame(asked, "day string, first boolean")
+    """Every day of the events is asked for once by each of its runs; one of them is the first. A day holds a few runs, and the driver asks, as a run does."""
+    path, asked = A.scratch(spark, "sent"), []
+    runs = A.table(spark, sf_dir, "events").where("event_type = 'purchase' OR event_id % 500 = 0").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("runs"))
+    for r in runs.collect():  # one row a day
+        asked.append((r["day"], r["runs"], sum(state.sent_marker(spark, path, r["day"]) for _ in range(min(3, r["runs"])))))
+    return spark.createDataFrame(asked, "day string, runs long, first int")
 
 
 @query("cache_upsert", "SELECT n_name AS place_name, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey + 0.5 ELSE n_nationkey END AS latitude FROM nation UNION ALL SELECT r_name, -1 FROM region")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import zipfile
 
@@ -314,14 +315,14 @@ def config_views(spark, sf_dir):
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
-@query("config_tables", "SELECT * FROM (VALUES ('companies', 2), ('countries', 0), ('recipients', 0), ('sources', 0)) v(name, n)")
+@query("config_tables", "SELECT 'companies' AS name, count(*) AS n, count_if(c_acctbal > 0) AS enabled FROM customer UNION ALL SELECT * FROM (VALUES ('countries', 0, 0), ('recipients', 0, 0), ('sources', 0, 0)) v(name, n, enabled)")
 def config_tables(spark, sf_dir):
-    """The four tables, one seeded; made twice, filled once."""
+    """The four tables, one of them seeded with the customers; made twice, filled once."""
     name = "millrace_" + A.scratch(spark, "db").rsplit("-", 1)[-1]
-    seed = {"companies": [{"name": "A", "company_type": "client", "enabled": True}, {"name": "B", "company_type": "prospect", "enabled": True}]}
     for _ in range(2):
-        made = config.create_tables(spark, name, seed)
-    return spark.createDataFrame([(t, spark.table(f"{name}.{t}").count()) for t in made], "name string, n long")
+        made = config.create_tables(spark, name, {"companies": A.companies(spark, sf_dir)})
+    counts = [spark.table(f"{name}.{t}").agg(F.lit(t).alias("name"), F.count("*").alias("n"), F.count_if("enabled" if t != "recipients" else "active").alias("enabled")) for t in made]
+    return functools.reduce(lambda a, b: a.unionByName(b), counts)
 
 
 @query("config_snapshot", "SELECT n_name AS name, 'R' || n_regionkey AS region, CAST(NULL AS BOOLEAN) AS has_scraper FROM nation")
@@ -385,11 +386,10 @@ def subject_lines(spark, sf_dir):
     return A.table(spark, sf_dir, "supplier").select("s_suppkey", text.subject_hook(takeaway, F.concat(F.lit("Top "), k.cast("string"))).alias("hook"), pre.alias("pre"))
 
 
-@query(
-    "guessed_languages",
-    "WITH w AS (SELECT doc_id, regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9_]+') AS w FROM documents), n AS (SELECT doc_id, len(list_filter(w, lambda x: x IN ('the', 'and', 'of'))) AS en, len(list_filter(w, lambda x: x IN ('les', 'des', 'et'))) AS fr, len(list_filter(w, lambda x: x IN ('der', 'die', 'und'))) AS de, len(list_filter(w, lambda x: x IN ('los', 'las', 'que'))) AS es FROM w), g AS (SELECT *, greatest(en, fr, de, es) AS best FROM n) SELECT doc_id, CASE WHEN best = 0 THEN 'en' WHEN en = best THEN 'en' WHEN fr = best THEN 'fr' WHEN de = best THEN 'de' ELSE 'es' END AS lang FROM g",
-)
-def guessed_languages(spark, sf_dir):
-    return A.table(spark, sf_dir, "documents").select("doc_id", text.guess_language(F.col("text")).alias("lang"))
+_WEIGHED = ", ".join("list_sum([0] || list_transform(w, lambda x: CASE " + " ".join(f"WHEN x = '{w}' THEN {n}" for w, n in words.items()) + " ELSE 0 END))" for words in text.word_weights().values())
+_LANGS = ", ".join(f"'{x}'" for x in text.COMMON_WORDS)
 
 
+@query("guessed_languages", f"WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+') AS w FROM documents), t AS (SELECT doc_id, [{_WEIGHED}] AS t FROM w) SELECT doc_id, CASE WHEN list_max(t) > 0 THEN [{_LANGS}][list_position(t, list_max(t))] ELSE 'en' END AS lang FROM t")
+def guessed_languages(spark, sf_dir):
+    return A.table(spark, sf_dir, "documents").select("doc_id", text.guess_language(F.col("text")).alias("lang"))

@@ -79,8 +79,10 @@ def post_rows(rows: DataFrame, post: Callable[[dict], int], concurrency: int = 5
 
 
 def merge_by_id(archive: DataFrame, rows: DataFrame) -> DataFrame:
-    """The archive with new rows added and known ones replaced."""
-    return archive.join(rows.select("id"), "id", "left_anti").unionByName(rows.dropDuplicates(["id"]))
+    """The archive with new rows added and known ones replaced. Of new rows with one id the least by all other columns stays, so that reruns agree."""
+    others = [c for c in rows.columns if c != "id"]
+    one = rows.groupBy("id").agg(F.min(F.struct(*others)).alias("_r")).select("id", "_r.*").select(*rows.columns)
+    return archive.join(rows.select("id"), "id", "left_anti").unionByName(one)
 
 
 def write_trimmed(facts: DataFrame, path: str) -> None:

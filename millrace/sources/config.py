@@ -138,12 +138,14 @@ def by_type(companies: DataFrame, company_type: str) -> DataFrame:
     return companies.where(F.col("enabled") & (F.col("company_type") == company_type))
 
 
-def create_tables(spark: SparkSession, database: str, seed: dict[str, list[dict]] | None = None) -> list[str]:
-    """The configuration tables, silent days included; ``seed`` fills those that are empty. Running it again changes nothing."""
+def create_tables(spark: SparkSession, database: str, seed: dict[str, DataFrame | list[dict]] | None = None) -> list[str]:
+    """The configuration tables, silent days included; ``seed`` (tables, or rows as dictionaries) fills those that are empty. Running it again changes nothing."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    rows = from_dicts(spark, seed or {})
+    given = {name: rows for name, rows in (seed or {}).items() if isinstance(rows, DataFrame)}
+    small = from_dicts(spark, {name: rows for name, rows in (seed or {}).items() if name not in given})
     for name, ddl in TABLES.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl}) USING parquet")
-        if (seed or {}).get(name) and not spark.table(f"{database}.{name}").limit(1).count():
-            rows[name].write.insertInto(f"{database}.{name}")
+        if (name in given or (seed or {}).get(name)) and not spark.table(f"{database}.{name}").limit(1).count():
+            rows = given.get(name, small[name])
+            rows.select(*spark.table(f"{database}.{name}").columns).write.insertInto(f"{database}.{name}")
     return list(TABLES)

@@ -209,3 +209,38 @@ def test_cost_of_figures_is_linear(spark):
 
     few, many = took(2000), took(16000)
     assert many < 16 * few + 1
+
+
+LINES = {
+    "en": "The price of wheat is not the only thing that farmers look at this year.", "fr": "Le prix du blé est au plus haut et les agriculteurs ne sont pas contents.",
+    "de": "Die Preise für den Weizen sind im Juli nicht gestiegen, und das ist auch gut.", "es": "El precio del trigo no sube y los agricultores lo saben por la prensa.",
+    "pt": "Os preços do trigo não sobem e os agricultores vendem mais na bolsa.", "it": "Il prezzo del grano non sale e gli agricoltori sono in attesa della pioggia.",
+    "pl": "Ceny pszenicy nie rosną, a rolnicy czekają na deszcz i dopłaty od rządu.", "nl": "De prijs van het graan is niet gestegen en dat is een zorg voor de boeren.",
+    "ro": "Prețul grâului nu este mai mare, iar fermierii din sud au de așteptat pentru plată.", "tr": "Buğday fiyatı bu yıl çok arttı ve çiftçiler için daha iyi bir sezon olarak görülüyor.",
+    "hu": "A búza ára nem emelkedett, és az aszály is gond, hogy ezt ne feledjük.", "uk": "Ціни на пшеницю не зростають, і аграрії чекають на дощ від середи до п'ятниці.",
+    "cs": "Cena pšenice se nezvýšila, ale je to pro zemědělce v kraji problém.", "sv": "Priset på vete är inte högre och det är en oro för bönderna som odlar.",
+}
+
+
+def test_languages(spark, sf_dir):
+    """A sentence of each language, texts without any common word, and the labelled documents."""
+    rows = [*LINES.items(), ("en", None), ("en", ""), ("en", "12 ... !"), ("en", "Xyz qqq")]
+    df = spark.createDataFrame(rows, "lang string, t string").select("lang", text.guess_language(F.col("t")).alias("got"))
+    assert [r for r in df.collect() if r["lang"] != r["got"]] == []
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("lang is not null").select((text.guess_language(F.col("text")) == F.col("lang")).cast("int").alias("ok"))
+    assert docs.agg(F.avg("ok")).first()[0] > 0.97
+
+
+def test_state_of_runs_that_meet(spark, tmp_path):
+    """Runs of one version don't touch each other, a run that dies leaves nothing that counts, and old versions go."""
+    path, frame = str(tmp_path / "s"), lambda *ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    assert state.versions(spark, path) == []
+    one, two = state.write_state(frame("a"), path, "2026-01-01"), state.write_state(frame("b"), path, "2026-01-01")
+    assert one != two and [r["id"] for r in state.read_state(spark, path, "id string").collect()] == ["b"]
+    frame("lost").write.parquet(f"{path}/version=2026-09-09~dead")
+    (tmp_path / "s" / "version=2026-09-09~dead" / "_SUCCESS").unlink()
+    assert [r["id"] for r in state.read_state(spark, path, "id string").collect()] == ["b"]
+    for day in ("02", "03", "04"):
+        state.write_state(frame(day), path, f"2026-01-{day}", keep=2)
+    assert [v.partition("~")[0] for v in state.versions(spark, path)] == ["version=2026-01-03", "version=2026-01-04"]
+    assert [state.sent_marker(spark, str(tmp_path / "m"), d) for d in ("x", "x", "y")] == [True, False, True]
