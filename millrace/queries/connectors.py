@@ -1,12 +1,18 @@
-"""Data sources and sinks of the library's own: paged tables, feeds as a stream, the archive in two phases."""
+"""Data sources and sinks of the library's own: paged tables, feeds as a stream, zipped cubes, the archive in two phases."""
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..plans import adapters as A
 from ..sinks import two_phase
-from ..sources import config, paged
+from ..shipping import ship
+from ..sources import config, paged, zips
+from ..sources.folders import shared_path
 from ..streaming import feed_log
 from .registry import ORACLE_SQL, query
 from .scans import _page
@@ -59,3 +65,26 @@ def archive_commits(spark, sf_dir):
         rows = orders.where(F.col("o_orderkey") % step == 0).select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("id"), F.col("o_orderkey").alias("order"))
         two_phase.write_archive(two_phase.new_rows(rows, two_phase.read_archive(spark, path, schema), "order"), run, path=path)
     return two_phase.read_archive(spark, path, schema).join(F.broadcast(two_phase.run_counts(spark, path)), "run").select("id", "order", "run", "ok")
+
+
+@query("zipped_members", "SELECT o_orderkey AS \"Order\", CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS \"Customer\", CAST(o_orderstatus AS VARCHAR) AS \"Status\", CAST(NULL AS INTEGER) AS \"None\" FROM orders")
+def zipped_members(spark, sf_dir):
+    """A zip for each priority with a CSV member for each status; members order their columns differently, some cells are empty, names are quoted."""
+    path = A.scratch(spark, "zips")
+    ship(spark)
+
+    def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        folder = shared_path(path)
+        folder.mkdir(parents=True, exist_ok=True)
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for n, (status, part) in enumerate(rows.groupby("status")):
+                lines = [f'{o},"{status}",{"" if o % 7 == 0 else c}' if n % 2 else f'{"" if o % 7 == 0 else c},{o},{status}' for o, c in zip(part["o"], part["c"], strict=True)]
+                z.writestr(f"{status}.CSV", "\n".join(["Order,Status,Customer" if n % 2 else " Customer ,Order,Status", *lines]))
+            z.writestr("notes.txt", "not a table")
+        (folder / f"{abs(hash(key))}.zip").write_bytes(out.getvalue())
+        return pd.DataFrame({"n": [len(rows)]})
+
+    orders = A.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("o"), F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("status"), "o_orderpriority")
+    orders.groupBy("o_orderpriority").applyInPandas(write, "n long").collect()
+    return zips.read_facts(spark, path, "`Order` long, Customer long, Status string, None int")

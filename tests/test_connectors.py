@@ -200,3 +200,32 @@ def test_a_page_is_parsed_once(spark):
     assert got == [("N", "", True, ["a", "b"], 24)] + [("", "", False, [], 0)] * 3
     states = config.parsed_pages(df).select(*(config.property_state(F.col("page"), n).alias(n) for n in ("Name", "URL", "None"))).collect()
     assert [tuple(r) for r in states] == [("held", "empty", "missing"), (None,) * 3, (None,) * 3, ("missing",) * 3]
+
+
+# --- zipped cubes
+
+
+def test_zips_are_read_by_member(spark, tmp_path):
+    """A partition for each CSV member; quoted line ends, a byte order mark, bad bytes, members without rows, nested folders, no zips."""
+    import zipfile
+
+    from millrace.sources import zips
+
+    (tmp_path / "in").mkdir()
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x.csv", "\ufeffA,B\n" + "\n".join(f'{i},"two\nlines, {i}"' for i in range(9000)))
+        z.writestr("empty.csv", "")
+        z.writestr("head.csv", "A,B\n")
+        z.writestr("y.txt", "no")
+    with zipfile.ZipFile(tmp_path / "in" / "b.ZIP", "w") as z:
+        z.writestr("in/x.csv", b"B,A\n\xff,7\n,8,more\n")
+    rows = zips.read_zipped(spark, f"file://{tmp_path}")
+    assert rows.rdd.getNumPartitions() == 4
+    facts = zips.read_facts(spark, str(tmp_path), "A int, B string, C int")
+    got = sorted(map(tuple, facts.collect()), key=str)
+    assert got == sorted([(i, f"two\nlines, {i}", None) for i in range(9000)] + [(7, "\ufffd", None), (8, None, None)], key=str)
+    assert [r["row"] for r in rows.where("member = 'x.csv'").orderBy("row").collect()] == list(range(9000))
+    (tmp_path / "none").mkdir()
+    assert zips.read_zipped(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        zips.read_zipped(spark, str(tmp_path / "nowhere")).count()
