@@ -142,9 +142,14 @@ def _unsupported(claims: Column, figures: Column) -> Column:
 
 def ungrounded(text: Column, source: Column | None = None, *, figures: Column | None = None) -> Column:
     """Array of the tokens of a text that the source doesn't support; ``figures`` is the source's ``source_figures``, made before where several texts share it."""
-    given = F.struct(number_tokens(text).alias("claims"), (source_figures(source) if figures is None else figures).alias("figures"), structure(text).alias("held"))
-    found = _let(given, lambda g: F.struct(_unsupported(g["claims"], g["figures"]).alias("missing"), g["held"].alias("held")))
-    return _let(found, lambda f: F.transform(F.filter(f["missing"], lambda x: ~structural(x["token"], f["held"])), lambda x: x["token"]))
+
+    def missing(claims: Column) -> Column:
+        given = F.struct(claims.alias("claims"), (source_figures(source) if figures is None else figures).alias("figures"), structure(text).alias("held"))
+        found = _let(given, lambda g: F.struct(_unsupported(g["claims"], g["figures"]).alias("missing"), g["held"].alias("held")))
+        return _let(found, lambda f: F.transform(F.filter(f["missing"], lambda x: ~structural(x["token"], f["held"])), lambda x: x["token"]))
+
+    # most texts claim nothing, and then the source isn't looked at
+    return _let(number_tokens(text), lambda claims: F.when(F.size(claims) == 0, F.array().cast("array<string>")).otherwise(missing(claims)))
 
 
 def autofix(text: Column) -> Column:
