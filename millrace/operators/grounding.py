@@ -46,10 +46,10 @@ def brief_text(takeaway: Column, sections: Column) -> Column:
     return F.array_join(F.concat(F.array(takeaway), F.transform(sections, lambda s: s["text"])), " ")
 
 
-def banned_words(text: Column, words: list[str] | None = None) -> Column:
-    """The banned words in a text, in the order of the list."""
-    low = F.lower(text)
-    return F.filter(F.array(*[F.lit(w) for w in words or REPLACEMENTS]), lambda w: F.rlike(low, F.concat(F.lit(r"(?U)\b\Q"), w, F.lit(r"\E\b"))))
+def banned_words(text: Column, words: list[str] | None = None, letters: str | None = None) -> Column:
+    """The banned words in a text, in the order of the list. They stand alone by Unicode's word edges, or where ``letters``, a character class, says what makes up words."""
+    low, (start, end) = F.lower(text), (rf"(?<!{letters})", rf"(?!{letters})") if letters else (r"(?U)\b", r"\b")
+    return F.filter(F.array(*[F.lit(w) for w in words or REPLACEMENTS]), lambda w: F.rlike(low, F.concat(F.lit(rf"{start}\Q"), w, F.lit(rf"\E{end}"))))
 
 
 def hard_issues(text: Column) -> Column:
