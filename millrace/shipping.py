@@ -1,4 +1,4 @@
-"""Makes this package importable on executors that don't have it installed."""
+"""Gets work to the executors: the package's source where it isn't installed, and rows in shares that keep all cores busy."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -32,3 +32,9 @@ def ship_active() -> None:
     session = SparkSession.getActiveSession()
     if session is not None:
         ship(session)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt out evenly over all cores, before work that costs far more than moving them: a table of one row group is one task otherwise."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
