@@ -175,15 +175,22 @@ def keep_grounded(text: Column, source: Column | None = None, *, figures: Column
 
 
 def salvage(briefs: DataFrame) -> DataFrame:
-    """Briefs (takeaway, sections, source_text) without unsupported sentences; what has no takeaway or no section then goes."""
-    briefs = briefs.withColumn("_figures", source_figures(F.col("source_text")))
-    figures = F.col("_figures")
-    sections = F.filter(
-        F.transform("sections", lambda s: F.struct(s["label"].alias("label"), keep_grounded(s["text"], figures=figures).alias("text"))), lambda s: s["text"] != ""
+    """Briefs (takeaway, sections, source_text) without unsupported sentences; what has no takeaway or no section then goes.
+
+    A brief's texts are made once, as an array of one or none that is exploded: a condition on columns would have them made again for it.
+    """
+
+    def made(figures: Column) -> Column:
+        sections = F.transform("sections", lambda s: F.struct(s["label"].alias("label"), keep_grounded(s["text"], figures=figures).alias("text")))
+        return F.struct(keep_grounded(F.col("takeaway"), figures=figures).alias("takeaway"), F.filter(sections, lambda s: s["text"] != "").alias("sections"))
+
+    filled = F.transform(
+        F.array(_let(source_figures(F.col("source_text")), made)),
+        lambda m: F.struct(F.when(m["takeaway"] == "", F.get(m["sections"], F.lit(0))["text"]).otherwise(m["takeaway"]).alias("takeaway"), m["sections"].alias("sections")),
     )
-    out = briefs.withColumn("sections", sections).withColumn("takeaway", keep_grounded(F.col("takeaway"), figures=figures))
-    out = out.withColumn("takeaway", F.when(F.col("takeaway") == "", F.get("sections", 0)["text"]).otherwise(F.col("takeaway")))
-    return out.where((F.coalesce("takeaway", F.lit("")) != "") & (F.size("sections") > 0)).drop("_figures")
+    left = F.filter(filled, lambda m: (F.coalesce(m["takeaway"], F.lit("")) != "") & (F.size(m["sections"]) > 0))
+    out = briefs.withColumn("_left", F.explode(left))
+    return out.select(*[F.col("_left")[c].alias(c) if c in ("takeaway", "sections") else F.col(c) for c in briefs.columns])
 
 
 def source_text(items: DataFrame) -> DataFrame:
