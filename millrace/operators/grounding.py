@@ -47,20 +47,29 @@ def brief_text(takeaway: Column, sections: Column) -> Column:
 
 
 def banned_words(text: Column, words: list[str] | None = None, letters: str | None = None) -> Column:
-    """The banned words in a text, in the order of the list. They stand alone by Unicode's word edges, or where ``letters``, a character class, says what makes up words."""
-    low, (start, end) = F.lower(text), (rf"(?<!{letters})", rf"(?!{letters})") if letters else (r"(?U)\b", r"\b")
-    return F.filter(F.array(*[F.lit(w) for w in words or REPLACEMENTS]), lambda w: F.rlike(low, F.concat(F.lit(rf"{start}\Q"), w, F.lit(rf"\E{end}"))))
+    """The banned words in a text, in the order of the list. They stand alone by Unicode's word edges, or where ``letters``, a character class, says what makes up words.
+
+    One pass over the text finds them all; words that begin with another one of the list take a pass of their own.
+    """
+    start, end = (rf"(?<!{letters})", rf"(?!{letters})") if letters else (r"(?U)\b", r"\b")
+    passes: list[list[str]] = []
+    for word in dict.fromkeys(words or REPLACEMENTS):
+        fit = next((p for p in passes if not any(w.startswith(word) or word.startswith(w) for w in p)), None)
+        fit.append(word) if fit is not None else passes.append([word])
+    found = lambda low: F.concat(*[F.regexp_extract_all(low, F.lit(start + "(?=(" + "|".join(rf"\Q{w}\E" for w in p) + ")" + end + ")"), 1) for p in passes])
+    return F.array_intersect(F.array(*[F.lit(w) for w in words or REPLACEMENTS]), found(F.lower(F.coalesce(text, F.lit("")))))
 
 
 def hard_issues(text: Column) -> Column:
     """Array of what must not ship: dashes, length, banned words."""
-    n = word_count(text)
-    # The messages.
-    found = F.array(
-        F.when(text.rlike("[—–]"), F.lit("Contains an em/en dash.")),
-        F.when(n > MAX_WORDS, F.format_string(f"Too long: %d words (max {MAX_WORDS}).", n)),
-    )
-    return F.concat(F.filter(found, lambda x: x.isNotNull()), F.transform(banned_words(text), lambda w: F.concat(F.lit("Banned word: '"), w, F.lit("'."))))
+
+    def found(t: Column) -> Column:
+        long = _let(word_count(t), lambda n: F.when(n > MAX_WORDS, F.format_string(f"Too long: %d words (max {MAX_WORDS}).", n)))
+        # The messages.
+        rules = F.array(F.when(t.rlike("[—–]"), F.lit("Contains an em/en dash.")), long)
+        return F.concat(F.filter(rules, lambda x: x.isNotNull()), F.transform(banned_words(t), lambda w: F.concat(F.lit("Banned word: '"), w, F.lit("'."))))
+
+    return _let(text, found)
 
 
 def soft_warnings(text: Column) -> Column:
