@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -15,7 +16,7 @@ from ..operators.state import TTL_DAYS
 from ..shipping import ship
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-DAY_MS = 24 * 60 * 60 * 1000
+DAY_MS, SHARES = 24 * 60 * 60 * 1000, 1024
 
 
 def _ready(df: DataFrame) -> None:
@@ -24,32 +25,60 @@ def _ready(df: DataFrame) -> None:
 
 
 class Seen(StatefulProcessor):
-    """One value for each id: when it was seen last. With timers, an id is forgotten once the watermark is a time to live past that; else by the store's own clock."""
+    """A share of the ids: when each was seen last and when it is due to be forgotten, as one value that a batch reads and writes once, with one timer for the id that is due first.
+
+    By the event clock an id is due once the watermark is a time to live past that, else when it hasn't come for so long.
+    """
 
     def __init__(self, ttl_ms: int, timers: bool):
         self.ttl_ms, self.timers = ttl_ms, timers
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "at long") if self.timers else handle.getValueState("seen", "at long", self.ttl_ms)
-
-    def _due(self, at: int) -> int:
-        return at // 1000 + self.ttl_ms
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self.seen.get()[0] if self.seen.exists() else None
-        times = [row["at"] for row in rows]
-        latest = max(times if old is None else [old, *times])
-        if latest != old or not self.timers:  # the store's own clock counts from the last update
-            if self.timers:
-                if old is not None:
-                    self.handle.deleteTimer(self._due(old))
-                self.handle.registerTimer(self._due(latest))
-            self.seen.update((latest,))
-        yield Row(id=key[0], at=latest, rows=len(times), new=old is None)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.seen.exists() and self._due(self.seen.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+        self.seen = handle.getValueState("seen", "ids array<string>, at array<long>, due array<long>, wake long")
+
+    def _held(self) -> tuple[dict[str | None, tuple[int, int]], int | None]:
+        value = self.seen.get()
+        if value is None:
+            return {}, None
+        ids, at, due, wake = value
+        return dict(zip(ids, zip(at, due))), wake
+
+    def _hold(self, held: dict[str | None, tuple[int, int]], wake: int | None) -> None:
+        first = min(due for _, due in held.values()) - 1  # a timer goes off once its clock is past it
+        if wake is None or first < wake:
+            if wake is not None:
+                self.handle.deleteTimer(wake)
+            self.handle.registerTimer(first)
+            wake = first
+        self.seen.update((list(held), [at for at, _ in held.values()], [due for _, due in held.values()], wake))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        came: dict[str | None, tuple[int, int]] = {}
+        for part in rows:
+            for i, at in zip(part["id"].tolist(), part["at"].tolist()):
+                i = i if isinstance(i, str) else None
+                n, latest = came.get(i, (0, at))
+                came[i] = n + 1, max(latest, at)
+        held, wake = self._held()
+        now = None if self.timers else timerValues.getCurrentProcessingTimeInMs()
+        out = []
+        for i, (n, latest) in came.items():
+            old = held.get(i)
+            if old is not None and now is not None and old[1] <= now:
+                old = None
+            latest = latest if old is None else max(latest, old[0])
+            held[i] = latest, (-(-latest // 1000) if now is None else now) + self.ttl_ms
+            out.append((i, latest, n, old is None))
+        self._hold(held, wake)
+        yield pd.DataFrame(out, columns=["id", "at", "rows", "new"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = timerValues.getCurrentWatermarkInMs() if self.timers else timerValues.getCurrentProcessingTimeInMs()
+        held = {i: (at, due) for i, (at, due) in self._held()[0].items() if due > now}
+        if held:
+            self._hold(held, None)  # Spark deletes the timer that went off
+        else:
             self.seen.clear()
         return iter(())
 
@@ -57,19 +86,22 @@ class Seen(StatefulProcessor):
         pass
 
 
-def seen_stream(entries: DataFrame, days: float = TTL_DAYS, *, lateness: str = "0 seconds", clock: str = "event") -> DataFrame:
+def seen_stream(entries: DataFrame, days: float = TTL_DAYS, *, lateness: str = "0 seconds", clock: str = "event", shares: int = SHARES) -> DataFrame:
     """(id, seen_at, rows, new) of every id of each batch of ``entries`` (id, seen_at); ``new`` says that no earlier batch within the time to live had it.
 
     By the ``event`` clock, the state after a batch is ``operators.state.upsert_seen`` of all entries so far, with the watermark as now; by the ``processing`` clock
-    ids live that long after their last entry came (use a processing-time trigger: with ``availableNow`` Spark keeps asking such a stream for batches). Null ids make one id.
+    ids live that long after their last entry came (use a processing-time trigger: with ``availableNow`` Spark keeps asking such a stream for batches). Null ids make one id;
+    entries without a time aren't kept. Ids lie in so many ``shares`` by their hash; a batch reads and writes the shares of its ids, so a store of n ids takes n / shares of
+    them into a task's memory at a time. A checkpoint keeps its number of shares.
     """
     _ready(entries)
     if clock not in ("event", "processing"):
         raise ValueError(clock)
     timers = clock == "event"
     rows = entries.withWatermark("seen_at", lateness) if timers else entries
-    keyed = rows.select("id", "seen_at", F.unix_micros("seen_at").alias("at")).groupBy("id")
-    out = keyed.transformWithState(Seen(int(days * DAY_MS), timers), "id string, at long, rows int, new boolean", "update", "EventTime" if timers else "ProcessingTime")
+    share = F.pmod(F.xxhash64("id"), F.lit(shares)).cast("int").alias("share")
+    keyed = rows.where("seen_at is not null").select("id", "seen_at", F.unix_micros("seen_at").alias("at"), share).groupBy("share")
+    out = keyed.transformWithStateInPandas(Seen(int(days * DAY_MS), timers), "id string, at long, rows int, new boolean", "update", "EventTime" if timers else "ProcessingTime")
     return out.select("id", F.timestamp_micros("at").alias("seen_at"), "rows", "new")
 
 
@@ -134,8 +166,8 @@ def stored(spark: SparkSession, checkpoint: str, state: str) -> DataFrame:
 
 def stored_seen(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The seen-store (id, seen_at) that ``seen_stream`` keeps."""
-    at: Column = F.timestamp_micros("at")
-    return stored(spark, checkpoint, "seen").select("id", at.alias("seen_at"))
+    at: Column = F.timestamp_micros("e.at")
+    return stored(spark, checkpoint, "seen").select(F.explode(F.arrays_zip("ids", "at")).alias("e")).select(F.col("e.ids").alias("id"), at.alias("seen_at"))
 
 
 def stored_health(spark: SparkSession, checkpoint: str) -> DataFrame:
