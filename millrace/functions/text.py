@@ -203,21 +203,38 @@ def word_weights() -> dict[str, dict[str, int]]:
     return {lang: {w: 60 // shared[w] for w in dict.fromkeys(words.split())} for lang, words in COMMON_WORDS.items()}
 
 
+def _shared_kinds() -> dict[tuple[int, ...], list[str]]:
+    """Words by what they say for each language, the kinds of most words first."""
+    weights = list(word_weights().values())
+    kinds: dict[tuple[int, ...], list[str]] = {}
+    for word in dict.fromkeys(w for words in weights for w in words):
+        kinds.setdefault(tuple(words.get(word, 0) for words in weights), []).append(word)
+    return dict(sorted(kinds.items(), key=lambda kind: -len(kind[1])))
+
+
 def guess_language(col: Column, default: str = "en") -> Column:
-    """The language whose common words weigh most in the whole text, the first listed of equals; the default without any such word."""
-
-    def total(words: Column, weights: dict[str, int]) -> Column:
-        kinds: dict[int, list[str]] = {}
-        for word, weight in weights.items():
-            kinds.setdefault(weight, []).append(word)
-        parts = [F.size(F.filter(words, functools.partial(_among, found))) * weight for weight, found in kinds.items()]
-        return functools.reduce(lambda a, b: a + b, parts)
-
-    def best(words: Column) -> Column:
-        totals = F.array(*[total(words, weights) for weights in word_weights().values()])
-        most = F.array_max(totals)
-        langs = F.array(*[F.lit(lang) for lang in COMMON_WORDS])
-        return F.when(most > 0, F.element_at(langs, F.array_position(totals, most).cast("int"))).otherwise(default)
+    """The language whose common words weigh most in the whole text, the first listed of equals; the default without any such word.
 
-    words = F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(r"(\p{L}+)"), 1)
-    return F.get(F.transform(F.array(words), best), F.lit(0))
+    A text's words are looked at once: the common ones become a string of one sign each, by kind, and the languages' counts are taken from that string.
+    """
+    kinds = _shared_kinds()
+    signs = [chr(ord("0") + i) for i in range(len(kinds))]  # ASCII, so that bytes are signs
+    if signs[-1] > "~":
+        raise ValueError("too many kinds of words")
+
+    def sign(word: Column) -> Column:
+        return F.coalesce(*[F.when(_among(words, word), F.lit(s)) for s, words in zip(signs, kinds.values())])
+
+    def best(found: Column) -> Column:
+        counts = [F.octet_length(found) - F.octet_length(F.replace(found, F.lit(s))) for s in signs]
+        total = lambda n: functools.reduce(lambda a, b: a + b, [count * kind[n] for count, kind in zip(counts, kinds) if kind[n]])
+        totals = F.array(*[total(n) for n in range(len(COMMON_WORDS))])
+        langs = F.array(*[F.lit(lang) for lang in COMMON_WORDS])
+        at = lambda t: F.when(F.array_max(t) > 0, F.element_at(langs, F.array_position(t, F.array_max(t)).cast("int"))).otherwise(default)
+        return F.get(F.transform(F.array(totals), at), F.lit(0))
+
+    common = functools.partial(_among, [word for words in kinds.values() for word in words])
+    plain = F.replace(F.coalesce(col, F.lit("")), F.lit("\u0130"), F.lit("i"))  # in lower case that letter has a mark, which would end the word
+    words = F.split(F.lower(plain), r"\P{L}+")
+    found = F.array_join(F.transform(F.filter(words, common), sign), "")
+    return F.get(F.transform(F.array(found), best), F.lit(0))
